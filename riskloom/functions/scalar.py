@@ -100,9 +100,28 @@ def pick_if(flag: Column, v1, v0) -> Column:
     return F.when(flag, F.lit(v1)).otherwise(F.lit(v0))
 
 
+def round_tenth(x) -> Column:
+    """Round a double to one decimal, half-to-even on its exact binary value (Python's ``round(x, 1)``).
+
+    ``x*10`` is formed as ``x*8 + x*2`` (both exact) with an error-free two-sum, so a value that
+    only looks like a tie after the multiplication is resolved by the sign of the rounding error.
+    """
+    x = col(x)
+    a, b = x * F.lit(8.0), x * F.lit(2.0)
+    s = a + b
+    bv = s - a
+    err = (a - (s - bv)) + (b - bv)
+    fl = F.floor(s).cast("double")
+    tie = (s - fl) == F.lit(0.5)
+    r = (F.when(tie & (err > F.lit(0.0)), fl + F.lit(1.0))
+         .when(tie & (err < F.lit(0.0)), fl)
+         .otherwise(F.rint(s)))
+    return r / F.lit(10.0)
+
+
 def round_tenth_of(x, factor: float = 0.3) -> Column:
-    """``round(x * factor, 1)`` half-to-even."""
-    return F.bround(col(x) * F.lit(factor), 1)
+    """``round(x * factor, 1)`` with Python's rounding of the double product."""
+    return round_tenth(col(x) * F.lit(factor))
 
 
 def risk_tier(p) -> Column:
