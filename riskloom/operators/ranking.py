@@ -5,11 +5,20 @@ window partitioned by a class label moves a whole class into one task. Both
 break at scale. ``global_cumsum`` gives the same exact running sums with the
 work spread out:
 
-1. range-partition rows by ``(keys, order)`` (Spark samples the bounds, so a
-   hot key is split across partitions by its order columns);
-2. a running sum inside each range partition;
-3. per ``(partition, key)`` totals — at most ``P × #keys`` rows — turned into
-   offsets with a window over that small frame and joined back.
+1. cut rows into ordered buckets: either a deterministic monotone ``bucket``
+   column given by the caller (e.g. a prefix of a hash the rows are ordered
+   by), or a range partitioning by ``(keys, order)`` (Spark samples the
+   bounds, so a hot key is split across partitions by its order columns);
+2. a running sum inside each bucket;
+3. per ``(bucket, key)`` totals — at most ``#buckets × #keys`` rows — turned
+   into offsets with a window over that small frame and joined back.
+
+Steps 2 and 3 read the bucketed rows twice, and both reads must see the same
+buckets. A caller-given bucket is a pure function of the row, so that holds
+on any recomputation. A sampled range partitioning is not (its bounds depend
+on input order, which is not stable after a shuffle), so the range-partitioned
+frame is checkpointed once into ``spark.checkpoint.dir`` and both reads use
+that copy; it also means a lost executor cannot make the two reads disagree.
 
 Callers that rank values with heavy repetition first collapse them with a
 ``groupBy(value).count()`` (map-side combined) and pass the count as weight.
@@ -22,46 +31,68 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import ensure_checkpoint_dir, shuffle_partitions
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight: str | None = None,
-                  num_partitions: int | None = None, small_keys: bool = True) -> DataFrame:
+def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=None,
+                  num_partitions: int | None = None, small_keys: bool = True,
+                  bucket: Column | None = None) -> DataFrame:
     """Add ``_cum_incl`` (running total including the row), ``_cum_excl`` and ``_key_total``.
 
     Rows are ordered by ``order`` within each ``keys`` group; ``order`` must make the order total
-    (add a unique tie-breaker) for the result to be deterministic.
+    (add a unique tie-breaker) for the result to be deterministic. ``weight`` is a column name
+    (default: 1 per row) or a list of names, in which case every weight ``w`` gets its own
+    ``_cum_incl_<w>``, ``_cum_excl_<w>`` and ``_key_total_<w>``.
     ``small_keys``: the number of key groups is bounded (class labels, column names), so the
     ``P × #keys`` offset frame is broadcast; otherwise it is joined normally.
+    ``bucket``: an integer column that never decreases along ``order`` (within a key) and depends
+    only on the row; when given, it replaces the sampled range partitioning and no checkpoint is
+    needed.
     """
     spark = df.sparkSession
     p = num_partitions or shuffle_partitions(spark)
-    w = F.col(weight) if weight else F.lit(1)
+    multi = isinstance(weight, (list, tuple))
+    names = list(weight) if multi else [weight]
+    wcols = {f"_w{i}": (F.col(n) if n else F.lit(1)).cast("long") for i, n in enumerate(names)}
     keys = list(keys)
     order_cols = [_c(o) for o in order]
-    ranged = (df.withColumn("_w", w.cast("long"))
-              .repartitionByRange(p, *[F.col(k) for k in keys], *order_cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    part = ranged.groupBy("_pid", *keys).agg(F.sum("_w").alias("_pw"))
+    if bucket is not None:
+        ranged = df.withColumns(wcols).withColumn("_pid", bucket.cast("long"))
+    else:
+        ensure_checkpoint_dir(spark)
+        ranged = (df.withColumns(wcols)
+                  .repartitionByRange(p, *[F.col(k) for k in keys], *order_cols)
+                  .withColumn("_pid", F.spark_partition_id().cast("long"))
+                  .checkpoint(eager=True))
+    part = ranged.groupBy("_pid", *keys).agg(*[F.sum(w).alias(f"_p{w}") for w in wcols])
     by_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
     offsets = part.select("_pid", *keys,
-                          (F.sum("_pw").over(by_key.orderBy("_pid")) - F.col("_pw")).alias("_off"),
-                          F.sum("_pw").over(by_key).alias("_key_total"))
+                          *[(F.sum(f"_p{w}").over(by_key.orderBy("_pid")) - F.col(f"_p{w}")).alias(f"_off{w}")
+                            for w in wcols],
+                          *[F.sum(f"_p{w}").over(by_key).alias(f"_tot{w}") for w in wcols])
     local = Window.partitionBy("_pid", *keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    running = ranged.withColumn("_lc", F.sum("_w").over(local))
+    running = ranged.withColumns({f"_lc{w}": F.sum(w).over(local) for w in wcols})
     offs = F.broadcast(offsets) if small_keys else offsets
     out = running.join(offs, ["_pid", *keys])
-    return (out.withColumn("_cum_incl", F.col("_off") + F.col("_lc"))
-            .withColumn("_cum_excl", F.col("_cum_incl") - F.col("_w"))
-            .drop("_pid", "_off", "_lc", "_w"))
+    new = {}
+    for i, (w, n) in enumerate(zip(wcols, names)):
+        suffix = f"_{n}" if multi else ""
+        incl = F.col(f"_off{w}") + F.col(f"_lc{w}")
+        new[f"_cum_incl{suffix}"] = incl
+        new[f"_cum_excl{suffix}"] = incl - F.col(w)
+        new[f"_key_total{suffix}"] = F.col(f"_tot{w}")
+    drop = ["_pid", *wcols, *[f"_off{w}" for w in wcols], *[f"_lc{w}" for w in wcols],
+            *[f"_tot{w}" for w in wcols]]
+    return out.withColumns(new).drop(*drop)
 
 
 def global_row_number(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "row_number",
-                      num_partitions: int | None = None, small_keys: bool = True) -> DataFrame:
+                      num_partitions: int | None = None, small_keys: bool = True,
+                      bucket: Column | None = None) -> DataFrame:
     """Exact ``row_number()`` over ``partitionBy(keys).orderBy(order)`` (1-based) plus ``_key_total``."""
-    r = global_cumsum(df, keys, order, None, num_partitions, small_keys)
+    r = global_cumsum(df, keys, order, None, num_partitions, small_keys, bucket)
     return r.withColumnRenamed("_cum_incl", out).drop("_cum_excl")
