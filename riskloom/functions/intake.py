@@ -223,7 +223,10 @@ def _cmp(c, op, v) -> Column:
     return _OPS[op](col(c), F.lit(v))
 
 
-def cell_column(cell) -> Column:
+def cell_column(cell, prefix: str = "") -> Column:
+    """Column for one projection cell; ``prefix`` is prepended to every intake column it reads."""
+    if prefix:
+        cell = _prefixed(cell, prefix)
     kind = cell[0]
     if kind == "k":
         return F.lit(cell[1])
@@ -253,9 +256,32 @@ def cell_column(cell) -> Column:
     raise ValueError(kind)
 
 
-def projection(kind: str, disease: str) -> list[tuple[str, Column]]:
+def _prefixed(cell, prefix):
+    kind = cell[0]
+    if kind == "k":
+        return cell
+    if kind == "if":
+        return ("if", prefix + cell[1], cell[2], cell[3])
+    if kind == "and":
+        return ("and", prefix + cell[1], prefix + cell[2], cell[3], cell[4])
+    if kind in ("col", "gender", "cdc"):
+        return (kind, prefix + cell[1])
+    if kind == "cmp":
+        return ("cmp", prefix + cell[1], cell[2], cell[3])
+    if kind == "both":
+        return ("both", _prefixed(cell[1], prefix), _prefixed(cell[2], prefix))
+    if kind == "cmpv":
+        return ("cmpv", prefix + cell[1], *cell[2:])
+    if kind == "ifcol":
+        return ("ifcol", prefix + cell[1], cell[2], cell[3])
+    if kind == "round":
+        return ("round", prefix + cell[1], cell[2])
+    raise ValueError(kind)
+
+
+def projection(kind: str, disease: str, prefix: str = "") -> list[tuple[str, Column]]:
     spec = (INTAKE_A if kind == "a" else INTAKE_B)[disease]
-    return [(name, cell_column(cell)) for name, cell in spec]
+    return [(name, cell_column(cell, prefix)) for name, cell in spec]
 
 
 def intake_to_panel(intake: DataFrame, kind: str, disease: str, keep=("patient_id",)) -> DataFrame:

@@ -42,6 +42,18 @@ class PreprocessorModel:
         out.update({c: F.coalesce(_q(c).cast("string"), F.lit(self.modes[c])) for c in self.categorical})
         return out
 
+    def feature_exprs(self) -> list:
+        """``[(feature_name, Column)]`` in feature order (imputed + scaled numerics, one-hot categoricals)."""
+        out = []
+        for c in self.numeric:
+            x = F.coalesce(_q(c).cast("double"), F.lit(self.medians[c]))
+            out.append((c, (x - F.lit(self.means[c])) / F.lit(self.scales[c])))
+        for c in self.categorical:
+            x = F.coalesce(_q(c).cast("string"), F.lit(self.modes[c]))
+            for v in self.categories[c]:
+                out.append((f"{c}_{v}", (x == F.lit(v)).cast("double")))
+        return out
+
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Imputed + scaled numerics and one-hot categoricals (unknown category → all zeros)."""
         cols = [_q(k) for k in keep]

@@ -15,9 +15,9 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def registry() -> dict[str, tuple[QueryFn, str | None]]:
-    from . import features, profile, scoring, modeling
+    from . import features, learning, modeling, profile, scoring
     out: dict[str, tuple[QueryFn, str | None]] = {}
-    for mod in (scoring, features, profile, modeling):
+    for mod in (scoring, features, profile, modeling, learning):
         for name, entry in mod.QUERIES.items():
             if name in out:
                 raise ValueError(f"duplicate query {name}")
