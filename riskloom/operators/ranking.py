@@ -16,9 +16,12 @@ work spread out:
 Steps 2 and 3 read the bucketed rows twice, and both reads must see the same
 buckets. A caller-given bucket is a pure function of the row, so that holds
 on any recomputation. A sampled range partitioning is not (its bounds depend
-on input order, which is not stable after a shuffle), so the range-partitioned
-frame is checkpointed once into ``spark.checkpoint.dir`` and both reads use
-that copy; it also means a lost executor cannot make the two reads disagree.
+on input order, which is not stable after a shuffle), so the input frame is
+checkpointed once into ``spark.checkpoint.dir``: reading the checkpoint gives
+the same rows in the same order every time, so the sampled bounds repeat and
+both reads agree, also after a lost executor. A checkpointed frame that is
+small (distinct values with counts, typically) skips the range step and is
+ranked with one window per key.
 
 Callers that rank values with heavy repetition first collapse them with a
 ``groupBy(value).count()`` (map-side combined) and pass the count as weight.
@@ -38,9 +41,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Frames with at most this many rows (distinct values with their counts, distinct scores) are
+# ranked with one window per key: a proven bound on what a single task holds.
+SMALL_FRAME_ROWS = 2_000_000
+
+
 def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=None,
                   num_partitions: int | None = None, small_keys: bool = True,
-                  bucket: Column | None = None) -> DataFrame:
+                  bucket: Column | None = None, small_frame_rows: int = SMALL_FRAME_ROWS) -> DataFrame:
     """Add ``_cum_incl`` (running total including the row), ``_cum_excl`` and ``_key_total``.
 
     Rows are ordered by ``order`` within each ``keys`` group; ``order`` must make the order total
@@ -48,10 +56,12 @@ def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=No
     (default: 1 per row) or a list of names, in which case every weight ``w`` gets its own
     ``_cum_incl_<w>``, ``_cum_excl_<w>`` and ``_key_total_<w>``.
     ``small_keys``: the number of key groups is bounded (class labels, column names), so the
-    ``P × #keys`` offset frame is broadcast; otherwise it is joined normally.
+    ``#buckets × #keys`` offset frame is broadcast; otherwise it is joined normally.
     ``bucket``: an integer column that never decreases along ``order`` (within a key) and depends
     only on the row; when given, it replaces the sampled range partitioning and no checkpoint is
-    needed.
+    needed. Without it the input is checkpointed once (so both reads below see the same rows in
+    the same order, and Spark's range sampling is repeatable); an input of at most
+    ``small_frame_rows`` rows is then ranked with a plain window per key.
     """
     spark = df.sparkSession
     p = num_partitions or shuffle_partitions(spark)
@@ -60,16 +70,32 @@ def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=No
     wcols = {f"_w{i}": (F.col(n) if n else F.lit(1)).cast("long") for i, n in enumerate(names)}
     keys = list(keys)
     order_cols = [_c(o) for o in order]
-    if bucket is not None:
-        ranged = df.withColumns(wcols).withColumn("_pid", bucket.cast("long"))
-    else:
+    by_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
+
+    def finish(out, lc, off, tot):
+        new = {}
+        for w, n in zip(wcols, names):
+            suffix = f"_{n}" if multi else ""
+            incl = off(w) + F.col(lc(w))
+            new[f"_cum_incl{suffix}"] = incl
+            new[f"_cum_excl{suffix}"] = incl - F.col(w)
+            new[f"_key_total{suffix}"] = F.col(tot(w))
+        return out.withColumns(new)
+
+    if bucket is None:
         ensure_checkpoint_dir(spark)
-        ranged = (df.withColumns(wcols)
-                  .repartitionByRange(p, *[F.col(k) for k in keys], *order_cols)
-                  .withColumn("_pid", F.spark_partition_id().cast("long"))
-                  .checkpoint(eager=True))
+        base = df.withColumns(wcols).checkpoint(eager=True)
+        if base.count() <= small_frame_rows:
+            run = by_key.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+            out = base.withColumns({**{f"_lc{w}": F.sum(w).over(run) for w in wcols},
+                                    **{f"_tot{w}": F.sum(w).over(by_key) for w in wcols}})
+            out = finish(out, lambda w: f"_lc{w}", lambda w: F.lit(0), lambda w: f"_tot{w}")
+            return out.drop(*wcols, *[f"_lc{w}" for w in wcols], *[f"_tot{w}" for w in wcols])
+        ranged = (base.repartitionByRange(p, *[F.col(k) for k in keys], *order_cols)
+                  .withColumn("_pid", F.spark_partition_id().cast("long")))
+    else:
+        ranged = df.withColumns(wcols).withColumn("_pid", bucket.cast("long"))
     part = ranged.groupBy("_pid", *keys).agg(*[F.sum(w).alias(f"_p{w}") for w in wcols])
-    by_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
     offsets = part.select("_pid", *keys,
                           *[(F.sum(f"_p{w}").over(by_key.orderBy("_pid")) - F.col(f"_p{w}")).alias(f"_off{w}")
                             for w in wcols],
@@ -77,17 +103,11 @@ def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=No
     local = Window.partitionBy("_pid", *keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     running = ranged.withColumns({f"_lc{w}": F.sum(w).over(local) for w in wcols})
     offs = F.broadcast(offsets) if small_keys else offsets
-    out = running.join(offs, ["_pid", *keys])
-    new = {}
-    for i, (w, n) in enumerate(zip(wcols, names)):
-        suffix = f"_{n}" if multi else ""
-        incl = F.col(f"_off{w}") + F.col(f"_lc{w}")
-        new[f"_cum_incl{suffix}"] = incl
-        new[f"_cum_excl{suffix}"] = incl - F.col(w)
-        new[f"_key_total{suffix}"] = F.col(f"_tot{w}")
+    out = finish(running.join(offs, ["_pid", *keys]), lambda w: f"_lc{w}", lambda w: F.col(f"_off{w}"),
+                 lambda w: f"_tot{w}")
     drop = ["_pid", *wcols, *[f"_off{w}" for w in wcols], *[f"_lc{w}" for w in wcols],
             *[f"_tot{w}" for w in wcols]]
-    return out.withColumns(new).drop(*drop)
+    return out.drop(*drop)
 
 
 def global_row_number(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "row_number",

@@ -218,15 +218,7 @@ SELECT k.category_tier, k.disease_keys, s.n_high, s.avg_percentage FROM keys k J
 
 def risk_bars_q(spark, sf):
     """Per-patient bar table, ascending by risk (ties in configuration order, missing scores last)."""
-    wide = _wide(spark, sf, "b")
-    entries = [F.struct(F.col(f"p_{d}").isNull().alias("k_null"), triage.tie_key(F.col(f"p_{d}")).alias("k_tie"),
-                        F.lit(config.DISEASE_POS[d]).alias("config_pos"), F.col(f"p_{d}").alias("k_p"),
-                        F.lit(config.DISEASE_NAME[d]).alias("disease_name"),
-                        F.lit(config.DISEASE_TIER[d]).alias("category_tier")) for d in RULE_DISEASES]
-    bars = wide.select("patient_id", F.posexplode(F.sort_array(F.array(*entries))).alias("pos", "e"))
-    return bars.select("patient_id", (F.col("pos") + 1).alias("bar_order"), F.col("e.disease_name").alias("disease"),
-                       F.round(F.col("e.k_p") * F.lit(100.0), 6).alias("risk_pct"),
-                       risk_tier(F.col("e.k_p")).alias("category"), F.col("e.category_tier").alias("tier"))
+    return triage.ascending_bars(_wide(spark, sf, "b"), RULE_DISEASES)
 
 
 RISK_BARS_SQL = _scores_sql("b") + """
