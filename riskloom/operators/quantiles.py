@@ -26,7 +26,12 @@ def _long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> Data
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (), small_groups: bool = True) -> DataFrame:
-    """Long frame ``(group_cols..., column, prob, value)``; one row per column × prob × group."""
+    """Long frame ``(group_cols..., column, prob, value)``; one row per column × prob × group.
+
+    With ``small_groups`` (a bounded number of groups: class labels, column names) the result —
+    at most groups × columns × probs rows — is computed once and kept as a small local table, so
+    callers that read it several times (bounds and counts, fills) do not recompute the ranks.
+    """
     group_cols = list(group_cols)
     keys = group_cols + ["column"]
     counts = _long(df, cols, group_cols).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -53,7 +58,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     rows = [F.struct(F.lit(float(q)).alias("prob"),
                      (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_t{i}")).alias("value"))
             for i, q in zip(outs, probs)]
-    return agg.select(*keys, F.inline(F.array(*rows)))
+    result = agg.select(*keys, F.inline(F.array(*rows)))
+    if small_groups:
+        spark = df.sparkSession
+        return spark.createDataFrame(result.collect(), result.schema)
+    return result
 
 
 def quantile_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group_cols: Sequence[str] = (),

@@ -42,8 +42,8 @@ def _c(x) -> Column:
 
 
 # Frames with at most this many rows (distinct values with their counts, distinct scores) are
-# ranked with one window per key: a proven bound on what a single task holds.
-SMALL_FRAME_ROWS = 2_000_000
+# ranked with one window per key: a proven bound on what a single task holds and sorts.
+SMALL_FRAME_ROWS = 200_000
 
 
 def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=None,

@@ -61,6 +61,11 @@ def score_wide(intake: DataFrame, kind: str, fitted: dict, rule_diseases=tuple(c
         df = df.withColumns(dict(panel_cols))
         rec = recipe_columns(df.select(*[n for n, _ in panel_cols]), d)
         df = df.withColumns(dict(rec))
+        closed = fit.probability_expr()
+        if closed is not None:
+            df = df.withColumn(f"p_{d}", closed)
+            df = df.drop(*[n for n, _ in panel_cols], *[n for n, _ in rec])
+            continue
         feats = fit.preprocessor.feature_exprs()
         fnames = [f"__x{i}" for i in range(len(feats))]
         df = df.withColumns({n: e for n, (_, e) in zip(fnames, feats)})

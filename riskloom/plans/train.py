@@ -72,9 +72,27 @@ class Fitted:
     def feature_names(self):
         return self.preprocessor.feature_names()
 
+    def probability_expr(self):
+        """P(y = 1) as a plain column expression when the model is a binary logistic regression:
+        ``sigmoid(intercept + coef · x)`` over the preprocessed features (whole-stage codegen, no
+        vector UDFs). ``None`` for tree ensembles, which are scored with ``transform``."""
+        from pyspark.ml.classification import LogisticRegressionModel
+        if not isinstance(self.model, LogisticRegressionModel) or self.model.numClasses != 2:
+            return None
+        margin = F.lit(float(self.model.intercept))
+        for (_, e), c in zip(self.preprocessor.feature_exprs(), self.model.coefficients.toArray()):
+            if c != 0.0:
+                margin = margin + F.lit(float(c)) * e
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+
     def score(self, df: DataFrame, out: str = "probability_1", keep=ID_COLS) -> DataFrame:
         """X16 + M6: P(Outcome = 1) for every row of a panel-shaped frame (narrow projection)."""
         eng = engineer_features(df, self.disease)
+        expr = self.probability_expr()
+        if expr is not None:
+            keep_cols = [k for k in keep if k in eng.columns]
+            return eng.select(*keep_cols, expr.alias(out)).withColumn(
+                "pred", (F.col(out) > F.lit(0.5)).cast("int"))
         vec = assemble(self.preprocessor.transform(eng, keep=[k for k in keep if k in eng.columns]),
                        self.preprocessor.feature_names())
         pred = self.model.transform(vec)
@@ -94,20 +112,52 @@ def _evaluate(pred: DataFrame) -> dict:
             "roc_auc": auc, "pr_auc": ap}
 
 
-def _fit_one(name, train, numeric, categorical, y="Outcome"):
-    """Fit preprocessor + classifier on ``train``; returns (preprocessor, model)."""
+@dataclass
+class Prepared:
+    """One training frame, preprocessed once and shared by every model fitted on it."""
+    pre: prep.PreprocessorModel
+    data: DataFrame
+    n: int
+    n_pos: int
+    n_neg: int
+
+    def release(self):
+        self.data.unpersist()
+
+
+def prepare(train: DataFrame, numeric, categorical, y: str = "Outcome") -> Prepared:
+    """Fit the preprocessor on ``train`` and persist the assembled vectors with both weight columns.
+
+    The persisted frame is a pure projection of a checkpointed input, so a lost cached block is
+    recomputed to the same rows."""
     cnt = train.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(y) == 1).alias("pos"),
                     F.count_if(F.col(y) == 0).alias("neg")).first()
     n, n_pos, n_neg = cnt["n"], cnt["pos"], cnt["neg"]
     pos_w = max(1.0, float(n_neg) / max(1, n_pos))
     pre = prep.fit_preprocessor(train, numeric, categorical)
-    wcol = weight_column(name, y, pos_w, n, n_pos, n_neg)
     data = pre.transform(train, keep=[y]).withColumn("label", F.col(y).cast("double"))
-    if wcol is not None:
-        data = data.withColumn("w", wcol)
-    data = assemble(data, pre.feature_names())
-    est = make_estimator(name, n, "w" if wcol is not None else None)
-    return pre, est.fit(data)
+    data = data.withColumns({
+        "w_pos": weight_column("XGBoost (Balanced)", y, pos_w, n, n_pos, n_neg),
+        "w_bal": weight_column("Logistic Regression (Balanced)", y, pos_w, n, n_pos, n_neg)})
+    data = assemble(data, pre.feature_names()).select("label", "w_pos", "w_bal", "features", F.col(y))
+    return Prepared(pre, data.persist(), n, n_pos, n_neg)
+
+
+_WEIGHT_OF = {"XGBoost (Balanced)": "w_pos", "Random Forest (Balanced)": "w_bal",
+              "Logistic Regression (Balanced)": "w_bal", "Gradient Boosting": None}
+
+
+def fit_prepared(name: str, p: Prepared):
+    return make_estimator(name, p.n, _WEIGHT_OF[name]).fit(p.data)
+
+
+def _fit_one(name, train, numeric, categorical, y="Outcome"):
+    """Fit preprocessor + classifier on ``train``; returns (preprocessor, model)."""
+    p = prepare(train, numeric, categorical, y)
+    try:
+        return p.pre, fit_prepared(name, p)
+    finally:
+        p.release()
 
 
 def _predict(pre, model, df, y="Outcome"):
@@ -139,19 +189,29 @@ def train_disease(panel: DataFrame, disease: str, models=tuple(MODEL_NAMES), max
     test = test.checkpoint(eager=True)
     numeric, categorical = split_by_dtype(train, exclude=[*ID_COLS, "Outcome", "fold"])
 
+    # one preprocessor per training frame (full train + each CV fold), shared by all models
+    from concurrent.futures import ThreadPoolExecutor
+    frames = {"full": train, **{f: train.where(F.col("fold") != f) for f in range(cv_folds)}}
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        t_prep = time.time()
+        prepared = dict(zip(frames, pool.map(lambda fr: prepare(fr, numeric, categorical), frames.values())))
+        prep_secs = (time.time() - t_prep) / len(frames)
+
     def full_fit(name):
         t0 = time.time()
-        pre, model = _fit_one(name, train, numeric, categorical)
-        ev = _evaluate(_predict(pre, model, test))
-        return pre, model, ev, time.time() - t0
+        p = prepared["full"]
+        model = fit_prepared(name, p)
+        ev = _evaluate(_predict(p.pre, model, test))
+        return p.pre, model, ev, time.time() - t0 + prep_secs
 
     def cv_fit(name, f):
         t0 = time.time()
-        fpre, fmodel = _fit_one(name, train.where(F.col("fold") != f), numeric, categorical)
+        p = prepared[f]
+        fmodel = fit_prepared(name, p)
         va = train.where(F.col("fold") == f)
-        return metrics.classification_metrics(_predict(fpre, fmodel, va), "y", "pred").first()["f1"], time.time() - t0
+        return (metrics.classification_metrics(_predict(p.pre, fmodel, va), "y", "pred").first()["f1"],
+                time.time() - t0 + prep_secs)
 
-    from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         full = {name: pool.submit(full_fit, name) for name in models}
         cvs = {name: [pool.submit(cv_fit, name, f) for f in range(cv_folds)] for name in models}
@@ -166,6 +226,8 @@ def train_disease(panel: DataFrame, disease: str, models=tuple(MODEL_NAMES), max
             rows.append((disease, name, mean, std, ev["accuracy"], ev["precision"], ev["recall"], ev["f1"],
                          ev["roc_auc"], ev["pr_auc"], elapsed, MODEL_NAMES.index(name)))
             fitted[name] = Fitted(disease, name, pre, model, ev)
+    for p in prepared.values():
+        p.release()
     res = spark.createDataFrame(rows, RESULT_SCHEMA)
     best = sorted(rows, key=lambda r: (-r[7], r[11]))[0]
     winner = fitted[best[1]]
