@@ -284,6 +284,31 @@ def load_artifacts(spark: SparkSession, out_dir: str, disease: str) -> Fitted |
                   {k[5:]: v for k, v in meta.items() if k.startswith("test_")})
 
 
+def save_summary(summary: DataFrame, path: str) -> None:
+    """X15 sink: the benchmark summary table (one row per winner or per model)."""
+    summary.write.mode("overwrite").parquet(path)
+
+
+def load_summary(spark: SparkSession, path: str) -> DataFrame | None:
+    """The benchmark summary, or ``None`` when it has not been written."""
+    from ..sources.files import _exists
+    return spark.read.parquet(path) if _exists(spark, path) else None
+
+
+def train_all(spark: SparkSession, sf_dir: str, diseases=None, out_dir: str | None = None, **kw) -> DataFrame:
+    """Train every disease in order; the winners (with ``disease``) as one summary frame."""
+    from ..config import TRAINING_ORDER
+    from ..sources.panels import load_panel
+    winners = []
+    for d in diseases or TRAINING_ORDER:
+        res, _ = train_disease(load_panel(spark, sf_dir, d), d, out_dir=out_dir, **kw)
+        winners.append(select_best(res))
+    out = winners[0]
+    for w in winners[1:]:
+        out = out.unionByName(w)
+    return out
+
+
 def benchmark_rollup(summary: DataFrame) -> DataFrame:
     """Number of models, mean ROC-AUC and mean accuracy of a benchmark summary."""
     return summary.agg(F.count(F.lit(1)).alias("n_models"), F.avg("test_roc_auc").alias("avg_roc_auc"),
