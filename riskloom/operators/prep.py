@@ -77,12 +77,21 @@ def fit_medians(train: DataFrame, cols: Sequence[str]) -> dict:
 
 
 def fit_modes(train: DataFrame, cols: Sequence[str]) -> dict:
-    """Most frequent value; ties go to the smallest (deterministic mode)."""
+    """Most frequent value; ties go to the smallest.
+
+    Counted as ``groupBy(column, value).count()`` (map-side combined, spread over the cluster) and
+    reduced with two small aggregations, so no task ever holds every distinct value of a column
+    (the built-in ``mode`` merges them all in one buffer)."""
     if not cols:
         return {}
-    row = train.agg(*[F.mode(_q(c).cast("string"), deterministic=True).alias(f"_{i}")
-                      for i, c in enumerate(cols)]).first()
-    return {c: row[f"_{i}"] for i, c in enumerate(cols)}
+    long = train.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), _q(c).cast("string").alias("value"))
+                                           for c in cols]))).where(F.col("value").isNotNull())
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.groupBy("column").agg(F.max("n").alias("mx"))
+    best = (counts.join(F.broadcast(top), "column").where(F.col("n") == F.col("mx"))
+            .groupBy("column").agg(F.min("value").alias("mode")))
+    got = {r["column"]: r["mode"] for r in best.collect()}
+    return {c: got.get(c) for c in cols}
 
 
 def fit_categories(train: DataFrame, cols: Sequence[str], modes: dict) -> dict:

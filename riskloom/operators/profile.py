@@ -77,19 +77,23 @@ def corr_expr(a, b):
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long ``(col_a, col_b, corr)`` for every ordered pair, pairwise-complete rows, one pass."""
-    pairs = [(a, b) for a in cols for b in cols]
-    sub = {}
+    """Long ``(col_a, col_b, corr)`` for every ordered pair, pairwise-complete rows, one pass.
+
+    The matrix is symmetric: each unordered pair is aggregated once and mirrored."""
+    cols = list(cols)
+    idx = {}
     exprs = []
-    for i, (a, b) in enumerate(pairs):
-        # pairwise-complete: only rows where both values are present enter the pair's statistics
-        both = _q(a).isNotNull() & _q(b).isNotNull()
-        xa, xb = F.when(both, _q(a)), F.when(both, _q(b))
-        exprs.append(F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"_{i}"))
-        sub[i] = (a, b)
+    for i, a in enumerate(cols):
+        for b in cols[i:]:
+            # pairwise-complete: only rows where both values are present enter the pair's statistics
+            both = _q(a).isNotNull() & _q(b).isNotNull()
+            xa, xb = F.when(both, _q(a)), F.when(both, _q(b))
+            k = len(exprs)
+            exprs.append(F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"_{k}"))
+            idx[(a, b)] = idx[(b, a)] = k
     agg = df.agg(*exprs)
-    rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_{i}").alias("corr"))
-            for i, (a, b) in sub.items()]
+    rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_{idx[(a, b)]}").alias("corr"))
+            for a in cols for b in cols]
     return agg.select(F.inline(F.array(*rows)))
 
 

@@ -30,6 +30,9 @@ def clean_table(df: DataFrame, checkpoint: bool = False) -> DataFrame:
     x = clean.sentinel_to_null(df.select(*FEATURES, "Outcome"), cols)
     x = clean.group_median_fill(x, cols, "Outcome")
     x = clean.drop_duplicate_rows(x)
+    # the IQR steps each rank the surviving rows: cut the fill + de-duplication lineage once
+    ensure_checkpoint_dir(df.sparkSession)
+    x = x.checkpoint(eager=True)
     x = clean.iqr_filter_sequential(x, cols)
     x = x.withColumns({"BMI_Category": bin_right_closed("BMI", EDA_BMI_EDGES, EDA_BMI_LABELS),
                        "Age_Group": bin_right_closed("Age", EDA_AGE_EDGES, EDA_AGE_LABELS)})
