@@ -45,6 +45,21 @@ def _by_score(df: DataFrame, y: str, score: str) -> DataFrame:
             .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")))
 
 
+def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
+    """M4 + M5 from one ranking pass: ROC-AUC and average precision as a one-row frame.
+
+    With ascending running sums, the positives and negatives at or above a threshold ``s`` are
+    ``P − pos_below(s)`` and ``N − neg_below(s)``, so one ``global_cumsum`` serves both metrics."""
+    r = global_cumsum(_by_score(df, y, score), [], ["s"], ["pos", "neg"])
+    tp = F.col("_key_total_pos") - F.col("_cum_excl_pos")
+    fp = F.col("_key_total_neg") - F.col("_cum_excl_neg")
+    a = r.agg(F.sum(F.col("pos") * (F.col("_cum_excl_neg") + F.col("neg") / F.lit(2.0))).alias("auc_num"),
+              F.sum(F.col("pos") * tp / (tp + fp)).alias("ap_num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    both = (F.col("P") > 0) & (F.col("N") > 0)
+    return a.select(F.when(both, F.col("auc_num") / (F.col("P") * F.col("N"))).otherwise(F.lit(0.5)).alias("roc_auc"),
+                    F.when(both, F.col("ap_num") / F.col("P")).otherwise(F.lit(0.5)).alias("avg_precision"))
+
+
 def roc_auc(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     """M4: ``Σ pos_s · (neg_below_s + neg_s / 2) / (P · N)`` over distinct scores; 0.5 with one class."""
     r = global_cumsum(_by_score(df, y, score), [], ["s"], ["pos", "neg"])

@@ -106,8 +106,8 @@ def assemble(df: DataFrame, feature_names, out: str = "features") -> DataFrame:
 
 def _evaluate(pred: DataFrame) -> dict:
     m = metrics.classification_metrics(pred, "y", "pred").first()
-    auc = metrics.roc_auc(pred, "y", "score").first()["roc_auc"]
-    ap = metrics.average_precision(pred, "y", "score").first()["avg_precision"]
+    rk = metrics.ranking_metrics(pred, "y", "score").first()
+    auc, ap = rk["roc_auc"], rk["avg_precision"]
     return {"accuracy": m["accuracy"], "precision": m["precision"], "recall": m["recall"], "f1": m["f1"],
             "roc_auc": auc, "pr_auc": ap}
 

@@ -40,6 +40,8 @@ def test_auc_ap_match_brute_force(spark, rows):
     ys, ss = [r[0] for r in rows], [r[1] for r in rows]
     assert metrics.roc_auc(df).first()[0] == pytest.approx(brute_auc(ys, ss))
     assert metrics.average_precision(df).first()[0] == pytest.approx(brute_ap(ys, ss))
+    both = metrics.ranking_metrics(df).first()
+    assert both.roc_auc == pytest.approx(brute_auc(ys, ss)) and both.avg_precision == pytest.approx(brute_ap(ys, ss))
 
 
 def test_prf1_zero_division(spark):
