@@ -2,7 +2,7 @@
 
 * ``linear_attribution``: closed form for a linear score (a logistic rule or a
   logistic-regression margin): ``phi_j = coef_j · (x_j − mean_bg(x_j))``. One
-  projection; the background means are one-row scalar subqueries.
+  projection; the background means are one row computed once.
 * ``sampled_shapley``: model-agnostic permutation sampling. Each row is
   exploded into ``n_perm × (F + 1)`` coalitions (features before position k of
   permutation m come from the row, the rest from background row m), scored
@@ -27,11 +27,11 @@ def linear_attribution(df: DataFrame, terms: dict, background: DataFrame, key: s
     """``terms``: feature name → (coefficient, Column giving the feature's value). Long output
     ``(key, feature, phi)``."""
     names = list(terms)
-    bg = background.agg(*[F.avg(terms[n][1]).alias(f"_m{i}") for i, n in enumerate(names)])
+    bg = background.agg(*[F.avg(terms[n][1]).alias(f"_m{i}") for i, n in enumerate(names)]).first()
     rows = []
     for i, n in enumerate(names):
         coef, x = terms[n]
-        phi = F.lit(float(coef)) * (x - bg.select(f"_m{i}").scalar())
+        phi = F.lit(float(coef)) * (x - F.lit(bg[f"_m{i}"]).cast("double"))
         rows.append(F.struct(F.lit(n).alias("feature"), phi.alias("phi")))
     return df.select(F.col(key), F.inline(F.array(*rows)))
 

@@ -135,14 +135,15 @@ def iqr_filter_sequential(df: DataFrame, cols: Sequence[str], k: float = 1.5) ->
 def clip_to_bounds(df: DataFrame, cols: Sequence[str], ref: DataFrame | None = None,
                    headroom: float = 1.15) -> DataFrame:
     """Clip each column to ``[max(0, min_ref), max_ref × headroom]`` of a reference table
-    (the table itself by default); null stays null. Bounds are one-row scalar subqueries."""
+    (the table itself by default); null stays null. The bounds are one row, computed once and
+    applied as literals."""
     ref = ref if ref is not None else df
-    stats = ref.agg(*[F.min(F.col(f"`{c}`")).alias(f"mn_{i}") for i, c in enumerate(cols)],
-                    *[F.max(F.col(f"`{c}`")).alias(f"mx_{i}") for i, c in enumerate(cols)])
+    st = ref.agg(*[F.min(F.col(f"`{c}`")).cast("double").alias(f"mn_{i}") for i, c in enumerate(cols)],
+                 *[F.max(F.col(f"`{c}`")).cast("double").alias(f"mx_{i}") for i, c in enumerate(cols)]).first()
     out = {}
     for i, c in enumerate(cols):
-        lo = F.greatest(F.lit(0.0), stats.select(F.col(f"mn_{i}").cast("double")).scalar())
-        hi = stats.select(F.col(f"mx_{i}").cast("double")).scalar() * F.lit(headroom)
+        lo = F.greatest(F.lit(0.0), F.lit(st[f"mn_{i}"]).cast("double"))
+        hi = F.lit(st[f"mx_{i}"]).cast("double") * F.lit(headroom)
         x = F.col(f"`{c}`").cast("double")
         out[c] = F.when(x.isNull(), x).when(x < lo, lo).when(x > hi, hi).otherwise(x)
     return df.withColumns(out)

@@ -1,8 +1,10 @@
 """Distribution summaries behind the charts (D1-D3, D7): histograms, kernel density, box plots.
 
 Chart drawing is not built; these are the tables a chart needs. Bounds and
-bandwidths are one-row scalar subqueries; the density grid is a fixed-size
-array exploded per distinct value and summed with partial aggregation.
+bandwidths are one bounded row computed once and applied as literals (each
+``scalar()`` subquery would re-read the table); the density grid is a
+fixed-size array exploded per distinct value and summed with partial
+aggregation.
 """
 
 from __future__ import annotations
@@ -24,9 +26,11 @@ def histogram(df: DataFrame, col: str, bins: int = 30, by: str | None = None) ->
     ends (plain ``width_bucket`` would put the max into bin n+1). Bins of one class are counted
     separately when ``by`` is given. Output ``(by?, bin, bin_lo, bin_hi, count)``."""
     x = _q(col).cast("double")
-    stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    if st["lo"] is None:
+        return df.sparkSession.createDataFrame([], ", ".join(
+            ([f"{by} string"] if by else []) + ["bin int", "bin_lo double", "bin_hi double", "count bigint"]))
+    lo, hi = F.lit(float(st["lo"])), F.lit(float(st["hi"]))
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(width == F.lit(0.0), F.lit(0)).otherwise(
         F.least(F.floor((x - lo) / width), F.lit(bins - 1))).cast("int")
@@ -43,17 +47,16 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame
     contributes to every grid point. Output ``(grid_index, x, density)``."""
     x = _q(col).cast("double")
     vals = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    stats = vals.agg(F.sum("w").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
-                     (F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias("mean"),
-                     F.sum(F.col("w") * F.col("v") * F.col("v")).alias("sxx"))
-    n = stats.select(F.col("n").cast("double")).scalar()
-    var = stats.select((F.col("sxx") - F.col("n") * F.col("mean") * F.col("mean")) / (F.col("n") - 1)).scalar()
-    h = F.sqrt(var) * F.pow(n, F.lit(-0.2))
-    start = stats.select("lo").scalar() - F.lit(cut) * h
-    stop = stats.select("hi").scalar() + F.lit(cut) * h
+    st = vals.agg(F.sum("w").cast("double").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+                  (F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias("mean"),
+                  F.sum(F.col("w") * F.col("v") * F.col("v")).alias("sxx")).first()
+    var = (st["sxx"] - st["n"] * st["mean"] * st["mean"]) / (st["n"] - 1)  # sample variance
+    n = F.lit(st["n"])
+    h = F.sqrt(F.lit(var)) * F.pow(n, F.lit(-0.2))
+    start = F.lit(st["lo"]) - F.lit(cut) * h
+    stop = F.lit(st["hi"]) + F.lit(cut) * h
     step = (stop - start) / F.lit(float(grid - 1))
     norm = n * h * F.lit(math.sqrt(2 * math.pi))
-    # scalar subqueries cannot sit inside a lambda: bind them to columns first
     bound = vals.select("v", "w", start.alias("_start"), step.alias("_step"), h.alias("_h"))
     contrib = bound.select(F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(grid - 1)),
@@ -61,7 +64,8 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame
                                                          / F.col("_h"), F.lit(2.0)))))
         .alias("grid_index", "k"))
     dens = contrib.groupBy("grid_index").agg(F.sum("k").alias("s"))
-    return dens.select("grid_index", (start + F.col("grid_index") * step).alias("x"), (F.col("s") / norm).alias("density"))
+    return dens.select("grid_index", (start + F.col("grid_index") * step).alias("x"),
+                       (F.col("s") / norm).alias("density"))
 
 
 def box_summary(df: DataFrame, col: str, by: str, k: float = 1.5) -> DataFrame:

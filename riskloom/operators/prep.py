@@ -124,8 +124,8 @@ def fit_preprocessor(train: DataFrame, numeric: Sequence[str], categorical: Sequ
 def class_weight_balanced(df: DataFrame, label: str) -> DataFrame:
     """``n / (n_classes · n_c)`` per class, as a small ``(label, n_c, weight)`` frame."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    n = df.agg(F.count(F.lit(1))).scalar()
-    k = counts.agg(F.count(F.lit(1))).scalar()
+    st = counts.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    n, k = F.lit(st["n"]).cast("long"), F.lit(st["k"]).cast("long")
     return counts.select(label, "n_c", (n / (k * F.col("n_c"))).alias("weight"))
 
 
