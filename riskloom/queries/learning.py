@@ -260,3 +260,35 @@ def _eda_sql():
 def eda_cleaned_q(spark, sf):
     """Section 3.3 chain: zero → null, class-median fill, de-duplication, sequential IQR filter, bands."""
     return _round_doubles(eda.clean_table(load_panel(spark, sf, "pima")))
+
+
+@reg("linear_attribution")
+def linear_attribution_q(spark, sf):
+    """X20 for a trained logistic regression (kidney): ``coef_j · (x_j − mean_bg(x_j))`` over the
+    preprocessed features, background = the first 100 panel rows in hash order."""
+    from ..functions.recipes import engineer_features
+    fit = report.fit_panel_models(spark, sf, ["kidney"])["kidney"]
+    eng = engineer_features(load_panel(spark, sf, "kidney"), "kidney")
+    coefs = fit.model.coefficients.toArray()
+    terms = {name: (float(c), expr) for (name, expr), c in zip(fit.preprocessor.feature_exprs(), coefs)}
+    bg = split.fixed_sample(eng, 100, ["patient_id"])
+    return attribution.linear_attribution(eng, terms, bg)
+
+
+@reg("tree_shapley")
+def tree_shapley_q(spark, sf):
+    """X19 for a tree ensemble: sampled Shapley values of a balanced random forest's P(gastro) for
+    every patient, the forest scored in bulk by MLlib on the exploded coalitions."""
+    from pyspark.ml.functions import vector_to_array
+    from ..functions.recipes import engineer_features
+    fit = report.fit_panel_models(spark, sf, ["gastro"], model_name="Random Forest (Balanced)")["gastro"]
+    panel = load_panel(spark, sf, "gastro")
+    feats = [c for c, _ in PANELS["gastro"]]
+    bg = [[r[c] for c in feats] for r in split.fixed_sample(panel.na.drop(subset=feats), 8, ["patient_id"])
+          .select(*feats).collect()]
+
+    def scorer(d):
+        eng = engineer_features(d, "gastro")
+        vec = train.assemble(fit.preprocessor.transform(eng, keep=["patient_id", "_m", "_k"]), fit.feature_names())
+        return fit.model.transform(vec).withColumn("_v", vector_to_array("probability")[1])
+    return attribution.sampled_shapley(panel, feats, scorer, bg, n_perm=8)

@@ -87,3 +87,21 @@ def test_linear_attribution_sums_to_logit_gap(spark):
     out = attribution.linear_attribution(df, terms, df).groupBy("patient_id").agg(F.sum("phi").alias("s"))
     got = {r.patient_id: r.s for r in out.collect()}
     assert got[1] == pytest.approx(2 * (1 - 2 / 3) - (0 - 2 / 3))
+
+
+def test_sampled_shapley_efficiency_for_any_model(spark):
+    """Per row, the sampled values add up to f(x) − mean over permutations of f(background)."""
+    feats = ["a", "b", "c"]
+    rows = [(i, float(i % 3), float(i % 5), float(i % 2)) for i in range(20)]
+    df = spark.createDataFrame(rows, "patient_id long, a double, b double, c double")
+    f = lambda d: F.when(F.col("a") > 1, F.col("b") * F.col("c")).otherwise(F.col("b") + 2 * F.col("c"))
+    bg = [[0.0, 1.0, 0.0], [2.0, 4.0, 1.0], [1.0, 0.0, 1.0]]
+    n_perm = 6
+    sh = attribution.sampled_shapley(df, feats, f, bg, n_perm=n_perm)
+    tot = {r.patient_id: r.s for r in sh.groupBy("patient_id").agg(F.sum("phi").alias("s")).collect()}
+
+    def fx(a, b, c):
+        return b * c if a > 1 else b + 2 * c
+    base = sum(fx(*bg[m % len(bg)]) for m in range(n_perm)) / n_perm
+    for pid, a, b, c in rows:
+        assert tot[pid] == pytest.approx(fx(a, b, c) - base)
