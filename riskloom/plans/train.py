@@ -262,9 +262,18 @@ def save_artifacts(fitted: Fitted, results: DataFrame, out_dir: str) -> str:
             "numeric": pre.numeric, "categorical": pre.categorical, "medians": pre.medians, "means": pre.means,
             "scales": pre.scales, "modes": pre.modes, "categories": pre.categories,
             "feature_names": pre.feature_names(), **{f"test_{k}": v for k, v in fitted.metrics.items()}}
-    meta_df = results.sparkSession.createDataFrame([(json.dumps(meta),)], "meta string")
+    spark = results.sparkSession
+    meta_df = spark.createDataFrame([(json.dumps(meta),)], "meta string")
     meta_df.coalesce(1).write.mode("overwrite").text(os.path.join(d, "metadata"))
     results.write.mode("overwrite").parquet(os.path.join(d, "model_comparison_results"))
+    # one row per saved winner in a shared registry table (appended, never rewritten)
+    reg_row = spark.createDataFrame(
+        [(fitted.disease, fitted.name, type(fitted.model).__name__, d, *[fitted.metrics.get(k) for k in
+                                                                          ("accuracy", "f1", "roc_auc", "pr_auc")])],
+        "disease_key string, best_model_name string, model_class string, path string, test_accuracy double, "
+        "test_f1 double, test_roc_auc double, test_pr_auc double")
+    reg_row.withColumn("saved_at", F.current_timestamp()).coalesce(1).write.mode("append") \
+        .parquet(os.path.join(out_dir, "model_registry"))
     return d
 
 

@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     # above that runs interpreted (4x slower on the 20-disease scoring projection). Above this
     # limit Spark falls back to per-expression code, which is split into JIT-able methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # rank inputs and training frames are checkpointed; remove the files once they are unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
