@@ -13,8 +13,7 @@ from ..functions.scalar import keyword_flag, risk_tier
 from ..operators import triage
 from ..sources.panels import load_intake, load_panel
 from ..sources.tables import table
-from .sqlutil import (INTERVIEW_FLAGS_SQL, interview_cte, panel_cte, projection_sql, qid, rule_prob_sql,
-                      vitals_cte)
+from .sqlutil import interview_cte, panel_cte, projection_sql, qid, rule_prob_sql, vitals_cte
 
 RULE_DISEASES = config.RULE_DISEASES
 DIM_SQL = config.dim_values_sql()
@@ -199,13 +198,6 @@ def tier_groups_q(spark, sf):
         F.round(F.avg("percentage"), 6).alias("avg_percentage"))
 
 
-TIER_GROUPS_SQL = _scores_sql("b") + """
-SELECT category_tier,
-  string_agg(DISTINCT disease_key, ', ' ORDER BY disease_key) AS disease_keys_unordered,
-  count(*) FILTER (WHERE category = 'High Risk') AS n_high,
-  round(avg(percentage), 6) AS avg_percentage
-FROM long GROUP BY category_tier
-"""
 # DuckDB cannot order a DISTINCT aggregate by another column: take keys in configuration order via a subquery.
 TIER_GROUPS_SQL = _scores_sql("b") + """
 , keys AS (SELECT category_tier, string_agg(disease_key, ', ' ORDER BY config_pos) AS disease_keys

@@ -1,6 +1,5 @@
 """Metrics against brute-force definitions; splits disjoint, complete and exact in class shares."""
 
-import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st

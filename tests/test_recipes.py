@@ -1,7 +1,5 @@
 """Feature recipes: the reference's CDC fixture with every cell worked out, one-row fixtures, edges."""
 
-import math
-
 import pytest
 from pyspark.sql import Row
 

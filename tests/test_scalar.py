@@ -6,8 +6,6 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pyspark.sql import functions as F
-
 from riskloom.functions import rules
 from riskloom.functions.scalar import (cdc_age_code, clip_zero, recommendation, risk_tier, round_tenth,
                                        triage_level)

@@ -4,7 +4,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from riskloom.operators import prep
 from riskloom.operators.clean import rename_target, split_features_target

@@ -1,10 +1,8 @@
 """Learning on a rule-labelled panel: training, selection, artifacts and closed-form scoring."""
 
-import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from riskloom.plans import report, train
 from riskloom.sources.panels import load_intake, load_panel

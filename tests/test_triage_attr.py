@@ -1,11 +1,8 @@
 """Ranked differentials, scorecards, alerts, attribution and intake projections."""
 
-import math
-
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom import config
 from riskloom.functions import rules
 from riskloom.functions.intake import intake_to_panel
 from riskloom.operators import attribution, triage
