@@ -50,7 +50,12 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame
     st = vals.agg(F.sum("w").cast("double").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
                   (F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias("mean"),
                   F.sum(F.col("w") * F.col("v") * F.col("v")).alias("sxx")).first()
-    var = (st["sxx"] - st["n"] * st["mean"] * st["mean"]) / (st["n"] - 1)  # sample variance
+    if st["n"] is None or st["n"] < 2:
+        var = 0.0
+    else:
+        var = (st["sxx"] - st["n"] * st["mean"] * st["mean"]) / (st["n"] - 1)  # sample variance
+    if not var > 0.0:  # fewer than two values, or a constant column: no bandwidth, no density
+        return df.sparkSession.createDataFrame([], "grid_index int, x double, density double")
     n = F.lit(st["n"])
     h = F.sqrt(F.lit(var)) * F.pow(n, F.lit(-0.2))
     start = F.lit(st["lo"]) - F.lit(cut) * h

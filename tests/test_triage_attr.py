@@ -102,3 +102,15 @@ def test_sampled_shapley_efficiency_for_any_model(spark):
     base = sum(fx(*bg[m % len(bg)]) for m in range(n_perm)) / n_perm
     for pid, a, b, c in rows:
         assert tot[pid] == pytest.approx(fx(a, b, c) - base)
+
+
+def test_kde_degenerate_inputs_give_no_density(spark):
+    from riskloom.operators import distribution
+    one = spark.createDataFrame([(1.0,)], "v double")
+    const = spark.createDataFrame([(2.0,), (2.0,)], "v double")
+    assert distribution.kde(one, "v").count() == 0 and distribution.kde(const, "v").count() == 0
+    two = spark.createDataFrame([(1.0,), (3.0,)], "v double")
+    d = distribution.kde(two, "v", grid=50).toPandas().sort_values("grid_index")
+    assert len(d) == 50 and (d.density >= 0).all()
+    step = d.x.iloc[1] - d.x.iloc[0]
+    assert abs(d.density.sum() * step - 1.0) < 0.05
