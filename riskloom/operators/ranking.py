@@ -102,9 +102,13 @@ def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=No
                           *[F.sum(f"_p{w}").over(by_key).alias(f"_tot{w}") for w in wcols])
     local = Window.partitionBy("_pid", *keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     running = ranged.withColumns({f"_lc{w}": F.sum(w).over(local) for w in wcols})
-    offs = F.broadcast(offsets) if small_keys else offsets
-    out = finish(running.join(offs, ["_pid", *keys]), lambda w: f"_lc{w}", lambda w: F.col(f"_off{w}"),
-                 lambda w: f"_tot{w}")
+    # null-safe join: a null key (e.g. a missing label) is a group of its own, never dropped
+    offs = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in ["_pid", *keys]],
+                          *[c for c in offsets.columns if c not in ["_pid", *keys]])
+    offs = F.broadcast(offs) if small_keys else offs
+    cond = [running[c].eqNullSafe(offs[f"_o_{c}"]) for c in ["_pid", *keys]]
+    joined = running.join(offs, cond).drop(*[f"_o_{c}" for c in ["_pid", *keys]])
+    out = finish(joined, lambda w: f"_lc{w}", lambda w: F.col(f"_off{w}"), lambda w: f"_tot{w}")
     drop = ["_pid", *wcols, *[f"_off{w}" for w in wcols], *[f"_lc{w}" for w in wcols],
             *[f"_tot{w}" for w in wcols]]
     return out.drop(*drop)

@@ -74,3 +74,12 @@ def test_stratified_cap_keeps_shares(spark):
     out = split.stratified_cap(df, "y", ["k"], 100).toPandas()
     assert len(out) == 100 and (out.y == 1).sum() == 25
     assert split.stratified_cap(df, "y", ["k"], None).count() == 1000
+
+
+def test_split_keeps_rows_with_null_label(spark):
+    rows = [(i, None if i % 10 == 0 else i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, y int")
+    out = split.stratified_split(df, "y", ["k"]).toPandas()
+    assert len(out) == 200
+    nulls = out[out.y.isna()]
+    assert len(nulls) == 20 and (nulls.split == "test").sum() == 4

@@ -40,3 +40,21 @@ def test_row_number_with_bucket_matches(spark):
     b = {r.h: r.rn for r in global_row_number(df, ["y"], ["h"], out="rn",
                                                 bucket=F.conv(F.substring("h", 1, 2), 16, 10)).collect()}
     assert a == b
+
+
+def test_range_path_matches_small_path(spark):
+    """Force the range-partitioned path (normally for frames above 200 000 rows) on a small frame."""
+    import random
+    rnd = random.Random(7)
+    rows = [(rnd.choice(["a", "b", None]), float(rnd.randint(0, 50)), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double, i long")
+    big = global_row_number(df, ["g"], ["v", "i"], out="rn", num_partitions=7)
+    from riskloom.operators import ranking
+    forced = ranking.global_cumsum(df, ["g"], ["v", "i"], None, num_partitions=7, small_frame_rows=0) \
+        .withColumnRenamed("_cum_incl", "rn")
+    a = {r.i: (r.rn, r._key_total) for r in big.collect()}
+    b = {r.i: (r.rn, r._key_total) for r in forced.collect()}
+    assert a == b and len(a) == 3000
+    pdf = pd.DataFrame(rows, columns=["g", "v", "i"]).fillna({"g": "<null>"})
+    pdf["rn"] = pdf.sort_values(["v", "i"]).groupby("g").cumcount() + 1
+    assert {i: r for i, r in zip(pdf.i, pdf.rn)} == {i: v[0] for i, v in b.items()}
