@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +48,21 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ship_code(spark: SparkSession) -> SparkSession:
+    """Give the executors' Python this package (once per context), however the driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_llm_code_shipped", False):
+        return spark
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root, name = os.path.split(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="llm-code-"), f"{name}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), root))
+    sc.addPyFile(archive)
+    sc._llm_code_shipped = True
+    return spark

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_scan, quality_rules as q
+from . import license_scan, mix_sources as m, quality_rules as q
 
 _SPLIT = r"'[\x20\x09-\x0D]+'"
 
@@ -60,6 +60,33 @@ SELECT d.doc_id, sha256({_canonical('t')}) AS digest, k.license, coalesce(f.name
 FROM d LEFT JOIN k ON sha256({_canonical('t')}) = k.digest LEFT JOIN f ON f.doc_id = d.doc_id"""
 
 
+def _op6() -> str:
+    weight = f"[{', '.join(map(str, m.WEIGHTS))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(m.WEIGHTS)} + 1]"
+    return rf"""
+WITH s AS (SELECT doc_id, source, md5('{m.SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS key,
+                  len(list_filter(regexp_split_to_array(coalesce(text, ''), {_SPLIT}), lambda x: x <> ''))::BIGINT AS size FROM documents),
+z AS (SELECT source, sum(size)::BIGINT AS n FROM s GROUP BY 1),
+w AS (SELECT *, {weight} AS w, sum(n) OVER () AS total FROM z),
+r AS (SELECT *, (total - coalesce(sum({m.MAX_REPEATS} * n) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE AS rest,
+             sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ws FROM w
+      WINDOW o AS (ORDER BY {m.MAX_REPEATS} * n / w, source NULLS LAST)),
+free AS (SELECT rest, ws FROM r WHERE rest * w / ws <= {m.MAX_REPEATS} * n ORDER BY rest DESC LIMIT 1),
+t AS (SELECT source, n, least({m.MAX_REPEATS} * n, (SELECT rest FROM free) * w / (SELECT ws FROM free))::DOUBLE AS target FROM w),
+g AS (SELECT *, CASE WHEN n > 0 THEN least({m.MAX_REPEATS}, floor(target / n))::BIGINT ELSE 0 END AS whole FROM t),
+g2 AS (SELECT *, CASE WHEN whole < {m.MAX_REPEATS} THEN greatest(0, round(target)::BIGINT - whole * n) ELSE 0 END AS missing FROM g),
+u AS (SELECT source, key, sum(size) AS words FROM s GROUP BY 1, 2),
+c AS (SELECT u.*, missing, sum(words) OVER (PARTITION BY u.source ORDER BY key) AS cum
+      FROM u JOIN g2 ON u.source IS NOT DISTINCT FROM g2.source WHERE missing > 0),
+p AS (SELECT source, coalesce(max(cum) FILTER (cum <= missing), 0) AS had FROM c GROUP BY 1),
+x AS (SELECT c.source, key, abs(missing - had - words) AS off FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source
+      WHERE cum > missing AND abs(missing - had - words) < missing - had
+      QUALIFY row_number() OVER (PARTITION BY c.source ORDER BY abs(missing - had - words), key) = 1),
+more AS (SELECT source, key FROM c WHERE cum <= missing UNION ALL SELECT source, key FROM x)
+SELECT s.doc_id, s.size, g2.n AS source_size, g2.target, s.size * (g2.whole + CASE WHEN more.key IS NULL THEN 0 ELSE 1 END) AS taken
+FROM s JOIN g2 ON s.source IS NOT DISTINCT FROM g2.source
+LEFT JOIN more ON s.source IS NOT DISTINCT FROM more.source AND s.key = more.key"""
+
+
 _OP7 = r"""
 WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
            UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
@@ -72,4 +99,4 @@ SELECT conv_id, count(*) AS n_turns,
        sum(n + rn + 9 + 1 + 7 + 1)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id"""
 
-SQL = {"op4_quality_rules": _op4(), "op5_license_scan": _op5(), "op7_chat_format": _OP7}
+SQL = {"op4_quality_rules": _op4(), "op5_license_scan": _op5(), "op6_mix_sources": _op6(), "op7_chat_format": _OP7}

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, license_scan, quality_rules
+from . import chat_format, license_scan, mix_sources, quality_rules, token_pack
 from .common import read_table
 
 
+def op1_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_pack.encode_and_read(read_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
     return judged.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -20,6 +24,12 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "digest", "license", F.array_join("line_licenses", ",").alias("line_licenses"))
 
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    allotted = mix_sources.allot(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return allotted.select("row.doc_id", "size", "source_size", "target",
+                           (F.col("size") * F.size("takes")).cast("long").alias("taken"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)],
@@ -35,8 +45,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_pack": op1_token_pack,
     "op4_quality_rules": op4_quality_rules,
     "op5_license_scan": op5_license_scan,
+    "op6_mix_sources": op6_mix_sources,
     "op7_chat_format": op7_chat_format,
 }
 
