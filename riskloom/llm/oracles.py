@@ -7,6 +7,19 @@ from . import license_scan, mix_sources as m, quality_rules as q
 _SPLIT = r"'[\x20\x09-\x0D]+'"
 
 
+_OP2 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), {_SPLIT}), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+n AS (SELECT r, i, count(*) OVER (PARTITION BY g) > 1 AS rep FROM g),
+p AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+c AS (SELECT p.*, coalesce(max(CASE WHEN rep THEN 1 ELSE 0 END) OVER (PARTITION BY p.r ORDER BY p.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) = 1 AS gone
+      FROM p LEFT JOIN n ON p.r = n.r AND p.i = n.i),
+k AS (SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY r)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.r = k.r"""
+
+
 def _op4() -> str:
     langs = " ".join(f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in words)}]" for lang, words in q.COMMON_WORDS.items())
     p, r = "list_transform({0}, lambda v: v / list_sum({0}))".format("chars"), "list_transform({0}, lambda v: v / list_sum({0}))".format("r_chars")
@@ -99,4 +112,4 @@ SELECT conv_id, count(*) AS n_turns,
        sum(n + rn + 9 + 1 + 7 + 1)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id"""
 
-SQL = {"op4_quality_rules": _op4(), "op5_license_scan": _op5(), "op6_mix_sources": _op6(), "op7_chat_format": _OP7}
+SQL = {"op2_substring_dedup": _OP2, "op4_quality_rules": _op4(), "op5_license_scan": _op5(), "op6_mix_sources": _op6(), "op7_chat_format": _OP7}

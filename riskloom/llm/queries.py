@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, license_scan, mix_sources, quality_rules, token_pack
+from . import chat_format, license_scan, mix_sources, quality_rules, substring_dedup, token_pack
 from .common import read_table
 
 
@@ -13,6 +13,11 @@ def op1_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_pack.encode_and_read(read_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedupe(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
     return judged.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -46,6 +51,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_pack": op1_token_pack,
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_license_scan": op5_license_scan,
     "op6_mix_sources": op6_mix_sources,
