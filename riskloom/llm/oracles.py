@@ -112,4 +112,17 @@ SELECT conv_id, count(*) AS n_turns,
        sum(n + rn + 9 + 1 + 7 + 1)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id"""
 
-SQL = {"op2_substring_dedup": _OP2, "op4_quality_rules": _op4(), "op5_license_scan": _op5(), "op6_mix_sources": _op6(), "op7_chat_format": _OP7}
+_OP9 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_SPLIT}), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)
+      UNION ALL SELECT doc_id, w[1] FROM d WHERE len(w) = 1),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+l AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT doc_id AS id, doc_id AS reach FROM d UNION SELECT l.x, r.reach FROM r JOIN l ON r.id = l.y)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(reach) AS component_id, min(reach) = d.doc_id AS kept
+FROM d JOIN r ON r.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n"""
+
+SQL = {"op2_substring_dedup": _OP2, "op4_quality_rules": _op4(), "op5_license_scan": _op5(), "op6_mix_sources": _op6(), "op7_chat_format": _OP7, "op9_near_dedup": _OP9}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, license_scan, mix_sources, quality_rules, substring_dedup, suffix_dedup, token_pack
+from . import chat_format, license_scan, mix_sources, near_dedup, quality_rules, substring_dedup, suffix_dedup, token_pack
 from .common import read_table
 
 
@@ -49,6 +49,11 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = near_dedup.link(read_table(spark, sf_dir, "documents"))
+    return linked.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedupe(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -61,6 +66,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_mix_sources": op6_mix_sources,
     "op7_chat_format": op7_chat_format,
+    "op9_near_dedup": op9_near_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
