@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, license_scan, mix_sources, near_dedup, quality_rules, substring_dedup, suffix_dedup, token_pack
+from . import chat_format, decontaminate, license_scan, mix_sources, near_dedup, quality_rules, substring_dedup, suffix_dedup, token_pack
 from .common import read_table
 
 
@@ -49,6 +49,14 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (~F.col("contaminated")).alias("kept"), F.size("items").cast("long").alias("n_items"),
+        F.array_join(F.transform("items", lambda x: x.item_id.cast("string")), ",").alias("item_ids"),
+        F.coalesce(F.array_max(F.transform("items", lambda x: x.coverage)), F.lit(0.0)).alias("coverage"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = near_dedup.link(read_table(spark, sf_dir, "documents"))
     return linked.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -66,6 +74,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_mix_sources": op6_mix_sources,
     "op7_chat_format": op7_chat_format,
+    "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }

@@ -46,11 +46,11 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_bounds(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the number of words before each row (with the total as last)."""
+def word_bounds(data: np.ndarray, rows: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words (bytes not ``apart``), and the number of words before each row (with the total as last)."""
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(rows), np.int64)
-    solid = ~_SPACE[data]
+    solid = ~apart[data]
     edge = np.empty(len(data) + 1, bool)
     edge[0] = edge[-1] = True
     edge[1:-1] = False
