@@ -161,5 +161,11 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: in
 
 
 def keep_good(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` that pass, with the columns of ``docs``."""
-    return judge(docs, **params).filter("kept").select("row.*")
+    """The rows of ``docs`` that pass, with the columns of ``docs``.
+
+    The filter must read the computed verdict. Pushed below the projection it
+    would repeat the word arrays inside their own lambdas; a projection with a
+    non-deterministic column stops that.
+    """
+    judged = judge(docs, **params).select("row", "kept", F.monotonically_increasing_id().alias("place"))
+    return judged.filter("kept AND place >= 0").select("row.*")
