@@ -41,7 +41,9 @@ N_CHAR_CLASSES = 6
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 MAX_CHAR_DISTANCE = 0.28
-MAX_WORD_DISTANCE = 0.36
+#: the word limit falls with length: MAX_WORD_DISTANCE + WORD_NOISE / sqrt(words), as chance alone moves short histograms
+MAX_WORD_DISTANCE = 0.11
+WORD_NOISE = 1.75
 REF_MIN_WORDS = 1000
 MAX_BROADCAST_LANGUAGES = 10_000
 
@@ -139,7 +141,7 @@ def bounded_references(refs: DataFrame, spark) -> DataFrame:
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int = MIN_WORDS,
           max_char_distance: float = MAX_CHAR_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE,
-          ref_min_words: int = REF_MIN_WORDS) -> DataFrame:
+          word_noise: float = WORD_NOISE, ref_min_words: int = REF_MIN_WORDS) -> DataFrame:
     """All rows and columns of ``docs`` in the struct column ``row``, with counts, distances and ``kept``.
 
     The references are summed first; their table has one row per language.
@@ -154,7 +156,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: in
         "word_distance": F.expr(f"CASE WHEN size(words) > 1 THEN {distance_sql('words', 'r_words')} END"),
         "_guarded": F.expr(f"n_words >= {min_words} AND aggregate(r_words, 0L, (a, x) -> a + x) >= {ref_min_words}"),
     })
-    far = F.expr(f"_guarded AND (char_distance > {max_char_distance} OR word_distance > {max_word_distance})")
+    far = F.expr(f"_guarded AND (char_distance > {max_char_distance} OR word_distance > {max_word_distance} + {word_noise} / sqrt(n_words))")
     return scored.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "char_distance", "word_distance",
                          (~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).alias("kept"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, license_scan, mix_sources, near_dedup, quality_rules, substring_dedup, suffix_dedup, token_pack
+from . import chat_format, decontaminate, license_scan, line_crf, mix_sources, near_dedup, quality_rules, substring_dedup, suffix_dedup, token_pack
 from .common import read_table
 
 
@@ -18,6 +18,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
     return judged.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -70,6 +74,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_pack": op1_token_pack,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_line_crf": op3_line_crf,
     "op4_quality_rules": op4_quality_rules,
     "op5_license_scan": op5_license_scan,
     "op6_mix_sources": op6_mix_sources,
