@@ -44,7 +44,8 @@ def sampled_shapley(df: DataFrame, features: Sequence[str], scorer: Callable[[Da
     ``background_rows``: ≤ a few hundred reference rows (values in ``features`` order); permutation m
     uses background row ``m mod len(background_rows)``. ``scorer`` returns either a Column over the
     feature columns (a rule or linear margin) or the frame with a ``_v`` score column appended (e.g.
-    an MLlib model's ``transform``). Output ``(key, feature, phi)``."""
+    an MLlib model's ``transform``). Output ``(key, feature, phi)``; ``phi`` is null for a row with a
+    coalition whose score is null. ``key`` is unique."""
     f = len(features)
     rng = np.random.RandomState(seed)
     perms = [list(rng.permutation(f)) for _ in range(n_perm)]
@@ -72,8 +73,9 @@ def sampled_shapley(df: DataFrame, features: Sequence[str], scorer: Callable[[Da
         pj = F.element_at(F.element_at(pos_lit, m1), j + 1)
         sign = F.when(F.col("_k") == pj + 1, F.lit(1.0)).when(F.col("_k") == pj, F.lit(-1.0)).otherwise(F.lit(0.0))
         credit.append(F.sum(F.col("_v") * sign).alias(f"_phi{j}"))
-    agg = scored.groupBy(key).agg(*credit)
-    rows = [F.struct(F.lit(c).alias("feature"), (F.col(f"_phi{j}") / F.lit(float(n_perm))).alias("phi"))
+    # a row with a coalition that has no score has no attribution
+    agg = scored.groupBy(key).agg(*credit, F.count_if(F.col("_v").isNull()).alias("_unscored"))
+    rows = [F.struct(F.lit(c).alias("feature"), F.when(F.col("_unscored") == 0, F.col(f"_phi{j}") / F.lit(float(n_perm))).alias("phi"))
             for j, c in enumerate(features)]
     return agg.select(F.col(key), F.inline(F.array(*rows)))
 

@@ -47,13 +47,9 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame
     contributes to every grid point. Output ``(grid_index, x, density)``."""
     x = _q(col).cast("double")
     vals = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    st = vals.agg(F.sum("w").cast("double").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
-                  (F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias("mean"),
-                  F.sum(F.col("w") * F.col("v") * F.col("v")).alias("sxx")).first()
-    if st["n"] is None or st["n"] < 2:
-        var = 0.0
-    else:
-        var = (st["sxx"] - st["n"] * st["mean"] * st["mean"]) / (st["n"] - 1)  # sample variance
+    st = vals.agg(F.sum("w").cast("double").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    # sample variance over the rows (a centred, numerically stable aggregate)
+    var = df.where(x.isNotNull() & ~F.isnan(x)).agg(F.var_samp(x)).first()[0] or 0.0
     if not var > 0.0:  # fewer than two values, or a constant column: no bandwidth, no density
         return df.sparkSession.createDataFrame([], "grid_index int, x double, density double")
     n = F.lit(st["n"])
@@ -81,7 +77,7 @@ def box_summary(df: DataFrame, col: str, by: str, k: float = 1.5) -> DataFrame:
                  (F.col("q3") + F.lit(k) * iqr).alias("_hi"))
     x = _q(col)
     j = df.select(_q(by).alias(by), x.cast("double").alias("_x")).where(F.col("_x").isNotNull()) \
-        .join(F.broadcast(q), by)
+        .join(q, by)
     inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
     return j.groupBy(by).agg(F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
                              F.min(F.when(inside, F.col("_x"))).alias("whisker_lo"),

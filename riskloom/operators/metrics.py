@@ -16,9 +16,13 @@ from .ranking import global_cumsum
 
 
 def confusion_matrix(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
-    """M1: rows = truth, columns = prediction (0/1); absent cells are 0."""
-    return (df.groupBy(F.col(y).alias("truth")).agg(
-        F.count_if(F.col(pred) == F.lit(0)).alias("pred_0"), F.count_if(F.col(pred) == F.lit(1)).alias("pred_1")))
+    """M1: rows = truth (0 and 1, always both), columns = prediction (0/1); absent cells are 0."""
+    y_, p = F.col(y), F.col(pred)
+    cells = df.agg(*[F.count_if((y_ == t) & (p == q)).alias(f"_{t}{q}") for t in (0, 1) for q in (0, 1)])
+    kind = df.schema[y].dataType
+    return cells.select(F.inline(F.array(*[
+        F.struct(F.lit(t).cast(kind).alias("truth"), F.col(f"_{t}0").alias("pred_0"), F.col(f"_{t}1").alias("pred_1"))
+        for t in (0, 1)])))
 
 
 def _zero_div(a: Column, b: Column) -> Column:

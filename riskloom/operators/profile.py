@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -46,12 +46,19 @@ def zero_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _per_column(df, cols, lambda c: F.count_if(c == F.lit(0)), "zero_count")
 
 
+def _counts(df: DataFrame, col: str) -> DataFrame:
+    return df.where(_q(col).isNotNull()).groupBy(_q(col).alias(col)).agg(F.count(F.lit(1)).alias("count"))
+
+
 def value_counts(df: DataFrame, col: str, labels: Sequence[str] | None = None) -> DataFrame:
     """A5: counts per value (nulls dropped). With ``labels``, every label is kept, absent ones at 0,
-    and ``label_pos`` gives the requested order; otherwise ``rank`` is by count descending."""
-    counts = df.where(_q(col).isNotNull()).groupBy(_q(col).alias(col)).agg(F.count(F.lit(1)).alias("count"))
+    and ``label_pos`` gives the requested order; otherwise ``rank`` is by count descending, then by value
+    (ranked in ranges: the values may be many)."""
+    counts = _counts(df, col)
     if labels is None:
-        return counts
+        from .ranking import global_row_number
+        ranked = global_row_number(counts.withColumn("_less", -F.col("count")), [], ["_less", col], out="rank")
+        return ranked.select(col, "count", "rank")
     spark = df.sparkSession
     lab = spark.createDataFrame([(str(v), i) for i, v in enumerate(labels)], f"{col} string, label_pos int")
     return (F.broadcast(lab).join(counts, col, "left")
@@ -60,7 +67,7 @@ def value_counts(df: DataFrame, col: str, labels: Sequence[str] | None = None) -
 
 def value_share(df: DataFrame, col: str, scale: float = 1.0) -> DataFrame:
     """Share of each value among non-null rows (× ``scale``; 100 gives percent)."""
-    counts = value_counts(df, col)
+    counts = _counts(df, col)
     total = counts.agg(F.sum("count")).scalar()
     return counts.select(col, "count", (F.col("count") * F.lit(scale) / total).alias("share"))
 
@@ -71,11 +78,6 @@ def group_median(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
     return quantile_wide(df, cols, [0.5], [by], names=["median"])
 
 
-def corr_expr(a, b):
-    """Pearson correlation that is null (not an error) for a constant column."""
-    return F.try_divide(F.covar_pop(_q(a), _q(b)), F.stddev_pop(_q(a)) * F.stddev_pop(_q(b)))
-
-
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Long ``(col_a, col_b, corr)`` for every ordered pair, pairwise-complete rows, one pass.
 
@@ -98,9 +100,11 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
-    """Correlation of every column (target included) with the target, ranked descending."""
+    """Correlation of every column (target included) with the target; ``rank`` is by correlation descending
+    (undefined ones last), then by name. One row per column, so the ranking window is small."""
     cm = corr_matrix(df, list(cols) + [target]).where(F.col("col_b") == F.lit(target))
-    return cm.select(F.col("col_a").alias("feature"), "corr")
+    order = Window.partitionBy("col_b").orderBy(F.desc_nulls_last("corr"), "col_a")
+    return cm.select(F.col("col_a").alias("feature"), "corr", F.row_number().over(order).alias("rank"))
 
 
 def class_mean_cov(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
@@ -111,9 +115,10 @@ def class_mean_cov(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
         rows.append(F.struct(F.lit("mean").alias("stat"), F.lit(a).alias("col_a"),
                              F.lit(None).cast("string").alias("col_b"), F.col(f"m_{i}").alias("value")))
         for j, b in enumerate(cols):
-            exprs.append(F.covar_samp(_q(a), _q(b)).alias(f"c_{i}_{j}"))
+            if i <= j:  # the matrix is symmetric
+                exprs.append(F.covar_samp(_q(a), _q(b)).alias(f"c_{i}_{j}"))
             rows.append(F.struct(F.lit("cov").alias("stat"), F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                 F.col(f"c_{i}_{j}").alias("value")))
+                                 F.col(f"c_{min(i, j)}_{max(i, j)}").alias("value")))
     return df.groupBy(by).agg(*exprs).select(by, F.inline(F.array(*rows)))
 
 

@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import global_cumsum
 
+MAX_LOCAL_ROWS = 10_000
+
 
 def _long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols]
@@ -25,17 +27,17 @@ def _long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> Data
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    group_cols: Sequence[str] = (), small_groups: bool = True) -> DataFrame:
+                    group_cols: Sequence[str] = ()) -> DataFrame:
     """Long frame ``(group_cols..., column, prob, value)``; one row per column × prob × group.
 
-    With ``small_groups`` (a bounded number of groups: class labels, column names) the result —
-    at most groups × columns × probs rows — is computed once and kept as a small local table, so
-    callers that read it several times (bounds and counts, fills) do not recompute the ranks.
+    The result is computed once, so callers that read it several times (bounds and counts, fills) do
+    not recompute the ranks: up to ``MAX_LOCAL_ROWS`` rows become a small local table, which Spark
+    broadcasts by its known size; a larger result stays distributed, in the checkpoint folder.
     """
     group_cols = list(group_cols)
     keys = group_cols + ["column"]
     counts = _long(df, cols, group_cols).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_cnt"))
-    ranked = global_cumsum(counts, keys, ["value"], "_cnt", small_keys=small_groups)
+    ranked = global_cumsum(counts, keys, ["value"], "_cnt")
     n1 = F.col("_key_total") - F.lit(1)
     picks, outs = [], []
     for i, q in enumerate(probs):
@@ -59,8 +61,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_t{i}")).alias("value"))
             for i, q in zip(outs, probs)]
     result = agg.select(*keys, F.inline(F.array(*rows)))
-    if small_groups:
-        spark = df.sparkSession
+    spark = df.sparkSession
+    result = result.checkpoint(eager=True)
+    if result.count() <= MAX_LOCAL_ROWS:
         return spark.createDataFrame(result.collect(), result.schema)
     return result
 
@@ -73,8 +76,3 @@ def quantile_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float], gr
     return (long.groupBy(*group_cols, "column")
             .agg(*[F.max(F.when(F.col("prob") == F.lit(float(q)), F.col("value"))).alias(n)
                    for q, n in zip(probs, names)]))
-
-
-def scalar_quantile(df: DataFrame, col: str, q: float) -> Column:
-    """One exact quantile of one column as a scalar subquery column (no join)."""
-    return exact_quantiles(df, [col], [q]).select("value").scalar()

@@ -15,13 +15,10 @@ work spread out:
 
 Steps 2 and 3 read the bucketed rows twice, and both reads must see the same
 buckets. A caller-given bucket is a pure function of the row, so that holds
-on any recomputation. A sampled range partitioning is not (its bounds depend
-on input order, which is not stable after a shuffle), so the input frame is
-checkpointed once into ``spark.checkpoint.dir``: reading the checkpoint gives
-the same rows in the same order every time, so the sampled bounds repeat and
-both reads agree, also after a lost executor. A checkpointed frame that is
-small (distinct values with counts, typically) skips the range step and is
-ranked with one window per key.
+on any recomputation. A sampled range partitioning is not, so its partition
+number is stored as a column and the frame is checkpointed once into
+``spark.checkpoint.dir``: both reads take the stored number, whatever Spark
+samples elsewhere. There is one path for all sizes.
 
 Callers that rank values with heavy repetition first collapse them with a
 ``groupBy(value).count()`` (map-side combined) and pass the count as weight.
@@ -41,33 +38,26 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# Frames with at most this many rows (distinct values with their counts, distinct scores) are
-# ranked with one window per key: a proven bound on what a single task holds and sorts.
-SMALL_FRAME_ROWS = 200_000
+# The offset frame (#buckets x #keys rows) is broadcast only up to this many rows, counted first.
+MAX_BROADCAST_OFFSETS = 200_000
 
 
 def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=None,
-                  num_partitions: int | None = None, small_keys: bool = True,
-                  bucket: Column | None = None, small_frame_rows: int = SMALL_FRAME_ROWS) -> DataFrame:
+                  num_partitions: int | None = None, bucket: Column | None = None) -> DataFrame:
     """Add ``_cum_incl`` (running total including the row), ``_cum_excl`` and ``_key_total``.
 
     Rows are ordered by ``order`` within each ``keys`` group; ``order`` must make the order total
     (add a unique tie-breaker) for the result to be deterministic. ``weight`` is a column name
     (default: 1 per row) or a list of names, in which case every weight ``w`` gets its own
-    ``_cum_incl_<w>``, ``_cum_excl_<w>`` and ``_key_total_<w>``.
-    ``small_keys``: the number of key groups is bounded (class labels, column names), so the
-    ``#buckets × #keys`` offset frame is broadcast; otherwise it is joined normally.
+    ``_cum_incl_<w>``, ``_cum_excl_<w>`` and ``_key_total_<w>``; sums keep the weight's own type.
     ``bucket``: an integer column that never decreases along ``order`` (within a key) and depends
-    only on the row; when given, it replaces the sampled range partitioning and no checkpoint is
-    needed. Without it the input is checkpointed once (so both reads below see the same rows in
-    the same order, and Spark's range sampling is repeatable); an input of at most
-    ``small_frame_rows`` rows is then ranked with a plain window per key.
+    only on the row; when given, it replaces the sampled range partitioning and its checkpoint.
     """
     spark = df.sparkSession
     p = num_partitions or shuffle_partitions(spark)
     multi = isinstance(weight, (list, tuple))
     names = list(weight) if multi else [weight]
-    wcols = {f"_w{i}": (F.col(n) if n else F.lit(1)).cast("long") for i, n in enumerate(names)}
+    wcols = {f"_w{i}": F.col(n) if n else F.lit(1).cast("long") for i, n in enumerate(names)}
     keys = list(keys)
     order_cols = [_c(o) for o in order]
     by_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
@@ -82,20 +72,14 @@ def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=No
             new[f"_key_total{suffix}"] = F.col(tot(w))
         return out.withColumns(new)
 
+    ensure_checkpoint_dir(spark)
     if bucket is None:
-        ensure_checkpoint_dir(spark)
-        base = df.withColumns(wcols).checkpoint(eager=True)
-        if base.count() <= small_frame_rows:
-            run = by_key.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-            out = base.withColumns({**{f"_lc{w}": F.sum(w).over(run) for w in wcols},
-                                    **{f"_tot{w}": F.sum(w).over(by_key) for w in wcols}})
-            out = finish(out, lambda w: f"_lc{w}", lambda w: F.lit(0), lambda w: f"_tot{w}")
-            return out.drop(*wcols, *[f"_lc{w}" for w in wcols], *[f"_tot{w}" for w in wcols])
-        ranged = (base.repartitionByRange(p, *[F.col(k) for k in keys], *order_cols)
-                  .withColumn("_pid", F.spark_partition_id().cast("long")))
+        ranged = (df.withColumns(wcols).repartitionByRange(p, *[F.col(k) for k in keys], *order_cols)
+                  .withColumn("_pid", F.spark_partition_id().cast("long")).checkpoint(eager=True))
     else:
         ranged = df.withColumns(wcols).withColumn("_pid", bucket.cast("long"))
-    part = ranged.groupBy("_pid", *keys).agg(*[F.sum(w).alias(f"_p{w}") for w in wcols])
+    part = ranged.groupBy("_pid", *keys).agg(*[F.sum(w).alias(f"_p{w}") for w in wcols]).checkpoint(eager=True)
+    few = part.count() <= MAX_BROADCAST_OFFSETS
     offsets = part.select("_pid", *keys,
                           *[(F.sum(f"_p{w}").over(by_key.orderBy("_pid")) - F.col(f"_p{w}")).alias(f"_off{w}")
                             for w in wcols],
@@ -105,7 +89,7 @@ def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=No
     # null-safe join: a null key (e.g. a missing label) is a group of its own, never dropped
     offs = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in ["_pid", *keys]],
                           *[c for c in offsets.columns if c not in ["_pid", *keys]])
-    offs = F.broadcast(offs) if small_keys else offs
+    offs = F.broadcast(offs) if few else offs
     cond = [running[c].eqNullSafe(offs[f"_o_{c}"]) for c in ["_pid", *keys]]
     joined = running.join(offs, cond).drop(*[f"_o_{c}" for c in ["_pid", *keys]])
     out = finish(joined, lambda w: f"_lc{w}", lambda w: F.col(f"_off{w}"), lambda w: f"_tot{w}")
@@ -115,8 +99,8 @@ def global_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence, weight=No
 
 
 def global_row_number(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "row_number",
-                      num_partitions: int | None = None, small_keys: bool = True,
+                      num_partitions: int | None = None,
                       bucket: Column | None = None) -> DataFrame:
     """Exact ``row_number()`` over ``partitionBy(keys).orderBy(order)`` (1-based) plus ``_key_total``."""
-    r = global_cumsum(df, keys, order, None, num_partitions, small_keys, bucket)
+    r = global_cumsum(df, keys, order, None, num_partitions, bucket)
     return r.withColumnRenamed("_cum_incl", out).drop("_cum_excl")

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from .ranking import global_row_number
 
 
@@ -26,14 +27,20 @@ def hash_order(keys: Sequence[str], seed: int = 42) -> Column:
     return F.md5(F.concat(*parts, F.lit(str(seed))))
 
 
-# Rows are ordered by their md5 text; its first three hex digits are a monotone bucket of that
-# order (fixed width, and '0'-'9' < 'a'-'f'), so ranks need no sampled range partitioning.
-HASH_BUCKET_DIGITS = 3
+def _bucket_digits(df: DataFrame) -> int:
+    """Leading hex digits of the order key that make a bucket: 16 buckets per shuffle partition at least.
+
+    The prefix is a monotone bucket of the md5 order (fixed width, and '0'-'9' < 'a'-'f'), so ranks need no
+    sampled range partitioning; its width follows the partition count, which is sized to the data."""
+    digits = 3
+    while 16 ** digits < 16 * shuffle_partitions(df.sparkSession):
+        digits += 1
+    return digits
 
 
 def _ranked(df: DataFrame, label: str, keys: Sequence[str], seed: int) -> DataFrame:
     h = df.withColumn("_h", hash_order(keys, seed))
-    bucket = F.conv(F.substring("_h", 1, HASH_BUCKET_DIGITS), 16, 10).cast("long")
+    bucket = F.conv(F.substring("_h", 1, _bucket_digits(df)), 16, 10).cast("long")
     return global_row_number(h, [label], ["_h", *keys], out="_rn", bucket=bucket)
 
 
@@ -52,11 +59,12 @@ def stratified_folds(df: DataFrame, label: str, keys: Sequence[str], k: int = 3,
     return r.withColumn("fold", ((F.col("_rn") - F.lit(1)) % F.lit(k)).cast("int")).drop("_h", "_rn", "_key_total")
 
 
-def stratified_cap(df: DataFrame, label: str, keys: Sequence[str], max_rows: int | None = 20000,
+def stratified_cap(df: DataFrame, label: str, keys: Sequence[str], max_rows: int | None = None,
                    seed: int = 42) -> DataFrame:
-    """At most ``max_rows`` rows, each class keeping its share (``round(max_rows · n_c / n)``).
+    """About ``max_rows`` rows, each class keeping its share (``round(max_rows · n_c / n)`` rows, so the sum may
+    differ from ``max_rows`` by the rounding of each class).
 
-    ``max_rows=None`` keeps everything (the Spark default: a cluster has no reason to cap)."""
+    ``max_rows=None``, the default, keeps everything; a bound is a documented choice of the caller."""
     if max_rows is None:
         return df
     r = _ranked(df, label, keys, seed)

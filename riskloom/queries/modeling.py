@@ -166,8 +166,8 @@ _SCORED_SQL = """WITH s AS (SELECT l.doc_id, l.quality AS y, d.n_chars / (d.n_ch
 """
 
 
-@reg("confusion_matrix", _SCORED_SQL + """SELECT y AS truth, count(*) FILTER (WHERE pred = 0) AS pred_0,
-  count(*) FILTER (WHERE pred = 1) AS pred_1 FROM s GROUP BY y""")
+@reg("confusion_matrix", _SCORED_SQL + """SELECT t.truth, count(*) FILTER (WHERE s.pred = 0) AS pred_0,
+  count(*) FILTER (WHERE s.pred = 1) AS pred_1 FROM (VALUES (0), (1)) t(truth) LEFT JOIN s ON s.y = t.truth GROUP BY t.truth""")
 def confusion_matrix_q(spark, sf):
     return metrics.confusion_matrix(_scored(spark, sf))
 

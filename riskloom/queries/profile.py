@@ -153,10 +153,11 @@ FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM
 def quantile_iqr_q(spark, sf):
     li = _li(spark, sf)
     b = clean.iqr_bounds(li, NUM)
-    # strict outliers per column: one pass over the rows with the (few-row) bounds broadcast as literals
-    outl = li.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("x")) for c in NUM])))
-    cnt = outl.join(F.broadcast(b.select("column", "lower", "upper")), "column").groupBy("column").agg(
-        F.count_if((F.col("x") < F.col("lower")) | (F.col("x") > F.col("upper"))).alias("n_outliers"))
+    # strict outliers of every column in one pass, with the bounds (one row per column) as literals
+    bounds = {r["column"]: r for r in b.collect()}
+    counted = li.agg(*[F.count_if((F.col(c) < F.lit(bounds[c]["lower"])) | (F.col(c) > F.lit(bounds[c]["upper"]))).alias(c)
+                       for c in bounds])
+    cnt = counted.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_outliers")) for c in bounds])))
     return _round_doubles(b.join(cnt, "column"))
 
 
@@ -181,8 +182,8 @@ def iqr_sequential_filter_q(spark, sf):
 
 # ---- A5, A6, D5 ------------------------------------------------------------------------------------------
 
-@reg("value_counts", "SELECT o_orderpriority, count(*) AS count FROM orders WHERE o_orderpriority IS NOT NULL "
-                     "GROUP BY 1")
+@reg("value_counts", "SELECT o_orderpriority, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, "
+                     "o_orderpriority) AS rank FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1")
 def value_counts_q(spark, sf):
     return profile.value_counts(table(spark, sf, "orders"), "o_orderpriority")
 
@@ -221,8 +222,9 @@ def corr_matrix_q(spark, sf):
     return _round_doubles(profile.corr_matrix(_li(spark, sf), NUM))
 
 
-@reg("corr_target", "WITH t AS (SELECT *, CAST(l_linestatus = 'F' AS INTEGER) AS is_f FROM lineitem)\n" + _union(
-    [f"SELECT '{a}' AS feature, {_corr_sql(a, 'is_f')} AS corr FROM t" for a in NUM + ["is_f"]]))
+@reg("corr_target", "WITH t AS (SELECT *, CAST(l_linestatus = 'F' AS INTEGER) AS is_f FROM lineitem),\nc AS (" + _union(
+    [f"SELECT '{a}' AS feature, corr({a}, is_f) AS c FROM t" for a in NUM + ["is_f"]])
+    + ")\nSELECT feature, round(c, 6) AS corr, CAST(row_number() OVER (ORDER BY c DESC NULLS LAST, feature) AS INTEGER) AS rank FROM c")
 def corr_target_q(spark, sf):
     li = _li(spark, sf).withColumn("is_f", (F.col("l_linestatus") == F.lit("F")).cast("int"))
     return _round_doubles(profile.corr_with_target(li, NUM, "is_f"))
@@ -318,8 +320,8 @@ def hist_by_class_q(spark, sf):
 
 
 @reg("kde", """WITH v AS (SELECT l_quantity AS v, count(*) AS w FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY 1),
-s AS (SELECT sum(w) * 1.0e0 AS n, min(v) AS lo, max(v) AS hi, sum(w * v) / sum(w) AS mean, sum(w * v * v) AS sxx FROM v),
-p AS (SELECT n, sqrt((sxx - n * mean * mean) / (n - 1)) * pow(n, -0.2e0) AS h, lo, hi FROM s),
+s AS (SELECT sum(w) * 1.0e0 AS n, min(v) AS lo, max(v) AS hi, (SELECT var_samp(l_quantity) FROM lineitem) AS var FROM v),
+p AS (SELECT n, sqrt(var) * pow(n, -0.2e0) AS h, lo, hi FROM s),
 g AS (SELECT CAST(i AS INTEGER) AS grid_index, lo - 3.0e0 * h + i * ((hi + 3.0e0 * h - (lo - 3.0e0 * h)) / 199.0e0) AS x,
   n, h FROM p, range(0, 200) t(i))
 SELECT grid_index, round(x, 6) AS x, round(sum(w * exp(-0.5e0 * pow((x - v) / h, 2.0e0))) / (n * h * sqrt(2 * pi())), 6)

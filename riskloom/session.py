@@ -47,11 +47,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only if unset.
+    """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only on a plain local master.
 
-    On a cluster the conf names a shared folder every executor can reach.
-    A scratch folder under /tmp is only made when nothing is configured,
-    which only happens in local tests.
+    On a cluster the conf names a shared folder every executor can reach; without it
+    this raises, since a folder of one machine would be unreadable elsewhere.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,10 +59,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif is_one_machine(sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return sc.getCheckpointDir()
 
 
+def is_one_machine(master: str) -> bool:
+    """``local`` and ``local[...]``: driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

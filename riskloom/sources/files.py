@@ -34,14 +34,6 @@ def write_csv(df: DataFrame, path: str, header: bool = True, null_value: str | N
     w.csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partition_by=None) -> None:
-    """S5 (Parquet): the default sink; ``partition_by`` for per-key directories."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -50,8 +42,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def materialize(spark: SparkSession, path: str, builder: Callable[[], DataFrame]) -> DataFrame:
-    """Read the Parquet table at ``path`` if it exists, else build it, write it
-    (``errorifexists``: concurrent builders cannot silently overwrite each other) and read it back."""
-    if not _exists(spark, path):
-        builder().write.mode("errorifexists").parquet(path)
+    """Read the Parquet table at ``path`` if a finished write left its success marker there, else
+    build it, write it and read it back. A folder without the marker is an unfinished write: it is
+    written anew. A missing folder is written with ``errorifexists``, so concurrent builders cannot
+    silently overwrite each other."""
+    if not _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        mode = "overwrite" if _exists(spark, path) else "errorifexists"
+        builder().write.mode(mode).parquet(path)
     return spark.read.parquet(path)

@@ -83,3 +83,28 @@ def test_split_keeps_rows_with_null_label(spark):
     assert len(out) == 200
     nulls = out[out.y.isna()]
     assert len(nulls) == 20 and (nulls.split == "test").sum() == 4
+
+
+def test_confusion_matrix_has_both_truth_rows(spark):
+    df = spark.createDataFrame([(1, 1), (1, 0), (1, 1)], "y int, pred int")
+    got = {x.truth: (x.pred_0, x.pred_1) for x in metrics.confusion_matrix(df).collect()}
+    assert got == {0: (0, 0), 1: (1, 2)}
+
+
+def test_value_counts_and_correlations_are_ranked(spark):
+    from riskloom.operators import profile
+    df = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,)], "v string")
+    assert [(r.v, r["count"], r["rank"]) for r in profile.value_counts(df, "v").orderBy("rank").collect()] == [
+        ("b", 2, 1), ("a", 1, 2), ("c", 1, 3)]
+    num = spark.createDataFrame([(1.0, -1.0, 1), (2.0, -2.0, 2), (3.0, -3.5, 3)], "x double, z double, t int")
+    got = [(r.feature, r["rank"]) for r in profile.corr_with_target(num, ["x", "z"], "t").orderBy("rank").collect()]
+    assert got == [("t", 1), ("x", 2), ("z", 3)]
+
+
+def test_density_of_values_far_from_zero(spark):
+    from riskloom.operators import distribution
+    df = spark.range(1000).select((F.lit(1e9) + F.col("id") / 1000.0).alias("v"))
+    got = distribution.kde(df, "v").collect()
+    assert len(got) == 200
+    step = got[1].x - got[0].x
+    assert abs(sum(r.density for r in got) * abs(step) - 1) < 0.01

@@ -2,13 +2,16 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
+from riskloom.operators.metrics import ranking_metrics
 from riskloom.operators.quantiles import exact_quantiles
-from riskloom.operators.ranking import global_row_number
+from riskloom.operators.ranking import global_cumsum, global_row_number
+from riskloom.session import ensure_checkpoint_dir
 
 
 @settings(max_examples=15, deadline=None)
@@ -42,19 +45,75 @@ def test_row_number_with_bucket_matches(spark):
     assert a == b
 
 
-def test_range_path_matches_small_path(spark):
-    """Force the range-partitioned path (normally for frames above 200 000 rows) on a small frame."""
+def test_ranks_with_null_keys(spark):
     import random
     rnd = random.Random(7)
     rows = [(rnd.choice(["a", "b", None]), float(rnd.randint(0, 50)), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, v double, i long")
-    big = global_row_number(df, ["g"], ["v", "i"], out="rn", num_partitions=7)
-    from riskloom.operators import ranking
-    forced = ranking.global_cumsum(df, ["g"], ["v", "i"], None, num_partitions=7, small_frame_rows=0) \
-        .withColumnRenamed("_cum_incl", "rn")
-    a = {r.i: (r.rn, r._key_total) for r in big.collect()}
-    b = {r.i: (r.rn, r._key_total) for r in forced.collect()}
-    assert a == b and len(a) == 3000
+    got = {r.i: r.rn for r in global_row_number(df, ["g"], ["v", "i"], out="rn", num_partitions=7).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v", "i"]).fillna({"g": "<null>"})
     pdf["rn"] = pdf.sort_values(["v", "i"]).groupby("g").cumcount() + 1
-    assert {i: r for i, r in zip(pdf.i, pdf.rn)} == {i: v[0] for i, v in b.items()}
+    assert {i: r for i, r in zip(pdf.i, pdf.rn)} == got
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_running_sums_of_600k_rows(spark, reuse):
+    """Many distinct values after a shuffle, two weights (one fractional), extra columns, several keys."""
+    n = 600_000
+    df = spark.range(n).select(
+        (F.col("id") % 3).alias("g"), (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(1024.0)).alias("v"), "id",
+        (F.col("id") % 7).alias("w"), (F.col("id") % 4 / F.lit(2.0)).alias("x"), F.lit("more").alias("extra")).repartition(5, "v")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        got = global_cumsum(df, ["g"], ["v", "id"], ["w", "x"], num_partitions=6).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert len(got) == n and (got.extra == "more").all()
+    got = got.sort_values(["g", "v", "id"])
+    for w in ("w", "x"):
+        by = got.groupby("g")[w]
+        assert np.allclose(by.cumsum(), got[f"_cum_incl_{w}"])
+        assert np.allclose(by.cumsum() - got[w], got[f"_cum_excl_{w}"])
+        assert np.allclose(by.transform("sum"), got[f"_key_total_{w}"])
+
+
+def test_auc_and_average_precision_of_600k_scores(spark):
+    n = 600_000
+    df = spark.range(n).select(
+        (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("u"), "id").select(
+        F.when(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 1000.0 < F.col("u"), 1).otherwise(0).alias("y"), F.col("u").alias("score"))
+    pdf = df.toPandas().sort_values("score")
+    y = pdf.y.to_numpy()
+    pos, neg = y.sum(), (1 - y).sum()
+    auc = (np.cumsum(1 - y) * y).sum() / (pos * neg)
+    down = y[::-1]
+    ap = (np.cumsum(down) / np.arange(1, n + 1) * down).sum() / pos
+    got = ranking_metrics(df).first()
+    assert abs(got.roc_auc - auc) < 1e-9 and abs(got.avg_precision - ap) < 1e-9
+
+
+def test_quantiles_of_many_groups_stay_distributed(spark, monkeypatch):
+    from riskloom.operators import quantiles
+    monkeypatch.setattr(quantiles, "MAX_LOCAL_ROWS", 10)
+    df = spark.range(600).select((F.col("id") % 50).alias("g"), F.col("id").cast("double").alias("v"))
+    got = {r.g: r.value for r in exact_quantiles(df, ["v"], [0.5], ["g"]).collect()}
+    assert got == {g: g + 275.0 for g in range(50)}
+
+
+def test_no_scratch_folder_on_a_cluster():
+    from riskloom.session import is_one_machine
+    assert is_one_machine("local") and is_one_machine("local[8]")
+    assert not is_one_machine("local-cluster[2,1,1024]") and not is_one_machine("spark://host:7077") and not is_one_machine("yarn")
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

@@ -78,3 +78,11 @@ def test_entry_contract(spark):
     assert df.count() > 0
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and len(q) > 100
+
+
+def test_materialize_rebuilds_an_unfinished_folder(spark):
+    path = os.path.join(_tmp(), "t")
+    spark.range(5).write.parquet(path)
+    os.remove(os.path.join(path, "_SUCCESS"))
+    assert files.materialize(spark, path, lambda: spark.range(3)).count() == 3
+    assert files.materialize(spark, path, lambda: spark.range(9)).count() == 3

@@ -114,3 +114,13 @@ def test_kde_degenerate_inputs_give_no_density(spark):
     assert len(d) == 50 and (d.density >= 0).all()
     step = d.x.iloc[1] - d.x.iloc[0]
     assert abs(d.density.sum() * step - 1.0) < 0.05
+
+
+def test_sampled_attribution_of_rows_without_a_score_is_null(spark):
+    from pyspark.sql import functions as F
+    from riskloom.operators import attribution
+    df = spark.createDataFrame([(1, 2.0, 3.0), (2, None, 1.0)], "patient_id long, a double, b double")
+    got = {(r.patient_id, r.feature): r.phi for r in attribution.sampled_shapley(
+        df, ["a", "b"], lambda d: F.col("a") * 2 + F.col("b"), [[0.0, 0.0], [1.0, 1.0]], n_perm=4).collect()}
+    assert got[1, "a"] == 3.0 and got[1, "b"] == 2.5
+    assert got[2, "a"] is None and got[2, "b"] is None
