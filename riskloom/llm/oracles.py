@@ -22,7 +22,7 @@ FROM d LEFT JOIN k ON d.r = k.r"""
 
 def _op4() -> str:
     langs = " ".join(f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in words)}]" for lang, words in q.COMMON_WORDS.items())
-    p, r = "list_transform({0}, lambda v: v / list_sum({0}))".format("chars"), "list_transform({0}, lambda v: v / list_sum({0}))".format("r_chars")
+    p, r = "list_transform({0}, lambda v: v / nullif(list_sum({0}), 0))".format("chars"), "list_transform({0}, lambda v: v / nullif(list_sum({0}), 0))".format("r_chars")
     pw, rw = p.replace("chars", "words"), r.replace("chars", "words")
 
     def js(a: str, b: str) -> str:
@@ -52,7 +52,7 @@ b AS (SELECT h.doc_id, len(w)::BIGINT AS n_words, solid::BIGINT AS word_chars, c
              (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
              len(w) < {q.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {q.REPEAT_PERCENT} * len(w) AS base_failed,
              coalesce(list_sum(r_words) >= {q.REF_MIN_WORDS} AND len(w) >= {q.MIN_WORDS} AND (
-                 {js(p, r)} > {q.MAX_CHAR_DISTANCE} OR CASE WHEN len(words) > 1 THEN {js(pw, rw)} END > {q.MAX_WORD_DISTANCE} + {q.WORD_NOISE} / sqrt(len(w))), false) AS far
+                 {js(p, r)} > {q.MAX_CHAR_DISTANCE} OR CASE WHEN len(words) > 1 THEN {js(pw, rw)} END > {q.MAX_WORD_DISTANCE} + {q.WORD_NOISE} / sqrt(greatest(len(w), 1))), false) AS far
       FROM h LEFT JOIN ref ON h.lang IS NOT DISTINCT FROM ref.r_lang LEFT JOIN rep ON h.doc_id = rep.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept FROM b"""
 

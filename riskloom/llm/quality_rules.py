@@ -77,7 +77,7 @@ def _histograms(docs: DataFrame) -> DataFrame:
 def distance_sql(own: str, ref: str) -> str:
     """SQL of the Jensen-Shannon distance (base 2) between two arrays of counts; null if either is empty."""
     def shares(x: str) -> str:
-        return f"transform({x}, v -> v / cast(aggregate({x}, 0L, (a, y) -> a + y) AS DOUBLE))"
+        return f"transform({x}, v -> v / cast(nullif(aggregate({x}, 0L, (a, y) -> a + y), 0) AS DOUBLE))"
     half = ("aggregate(zip_with({a}, {b}, (p, q) -> CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0D END), 0D, (a, x) -> a + x)")
     p, q = shares(own), shares(ref)
     return f"sqrt(greatest(0D, ({half.format(a=p, b=q)} + {half.format(a=q, b=p)}) / (2 * ln(2D))))"
@@ -156,7 +156,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: in
         "word_distance": F.expr(f"CASE WHEN size(words) > 1 THEN {distance_sql('words', 'r_words')} END"),
         "_guarded": F.expr(f"n_words >= {min_words} AND aggregate(r_words, 0L, (a, x) -> a + x) >= {ref_min_words}"),
     })
-    far = F.expr(f"_guarded AND (char_distance > {max_char_distance} OR word_distance > {max_word_distance} + {word_noise} / sqrt(n_words))")
+    far = F.expr(f"_guarded AND (char_distance > {max_char_distance} OR word_distance > {max_word_distance} + {word_noise} / sqrt(greatest(n_words, 1)))")
     return scored.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "char_distance", "word_distance",
                          (~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).alias("kept"))
