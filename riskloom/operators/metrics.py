@@ -29,38 +29,41 @@ def _zero_div(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
 
 
-def classification_metrics(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
-    """M2 + M3: accuracy, precision, recall, F1 of the positive class (0 when a denominator is 0)."""
-    yc, pc = F.col(y), F.col(pred)
-    c = df.agg(F.count_if((yc == 1) & (pc == 1)).alias("tp"), F.count_if((yc == 0) & (pc == 1)).alias("fp"),
-               F.count_if((yc == 1) & (pc == 0)).alias("fn"), F.count_if(yc == pc).alias("correct"),
-               F.count(F.lit(1)).alias("n"))
+def classification_metrics(df: DataFrame, y: str = "y", pred: str = "pred", by=()) -> DataFrame:
+    """M2 + M3: accuracy, precision, recall, F1 of the positive class (0 when a denominator is 0); one row, or one per
+    group of ``by``."""
+    yc, pc, by = F.col(y), F.col(pred), list(by)
+    c = df.groupBy(*by).agg(F.count_if((yc == 1) & (pc == 1)).alias("tp"), F.count_if((yc == 0) & (pc == 1)).alias("fp"),
+                            F.count_if((yc == 1) & (pc == 0)).alias("fn"), F.count_if(yc == pc).alias("correct"),
+                            F.count(F.lit(1)).alias("n"))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     precision = _zero_div(tp, tp + fp)
     recall = _zero_div(tp, tp + fn)
     f1 = _zero_div(F.lit(2) * tp, F.lit(2) * tp + fp + fn)
-    return c.select(_zero_div(F.col("correct"), F.col("n")).alias("accuracy"), precision.alias("precision"),
+    return c.select(*by, _zero_div(F.col("correct"), F.col("n")).alias("accuracy"), precision.alias("precision"),
                     recall.alias("recall"), f1.alias("f1"), "n")
 
 
-def _by_score(df: DataFrame, y: str, score: str) -> DataFrame:
+def _by_score(df: DataFrame, y: str, score: str, by=()) -> DataFrame:
     return (df.where(F.col(score).isNotNull())
-            .groupBy(F.col(score).cast("double").alias("s"))
+            .groupBy(*by, F.col(score).cast("double").alias("s"))
             .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")))
 
 
-def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
-    """M4 + M5 from one ranking pass: ROC-AUC and average precision as a one-row frame.
+def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score", by=()) -> DataFrame:
+    """M4 + M5 from one ranking pass: ROC-AUC and average precision as one row, or one per group of ``by``.
 
-    With ascending running sums, the positives and negatives at or above a threshold ``s`` are
-    ``P − pos_below(s)`` and ``N − neg_below(s)``, so one ``global_cumsum`` serves both metrics."""
-    r = global_cumsum(_by_score(df, y, score), [], ["s"], ["pos", "neg"])
+    Null scores have no rank and are left out. With ascending running sums, the
+    positives and negatives at or above a threshold ``s`` are ``P − pos_below(s)`` and ``N − neg_below(s)``, so one
+    ``global_cumsum`` serves both metrics."""
+    by = list(by)
+    r = global_cumsum(_by_score(df, y, score, by), by, ["s"], ["pos", "neg"])
     tp = F.col("_key_total_pos") - F.col("_cum_excl_pos")
     fp = F.col("_key_total_neg") - F.col("_cum_excl_neg")
-    a = r.agg(F.sum(F.col("pos") * (F.col("_cum_excl_neg") + F.col("neg") / F.lit(2.0))).alias("auc_num"),
-              F.sum(F.col("pos") * tp / (tp + fp)).alias("ap_num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    a = r.groupBy(*by).agg(F.sum(F.col("pos") * (F.col("_cum_excl_neg") + F.col("neg") / F.lit(2.0))).alias("auc_num"),
+                           F.sum(F.try_divide(F.col("pos") * tp, tp + fp)).alias("ap_num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     both = (F.col("P") > 0) & (F.col("N") > 0)
-    return a.select(F.when(both, F.col("auc_num") / (F.col("P") * F.col("N"))).otherwise(F.lit(0.5)).alias("roc_auc"),
+    return a.select(*by, F.when(both, F.col("auc_num") / (F.col("P") * F.col("N"))).otherwise(F.lit(0.5)).alias("roc_auc"),
                     F.when(both, F.col("ap_num") / F.col("P")).otherwise(F.lit(0.5)).alias("avg_precision"))
 
 

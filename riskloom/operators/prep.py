@@ -84,41 +84,87 @@ def fit_modes(train: DataFrame, cols: Sequence[str]) -> dict:
     (the built-in ``mode`` merges them all in one buffer)."""
     if not cols:
         return {}
-    long = train.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), _q(c).cast("string").alias("value"))
-                                           for c in cols]))).where(F.col("value").isNotNull())
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.groupBy("column").agg(F.max("n").alias("mx"))
-    best = (counts.join(F.broadcast(top), "column").where(F.col("n") == F.col("mx"))
-            .groupBy("column").agg(F.min("value").alias("mode")))
-    got = {r["column"]: r["mode"] for r in best.collect()}
+    got = {r["column"]: r["mode"] for r in _top_values(_value_counts(train, cols)).collect()}
     return {c: got.get(c) for c in cols}
 
 
+def _value_counts(train: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    long = train.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), _q(c).cast("string").alias("value")) for c in cols])))
+    return long.where(F.col("value").isNotNull()).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _top_values(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The most frequent value per column, the smallest of equals."""
+    best = counts.groupBy(*by, "column", "n").agg(F.min("value").alias("value"))
+    return best.groupBy(*by, "column").agg(F.max_by("value", "n").alias("mode"))
+
+
+# a one-hot column per category: more than this many is a mistake in the column list, not a model
+MAX_CATEGORIES = 100_000
+
+
+def _check_categories(n: int) -> None:
+    if n > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories to one-hot encode")
+
+
 def fit_categories(train: DataFrame, cols: Sequence[str], modes: dict) -> dict:
-    """Sorted distinct categories of each (mode-imputed) column, from one aggregation."""
+    """Sorted distinct categories of each (mode-imputed) column, counted per value and checked before they come
+    to the driver. The mode is a value of the column, so imputing adds none."""
     if not cols:
         return {}
-    row = train.agg(*[F.array_sort(F.collect_set(F.coalesce(_q(c).cast("string"), F.lit(modes[c])))).alias(f"_{i}")
-                      for i, c in enumerate(cols)]).first()
-    return {c: list(row[f"_{i}"]) for i, c in enumerate(cols)}
+    seen = _value_counts(train, cols).select("column", "value").limit(MAX_CATEGORIES + 1).collect()
+    _check_categories(len(seen))
+    return {c: sorted({r["value"] for r in seen if r["column"] == c}) for c in cols}
+
+
+def fit_preprocessors(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], folds: int,
+                      fold: str = "fold") -> dict:
+    """X5 for the whole training frame (key ``None``) and for each frame without one fold (keys 0..folds−1).
+
+    Every statistic of all frames comes from one job: a row counts for the whole frame and for each frame that
+    does not leave its fold out, as one group each."""
+    frames = [None, *range(folds)]
+    key = F.array(F.lit(-1), *[F.when(F.col(fold) != F.lit(f), F.lit(f)) for f in range(folds)])
+    rows = train.withColumn("_frame", F.explode(F.array_compact(key)))
+    models = {f: PreprocessorModel(list(numeric), list(categorical)) for f in frames}
+    name = {f: -1 if f is None else f for f in frames}
+    if numeric:
+        got = {(r["_frame"], r["column"]): r["value"]
+               for r in exact_quantiles(rows, numeric, [0.5], ["_frame"]).select("_frame", "column", "value").collect()}
+        for f, m in models.items():
+            m.medians = {c: got.get((name[f], c)) for c in numeric}
+
+        def imputed(c):
+            med = F.lit(None).cast("double")
+            for f, m in models.items():
+                med = F.when(F.col("_frame") == name[f], F.lit(m.medians[c]).cast("double")).otherwise(med)
+            return F.coalesce(_q(c).cast("double"), med)
+        imp = rows.select("_frame", *[imputed(c).alias(f"_{i}") for i, c in enumerate(numeric)])
+        stats = {r["_frame"]: r for r in imp.groupBy("_frame").agg(
+            *[F.avg(f"_{i}").alias(f"m{i}") for i in range(len(numeric))],
+            *[F.stddev_pop(f"_{i}").alias(f"s{i}") for i in range(len(numeric))]).collect()}
+        for f, m in models.items():
+            r = stats.get(name[f])
+            for i, c in enumerate(numeric):
+                s = r[f"s{i}"] if r else None
+                m.means[c] = r[f"m{i}"] if r else None
+                m.scales[c] = 1.0 if (s is None or s == 0.0) else s
+    if categorical:
+        counts = _value_counts(rows, categorical, ["_frame"])
+        best = {(r["_frame"], r["column"]): r["mode"] for r in _top_values(counts, ["_frame"]).collect()}
+        seen = counts.where(F.col("value").isNotNull()).select("_frame", "column", "value").limit(MAX_CATEGORIES + 1).collect()
+        _check_categories(len(seen))
+        for f, m in models.items():
+            m.modes = {c: best.get((name[f], c)) for c in categorical}
+            m.categories = {c: sorted({r["value"] for r in seen if r["_frame"] == name[f] and r["column"] == c}) for c in categorical}
+    return models
 
 
 def fit_preprocessor(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PreprocessorModel:
     """Median → standard scaling (population std, 0 → 1) for numerics; mode → one-hot for categoricals."""
-    m = PreprocessorModel(list(numeric), list(categorical))
-    m.medians = fit_medians(train, numeric)
-    if numeric:
-        imp = train.select(*[F.coalesce(_q(c).cast("double"), F.lit(m.medians[c])).alias(f"_{i}")
-                             for i, c in enumerate(numeric)])
-        row = imp.agg(*[F.avg(f"_{i}").alias(f"m{i}") for i in range(len(numeric))],
-                      *[F.stddev_pop(f"_{i}").alias(f"s{i}") for i in range(len(numeric))]).first()
-        for i, c in enumerate(numeric):
-            m.means[c] = row[f"m{i}"]
-            s = row[f"s{i}"]
-            m.scales[c] = 1.0 if (s is None or s == 0.0) else s
-    m.modes = fit_modes(train, categorical)
-    m.categories = fit_categories(train, categorical, m.modes)
-    return m
+    return fit_preprocessors(train, numeric, categorical, 0)[None]
 
 
 def class_weight_balanced(df: DataFrame, label: str) -> DataFrame:

@@ -74,6 +74,24 @@ def stratified_cap(df: DataFrame, label: str, keys: Sequence[str], max_rows: int
     return r.where(F.col("_rn") <= cap).drop("_h", "_rn", "_key_total")
 
 
+def train_test_folds(df: DataFrame, label: str, keys: Sequence[str], test_frac: float = 0.2, k: int = 3,
+                     max_train_rows: int | None = None, seed: int = 42) -> DataFrame:
+    """W4 + T6 + W5 from one ranking per class: ``fold`` is null for test rows and 0..k−1 for training rows; training
+    rows above the class's cap are left out. The same rows as split, cap and folds applied one after another, since
+    all three follow the same order."""
+    r = _ranked(df, label, keys, seed)
+    n_test = F.round(F.col("_key_total") * F.lit(float(test_frac)))
+    r = r.withColumn("_train_rn", F.col("_rn") - n_test.cast("long"))
+    if max_train_rows is not None:
+        per_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+        n = per_class.agg(F.sum(F.col("n") - F.round(F.col("n") * F.lit(float(test_frac))).cast("long"))).first()[0] or 0
+        if n > max_train_rows:
+            n_train = F.col("_key_total") - n_test.cast("long")
+            r = r.where(F.col("_train_rn") <= F.round(n_train * F.lit(float(max_train_rows)) / F.lit(n)))
+    fold = F.when(F.col("_train_rn") > 0, ((F.col("_train_rn") - F.lit(1)) % F.lit(k)).cast("int"))
+    return r.withColumn("fold", fold).drop("_h", "_rn", "_key_total", "_train_rn")
+
+
 def fixed_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """T4: ``n`` rows in hash order (a sort-limit: each task keeps its own best ``n``)."""
     return df.withColumn("_h", hash_order(keys, seed)).orderBy("_h", *keys).limit(n).drop("_h")

@@ -104,14 +104,6 @@ def assemble(df: DataFrame, feature_names, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(feature_names), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def _evaluate(pred: DataFrame) -> dict:
-    m = metrics.classification_metrics(pred, "y", "pred").first()
-    rk = metrics.ranking_metrics(pred, "y", "score").first()
-    auc, ap = rk["roc_auc"], rk["avg_precision"]
-    return {"accuracy": m["accuracy"], "precision": m["precision"], "recall": m["recall"], "f1": m["f1"],
-            "roc_auc": auc, "pr_auc": ap}
-
-
 @dataclass
 class Prepared:
     """One training frame, preprocessed once and shared by every model fitted on it."""
@@ -125,21 +117,26 @@ class Prepared:
         self.data.unpersist()
 
 
-def prepare(train: DataFrame, numeric, categorical, y: str = "Outcome") -> Prepared:
-    """Fit the preprocessor on ``train`` and persist the assembled vectors with both weight columns.
+# A training frame runs through hundreds of small jobs; a partition per so many rows keeps their tasks worth starting.
+ROWS_PER_TRAIN_PARTITION = 20_000
+
+
+def prepare(train: DataFrame, numeric, categorical, y: str = "Outcome", pre: prep.PreprocessorModel | None = None) -> Prepared:
+    """Fit the preprocessor on ``train`` (unless given) and persist the assembled vectors with both weight columns.
 
     The persisted frame is a pure projection of a checkpointed input, so a lost cached block is
-    recomputed to the same rows."""
+    recomputed to the same rows. Its partition count follows its rows, not the scan it came from."""
     cnt = train.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(y) == 1).alias("pos"),
                     F.count_if(F.col(y) == 0).alias("neg")).first()
     n, n_pos, n_neg = cnt["n"], cnt["pos"], cnt["neg"]
     pos_w = max(1.0, float(n_neg) / max(1, n_pos))
-    pre = prep.fit_preprocessor(train, numeric, categorical)
+    pre = pre or prep.fit_preprocessor(train, numeric, categorical)
     data = pre.transform(train, keep=[y]).withColumn("label", F.col(y).cast("double"))
     data = data.withColumns({
         "w_pos": weight_column("XGBoost (Balanced)", y, pos_w, n, n_pos, n_neg),
         "w_bal": weight_column("Logistic Regression (Balanced)", y, pos_w, n, n_pos, n_neg)})
     data = assemble(data, pre.feature_names()).select("label", "w_pos", "w_bal", "features", F.col(y))
+    data = data.coalesce(max(1, -(-n // ROWS_PER_TRAIN_PARTITION)))
     return Prepared(pre, data.persist(), n, n_pos, n_neg)
 
 
@@ -160,10 +157,13 @@ def _fit_one(name, train, numeric, categorical, y="Outcome"):
         p.release()
 
 
-def _predict(pre, model, df, y="Outcome"):
-    vec = assemble(pre.transform(df, keep=[y]), pre.feature_names())
-    out = model.transform(vec)
-    return out.select(F.col(y).cast("int").alias("y"), F.col("prediction").cast("int").alias("pred"),
+def _vectors(pre, df, y="Outcome") -> DataFrame:
+    return assemble(pre.transform(df, keep=[y]), pre.feature_names()).select(F.col(y).cast("int").alias("y"), "features")
+
+
+def _predicted(model, vectors: DataFrame, **tags) -> DataFrame:
+    out = model.transform(vectors)
+    return out.select(*[F.lit(v).alias(k) for k, v in tags.items()], "y", F.col("prediction").cast("int").alias("pred"),
                       vector_to_array("probability")[1].alias("score"))
 
 
@@ -178,54 +178,56 @@ def train_disease(panel: DataFrame, disease: str, models=tuple(MODEL_NAMES), max
     ensure_checkpoint_dir(spark)
     df = engineer_features(panel, disease)
     split_features_target(df)  # P9: fails fast without an Outcome column
-    sp = split.stratified_split(df, "Outcome", list(ID_COLS))
-    train = sp.where(F.col("split") == "train").drop("split")
-    test = sp.where(F.col("split") == "test").drop("split")
-    if max_train_rows is not None:
-        train = split.stratified_cap(train, "Outcome", list(ID_COLS), max_train_rows)
-    train = split.stratified_folds(train, "Outcome", list(ID_COLS), cv_folds)
-    # the split/fold ranks are reused by every model: materialise once (lineage cut, survives executor loss)
-    train = train.checkpoint(eager=True)
-    test = test.checkpoint(eager=True)
+    # one ranking gives split, cap and folds; every model reuses it (lineage cut, survives executor loss)
+    rows = split.train_test_folds(df, "Outcome", list(ID_COLS), k=cv_folds, max_train_rows=max_train_rows).checkpoint(eager=True)
+    train, test = rows.where(F.col("fold").isNotNull()), rows.where(F.col("fold").isNull()).drop("fold")
     numeric, categorical = split_by_dtype(train, exclude=[*ID_COLS, "Outcome", "fold"])
 
     # one preprocessor per training frame (full train + each CV fold), shared by all models
     from concurrent.futures import ThreadPoolExecutor
-    frames = {"full": train, **{f: train.where(F.col("fold") != f) for f in range(cv_folds)}}
+    frames = {None: train, **{f: train.where(F.col("fold") != f) for f in range(cv_folds)}}
+    t_prep = time.time()
+    fitted_pre = prep.fit_preprocessors(train, numeric, categorical, cv_folds)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        t_prep = time.time()
-        prepared = dict(zip(frames, pool.map(lambda fr: prepare(fr, numeric, categorical), frames.values())))
-        prep_secs = (time.time() - t_prep) / len(frames)
-
-    def full_fit(name):
-        t0 = time.time()
-        p = prepared["full"]
-        model = fit_prepared(name, p)
-        ev = _evaluate(_predict(p.pre, model, test))
-        return p.pre, model, ev, time.time() - t0 + prep_secs
+        prepared = dict(zip(frames, pool.map(lambda f: prepare(frames[f], numeric, categorical, pre=fitted_pre[f]), frames)))
+    prep_secs = (time.time() - t_prep) / len(frames)
 
-    def cv_fit(name, f):
+    def fit(task):
         t0 = time.time()
-        p = prepared[f]
-        fmodel = fit_prepared(name, p)
-        va = train.where(F.col("fold") == f)
-        return (metrics.classification_metrics(_predict(p.pre, fmodel, va), "y", "pred").first()["f1"],
-                time.time() - t0 + prep_secs)
+        return fit_prepared(task[0], prepared[task[1]]), time.time() - t0 + prep_secs
 
+    tasks = [(name, f) for name in models for f in frames]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        full = {name: pool.submit(full_fit, name) for name in models}
-        cvs = {name: [pool.submit(cv_fit, name, f) for f in range(cv_folds)] for name in models}
-        rows, fitted = [], {}
+        fits = dict(zip(tasks, pool.map(fit, tasks)))
+
+    # test and validation vectors are prepared once per frame; all models are scored into one frame, written once
+    t_eval = time.time()
+    scored = None
+    for f in frames:
+        held = test if f is None else train.where(F.col("fold") == f)
+        vectors = _vectors(prepared[f].pre, held)
         for name in models:
-            pre, model, ev, secs = full[name].result()
-            cv_res = [c.result() for c in cvs[name]]
-            cv = [c[0] for c in cv_res]
-            elapsed = secs + sum(c[1] for c in cv_res)  # M7: fit + CV + evaluation time of this model
-            mean = sum(cv) / len(cv)
-            std = (sum((c - mean) ** 2 for c in cv) / len(cv)) ** 0.5
-            rows.append((disease, name, mean, std, ev["accuracy"], ev["precision"], ev["recall"], ev["f1"],
-                         ev["roc_auc"], ev["pr_auc"], elapsed, MODEL_NAMES.index(name)))
-            fitted[name] = Fitted(disease, name, pre, model, ev)
+            out = _predicted(fits[name, f][0], vectors, model_name=name, part=-1 if f is None else f)
+            scored = out if scored is None else scored.unionByName(out)
+    scored = scored.checkpoint(eager=True)
+    by_part = {(r["model_name"], r["part"]): r for r in
+               metrics.classification_metrics(scored, "y", "pred", ["model_name", "part"]).collect()}
+    ranked = {r["model_name"]: r for r in
+              metrics.ranking_metrics(scored.where("part = -1"), "y", "score", ["model_name"]).collect()}
+    eval_secs = (time.time() - t_eval) / max(1, len(models))
+    nothing = {"accuracy": 0.0, "precision": 0.0, "recall": 0.0, "f1": 0.0}
+    rows, fitted = [], {}
+    for name in models:
+        t, rk = by_part.get((name, -1), nothing), ranked.get(name)
+        ev = {**{k: t[k] for k in nothing}, "roc_auc": rk["roc_auc"] if rk else 0.5, "pr_auc": rk["avg_precision"] if rk else 0.5}
+        cv = [by_part.get((name, f), nothing)["f1"] for f in range(cv_folds)]
+        mean = sum(cv) / len(cv)
+        std = (sum((c - mean) ** 2 for c in cv) / len(cv)) ** 0.5
+        elapsed = sum(fits[name, f][1] for f in frames) + eval_secs  # M7: fit + CV + evaluation time of this model
+        rows.append((disease, name, mean, std, ev["accuracy"], ev["precision"], ev["recall"], ev["f1"],
+                     ev["roc_auc"], ev["pr_auc"], elapsed, MODEL_NAMES.index(name)))
+        counts = {"n_train": prepared[None].n, "n_test": 0 if t is nothing else int(t["n"])}
+        fitted[name] = Fitted(disease, name, prepared[None].pre, fits[name, None][0], {**ev, **counts})
     for p in prepared.values():
         p.release()
     res = spark.createDataFrame(rows, RESULT_SCHEMA)
