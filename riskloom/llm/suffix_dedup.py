@@ -37,14 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_partitions, ship_code, written
+from .common import ship_code, written
 from .rolling import BYTE_HASH, Anchors, gram_hashes, merged_spans, mix, text_bytes
 from .substring_dedup import SEED_SCHEMA, SPREAD_SCHEMA, _spread, field, flat_lists, keyed, merged_by_key, repeated_seeds, seed_rows, slices
 
 LENGTH = 200
 K = 64
 SAMPLE_PER_BUCKET = 64
-BUCKETS_PER_PARTITION = 2
+#: suffixes per bucket; a bucket is one task's memory, so its size is fixed and the number of buckets follows the data
+BUCKET_SUFFIXES = 8192
 
 
 def _suffix_seeds(length: int, k: int):
@@ -175,7 +176,9 @@ def _bucket(length: int, splitters: list[bytes]):
             twin[1:] = s[1:] == s[:-1]
             twin[:-1] |= s[1:] == s[:-1]
             met[owns[by[twin]], d] = True
-            ask[owns, d] = edge[owns] >= length - d
+            # equal strings of this bucket ask once: all of them are known to repeat already
+            lead = by[np.concatenate([[True], s[1:] != s[:-1]])]
+            ask[owns[lead], d] = edge[owns[lead]] >= length - d
         row, d = np.nonzero(met)
         first = col["first"][row] + to_anchor[row] - d
         # the strings of one suffix follow each other: runs of d become one span
@@ -200,9 +203,10 @@ def _bucket(length: int, splitters: list[bytes]):
     return run
 
 
-def _splitters(suffixes: DataFrame, buckets: int) -> list[bytes]:
-    """``buckets - 1`` quantiles of a sample of at most about ``SAMPLE_PER_BUCKET`` suffixes per bucket."""
+def _splitters(suffixes: DataFrame) -> list[bytes]:
+    """Quantiles of a sample of about ``SAMPLE_PER_BUCKET`` suffixes per bucket."""
     total = suffixes.count()
+    buckets = max(1, -(-total // BUCKET_SUFFIXES))
     every = max(1, total // (SAMPLE_PER_BUCKET * buckets))
     sample = suffixes.filter(F.pmod(F.xxhash64("key", "first", "to_anchor"), F.lit(every)) == 0)
     sample = sorted(_sort_key(r["context"], r["to_anchor"], r["key"]) for r in sample.select("context", "to_anchor", "key").toLocalIterator())
@@ -218,7 +222,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFra
     spread = written(spark, repeated_seeds(seeds).mapInArrow(_spread(length), SPREAD_SCHEMA), "suffix-seeds")
     asked = spread.filter("NOT whole").groupBy("key").agg(F.collect_list(F.struct("first", "more", "to_anchor", "gram")).alias("asked"))
     suffixes = written(spark, docs.select("key", "text").join(asked, "key").mapInArrow(_contexts(length), SUFFIX_SCHEMA), "suffixes")
-    splitters = _splitters(suffixes, BUCKETS_PER_PARTITION * n_partitions(spark))
+    splitters = _splitters(suffixes)
     found = suffixes.mapInArrow(_dealt(splitters), SUFFIX_SCHEMA + ", bucket int").groupBy("bucket").applyInArrow(
         _bucket(length, splitters), FOUND_SCHEMA)
     found = written(spark, found, "suffix-spans")
