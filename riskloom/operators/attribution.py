@@ -11,11 +11,13 @@
   exploded rows of one input row stay in its task, so the per-row sums are
   combined map-side before the shuffle; the background is a bounded set of
   rows (default 100) held as literals.
+* ``exact_shapley``: all coalitions of a few features against the whole background, as array expressions in the row.
 * ``global_importance``: mean absolute attribution per feature.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -80,6 +82,44 @@ def sampled_shapley(df: DataFrame, features: Sequence[str], scorer: Callable[[Da
     return agg.select(F.col(key), F.inline(F.array(*rows)))
 
 
+MAX_EXACT_FEATURES = 8
+
+
+def exact_shapley(df: DataFrame, features: Sequence[str], scorer: Callable[[dict], Column],
+                  background_rows: Sequence[Sequence[float]], key: str = "patient_id") -> DataFrame:
+    """Exact Shapley values by enumerating all ``2^F`` coalitions of a few features, inside the row.
+
+    ``scorer`` maps a dict (feature → Column) to the score. A coalition's value is its mean score over the background
+    rows (a bounded literal array), the other features taken from there. No explode and no shuffle. Output
+    ``(key, feature, phi)``; ``phi`` is null for a row with a coalition that has no score."""
+    f = len(features)
+    if f > MAX_EXACT_FEATURES:
+        raise ValueError(f"exact enumeration takes at most {MAX_EXACT_FEATURES} features; use sampled_shapley")
+    bg = F.array(*[F.struct(*[F.lit(None if v is None else float(v)).cast("double").alias(f"b{j}") for j, v in enumerate(row)])
+                   for row in background_rows])
+    own = df.select(F.col(key), *[F.col(f"`{c}`").cast("double").alias(f"_x{j}") for j, c in enumerate(features)])
+
+    def value(mask):
+        def score(b):
+            return scorer({c: F.col(f"_x{j}") if mask >> j & 1 else b[f"b{j}"] for j, c in enumerate(features)})
+        total = F.aggregate(F.transform(bg, score), F.lit(0.0), lambda a, x: a + x)
+        return (total / F.lit(float(len(background_rows)))).alias(f"_v{mask}")
+    valued = own.select(key, *[value(m) for m in range(1 << f)])
+    unscored = F.lit(False)
+    for m in range(1 << f):
+        unscored = unscored | F.col(f"_v{m}").isNull()
+    rows = []
+    for j, c in enumerate(features):
+        phi = F.lit(0.0)
+        for m in range(1 << f):
+            if not m >> j & 1:
+                n = bin(m).count("1")
+                weight = math.factorial(n) * math.factorial(f - n - 1) / math.factorial(f)
+                phi = phi + F.lit(weight) * (F.col(f"_v{m | 1 << j}") - F.col(f"_v{m}"))
+        rows.append(F.struct(F.lit(c).alias("feature"), F.when(~unscored, phi).alias("phi")))
+    return valued.select(key, F.inline(F.array(*rows)))
+
+
 def global_importance(attr: DataFrame) -> DataFrame:
     """Mean |phi| per feature (rows with a null phi are skipped)."""
     return attr.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_phi"), F.count("phi").alias("n"))

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .clean import clip_to_bounds, round_to_int, tag_source, union_all
-from .split import full_shuffle
 
 
 def _cholesky(cov: np.ndarray) -> np.ndarray:
@@ -42,7 +41,7 @@ def enlarge(real: DataFrame, features: Sequence[str], label: str = "Outcome", to
         F.count(F.lit(1)).alias("n"),
         *[F.avg(f"`{a}`").alias(f"m{i}") for i, a in enumerate(feats)],
         *[F.covar_samp(f"`{a}`", f"`{b}`").alias(f"c{i}_{j}") for i, a in enumerate(feats)
-          for j, b in enumerate(feats)]).collect()  # two rows: F means and F×F covariances per class
+          for j, b in enumerate(feats) if i <= j]).collect()  # two rows: F means and F×F covariances per class
     by = {r[label]: r for r in stats}
     n_real = sum(r["n"] for r in stats)
     n_pos = int(total_rows * (by[1]["n"] / n_real)) if 1 in by else 0
@@ -53,7 +52,7 @@ def enlarge(real: DataFrame, features: Sequence[str], label: str = "Outcome", to
             continue
         r = by[cls]
         mean = np.array([r[f"m{i}"] for i in range(len(feats))], dtype=float)
-        cov = np.array([[r[f"c{i}_{j}"] or 0.0 for j in range(len(feats))] for i in range(len(feats))])
+        cov = np.array([[r[f"c{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(len(feats))] for i in range(len(feats))])
         chol = _cholesky(cov)
         nparts = max(1, n // rows_per_partition)
         base = spark.range(0, n, numPartitions=nparts)
@@ -69,7 +68,7 @@ def enlarge(real: DataFrame, features: Sequence[str], label: str = "Outcome", to
     synth = union_all(parts)
     synth = clip_to_bounds(synth, feats, ref=real)
     synth = synth.withColumns({c: round_to_int(c) for c in int_cols})
-    synth = tag_source(full_shuffle(synth, seed), synth_tag)
+    synth = tag_source(synth, synth_tag)  # the union keeps no order: a sink that needs one sorts
     real_t = tag_source(real.select(*[F.col(f"`{a}`").cast("double" if a not in int_cols else "int").alias(a)
                                       for a in feats], F.col(label)), real_tag)
     synth = synth.select(*[F.col(f"`{a}`").cast("double" if a not in int_cols else "int").alias(a) for a in feats],

@@ -21,32 +21,36 @@ from ..functions import rules
 from ..functions.intake import interview_flags, projection
 from ..functions.recipes import recipe_columns
 from ..sources.panels import load_panel
-from .train import Fitted, _fit_one
+from .train import Fitted, _fit_one, load_artifacts, save_artifacts
 from ..operators.clean import split_by_dtype
 
 P = "i__"
-_FIT_CACHE: dict = {}
+FULL_PANEL_MODEL = "Logistic Regression (Balanced)"
 
 
-def fit_panel_models(spark, sf: str, diseases, model_name: str = "Logistic Regression (Balanced)",
-                     parallelism: int = 8) -> dict:
+def fit_panel_models(spark, sf: str, diseases, model_name: str = FULL_PANEL_MODEL, parallelism: int = 8,
+                     artifacts: str | None = None) -> dict:
     """One classifier per disease, fitted on the disease's whole panel (recipe features included).
 
+    With ``artifacts`` (a shared folder), saved models are loaded and new ones saved there (read-or-build).
     The fits are independent jobs submitted from ``parallelism`` driver threads."""
     from concurrent.futures import ThreadPoolExecutor
 
     def fit(d):
+        saved = load_artifacts(spark, artifacts, d) if artifacts else None
+        if saved is not None:
+            return saved
         panel = load_panel(spark, sf, d)
         eng = panel.withColumns(dict(recipe_columns(panel, d)))
         numeric, categorical = split_by_dtype(eng, exclude=["patient_id", "Outcome"])
         pre, model = _fit_one(model_name, eng, numeric, categorical)
-        return Fitted(d, model_name, pre, model)
+        fitted = Fitted(d, model_name, pre, model)
+        if artifacts:
+            save_artifacts(fitted, None, artifacts)
+        return fitted
 
-    todo = [d for d in diseases if (id(spark), sf, d, model_name) not in _FIT_CACHE]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        for d, fitted in zip(todo, pool.map(fit, todo)):
-            _FIT_CACHE[(id(spark), sf, d, model_name)] = fitted
-    return {d: _FIT_CACHE[(id(spark), sf, d, model_name)] for d in diseases}
+        return dict(zip(diseases, pool.map(fit, diseases)))
 
 
 def score_wide(intake: DataFrame, kind: str, fitted: dict, rule_diseases=tuple(config.RULE_DISEASES)) -> DataFrame:

@@ -234,7 +234,8 @@ def train_disease(panel: DataFrame, disease: str, models=tuple(MODEL_NAMES), max
     best = sorted(rows, key=lambda r: (-r[7], r[11]))[0]
     winner = fitted[best[1]]
     if out_dir:
-        save_artifacts(winner, res, out_dir)
+        background = split.fixed_sample(train.drop("fold"), BACKGROUND_ROWS, list(ID_COLS))
+        save_artifacts(winner, res, out_dir, background)
     return res, winner
 
 
@@ -255,19 +256,24 @@ def select_best(results: DataFrame) -> DataFrame:
     return results.join(best.select("disease", F.col("b.model_name").alias("model_name")), ["disease", "model_name"])
 
 
-def save_artifacts(fitted: Fitted, results: DataFrame, out_dir: str) -> str:
-    """Model (MLlib format), preprocessor parameters, feature names and the comparison table."""
+def save_artifacts(fitted: Fitted, results: DataFrame | None, out_dir: str, background: DataFrame | None = None) -> str:
+    """Model (MLlib format), preprocessor parameters, feature names, train/test row counts, the comparison table
+    (when there is one) and the background rows for attribution. The metadata comes last: a folder without it is
+    unfinished and is not loaded."""
     d = os.path.join(out_dir, fitted.disease)
+    spark = SparkSession.active()
     fitted.model.write().overwrite().save(os.path.join(d, "best_model"))
+    if results is not None:
+        results.write.mode("overwrite").parquet(os.path.join(d, "model_comparison_results"))
+    if background is not None:
+        background.write.mode("overwrite").parquet(os.path.join(d, "background"))
     pre = fitted.preprocessor
     meta = {"disease_key": fitted.disease, "best_model_name": fitted.name, "model_class": type(fitted.model).__name__,
             "numeric": pre.numeric, "categorical": pre.categorical, "medians": pre.medians, "means": pre.means,
             "scales": pre.scales, "modes": pre.modes, "categories": pre.categories,
             "feature_names": pre.feature_names(), **{f"test_{k}": v for k, v in fitted.metrics.items()}}
-    spark = results.sparkSession
     meta_df = spark.createDataFrame([(json.dumps(meta),)], "meta string")
     meta_df.coalesce(1).write.mode("overwrite").text(os.path.join(d, "metadata"))
-    results.write.mode("overwrite").parquet(os.path.join(d, "model_comparison_results"))
     # one row per saved winner in a shared registry table (appended, never rewritten)
     reg_row = spark.createDataFrame(
         [(fitted.disease, fitted.name, type(fitted.model).__name__, d, *[fitted.metrics.get(k) for k in
@@ -279,13 +285,17 @@ def save_artifacts(fitted: Fitted, results: DataFrame, out_dir: str) -> str:
     return d
 
 
+#: attribution background: training rows in hash order
+BACKGROUND_ROWS = 100
+
+
 def load_artifacts(spark: SparkSession, out_dir: str, disease: str) -> Fitted | None:
     """The saved winner, or ``None`` when the disease has no artifacts (it is then skipped)."""
     from pyspark.ml import classification as C
     from ..sources.files import _exists
     d = os.path.join(out_dir, disease)
     meta_path = os.path.join(d, "metadata")
-    if not _exists(spark, meta_path):
+    if not _exists(spark, os.path.join(meta_path, "_SUCCESS")):
         return None
     meta = json.loads(spark.read.text(meta_path).first()["value"])
     model = getattr(C, meta["model_class"]).load(os.path.join(d, "best_model"))
@@ -295,6 +305,18 @@ def load_artifacts(spark: SparkSession, out_dir: str, disease: str) -> Fitted |
                   {k[5:]: v for k, v in meta.items() if k.startswith("test_")})
 
 
+def load_background(spark: SparkSession, out_dir: str, disease: str) -> DataFrame | None:
+    """The saved background rows of a disease (engineered training rows), or ``None``."""
+    from ..sources.files import _exists
+    path = os.path.join(out_dir, disease, "background")
+    return spark.read.parquet(path) if _exists(spark, path) else None
+
+
+def load_comparison(spark: SparkSession, out_dir: str, disease: str) -> DataFrame:
+    """The saved comparison table of a disease's models."""
+    return spark.read.parquet(os.path.join(out_dir, disease, "model_comparison_results"))
+
+
 def save_summary(summary: DataFrame, path: str) -> None:
     """X15 sink: the benchmark summary table (one row per winner or per model)."""
     summary.write.mode("overwrite").parquet(path)
@@ -306,18 +328,21 @@ def load_summary(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if _exists(spark, path) else None
 
 
-def train_all(spark: SparkSession, sf_dir: str, diseases=None, out_dir: str | None = None, **kw) -> DataFrame:
-    """Train every disease in order; the winners (with ``disease``) as one summary frame."""
+def train_all(spark: SparkSession, sf_dir: str, diseases=None, out_dir: str | None = None, at_once: int = 4, **kw) -> DataFrame:
+    """Train every disease, ``at_once`` of them at a time; one winner per disease, in training order (driver
+    rows: one per disease)."""
     from ..config import TRAINING_ORDER
     from ..sources.panels import load_panel
-    winners = []
-    for d in diseases or TRAINING_ORDER:
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(d):
         res, _ = train_disease(load_panel(spark, sf_dir, d), d, out_dir=out_dir, **kw)
-        winners.append(select_best(res))
-    out = winners[0]
-    for w in winners[1:]:
-        out = out.unionByName(w)
-    return out
+        return select_best(res).collect()
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        rows = [r for got in pool.map(one, diseases or TRAINING_ORDER) for r in got]
+    order = ["disease", "model_name", *[f.name for f in RESULT_SCHEMA.fields[2:]]]
+    schema = T.StructType([RESULT_SCHEMA[n] for n in order])
+    return spark.createDataFrame(rows, schema).select(*RESULT_SCHEMA.names)
 
 
 def benchmark_rollup(summary: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ and panel counts are SQL-checked.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import functions as F
@@ -22,7 +23,6 @@ from .scoring import _round_doubles
 from .sqlutil import panel_cte
 
 QUERIES = {}
-_RESULTS: dict = {}
 
 
 def reg(name, sql=None):
@@ -37,56 +37,72 @@ def _scratch(spark, what):
     return f"{base.rstrip('/')}/riskloom-scratch/{what}-{uuid.uuid4().hex}"
 
 
+def _artifacts(spark, sf, what):
+    """The application's artifact folder for the tables at ``sf``, in the shared checkpoint folder."""
+    base, app = ensure_checkpoint_dir(spark).rstrip("/"), spark.sparkContext.applicationId
+    return f"{base}/riskloom-artifacts/{app}/{hashlib.md5(sf.encode()).hexdigest()}/{what}"
+
+
 def _train(spark, sf, disease="fever"):
-    key = (id(spark), sf, disease)
-    if key not in _RESULTS:
-        _RESULTS[key] = train.train_disease(load_panel(spark, sf, disease), disease)
-    return _RESULTS[key]
+    """The saved comparison and winner of ``disease``, trained and saved first where there is none (read-or-build)."""
+    out = _artifacts(spark, sf, "compared")
+    if train.load_artifacts(spark, out, disease) is None:
+        train.train_disease(load_panel(spark, sf, disease), disease, out_dir=out)
+    return train.load_comparison(spark, out, disease), train.load_artifacts(spark, out, disease)
+
+
+# Training rows per disease in the 20-disease summary: a documented bound on the rows a classifier is fitted on.
+SUMMARY_TRAIN_ROWS = 2000
+
+
+def _summary(spark, sf):
+    """One winner per disease, read from the saved summary or trained, saved and read."""
+    out = _artifacts(spark, sf, "all")
+    path = f"{out}/benchmark_summary"
+    if train.load_summary(spark, path) is None:
+        train.save_summary(train.train_all(spark, sf, out_dir=out, models=[report.FULL_PANEL_MODEL],
+                                           max_train_rows=SUMMARY_TRAIN_ROWS, parallelism=2), path)
+    return train.load_summary(spark, path)
 
 
 @reg("train_compare")
 def train_compare_q(spark, sf):
     """Four class-weighted classifiers, 3-fold CV F1 and test metrics on the fever panel."""
-    res, _ = _train(spark, sf)
-    return res
+    return _train(spark, sf)[0]
 
 
 @reg("best_model")
 def best_model_q(spark, sf):
-    """W3 + X15: the winner row (highest test F1, ties in training order)."""
-    res, _ = _train(spark, sf)
-    return train.select_best(res)
+    """The winner row (highest test F1, ties in training order)."""
+    return train.select_best(_train(spark, sf)[0])
+
+
+@reg("train_all_summary")
+def train_all_summary_q(spark, sf):
+    """X15 + S10: all 20 diseases trained (balanced logistic regression), saved and summarised, one row each."""
+    return _summary(spark, sf)
 
 
 @reg("benchmark_rollup")
 def benchmark_rollup_q(spark, sf):
-    """S8 → S10 → A17: the comparison table written as the benchmark summary, read back, rolled up."""
-    res, _ = _train(spark, sf)
-    path = _scratch(spark, "summary")
-    train.save_summary(res, path)
-    return train.benchmark_rollup(train.load_summary(spark, path))
+    """S8 → S10 → A17: the saved summary of the 20 winners, rolled up."""
+    return train.benchmark_rollup(_summary(spark, sf))
 
 
 @reg("metric_comparison")
 def metric_comparison_q(spark, sf):
-    """Accuracy / F1 / ROC-AUC per model in long form."""
-    res, _ = _train(spark, sf)
-    return res.selectExpr("model_name", "stack(3, 'accuracy', test_accuracy, 'f1', test_f1, 'roc_auc', test_roc_auc)"
-                          " AS (metric, value)")
+    """Accuracy / F1 / ROC-AUC per disease in long form."""
+    return train.metric_comparison(_summary(spark, sf))
 
 
 @reg("saved_model_score")
 def saved_model_score_q(spark, sf):
-    """S8 → S9 → X16: save the winner's artifacts, load them back and score the whole panel."""
-    res, win = _train(spark, sf)
-    out = _scratch(spark, "artifacts")
-    train.save_artifacts(win, res, out)
-    loaded = train.load_artifacts(spark, out, "fever")
-    return loaded.score(load_panel(spark, sf, "fever"))
+    """S8 → S9 → X16: the saved winner, loaded back, scores the whole panel."""
+    return _train(spark, sf)[1].score(load_panel(spark, sf, "fever"))
 
 
 def _models(spark, sf):
-    return report.fit_panel_models(spark, sf, report.model_diseases())
+    return report.fit_panel_models(spark, sf, report.model_diseases(), artifacts=_artifacts(spark, sf, "panel"))
 
 
 def _all_diseases(fitted):
@@ -162,14 +178,41 @@ def global_importance_q(spark, sf):
     return _round_doubles(attribution.global_importance(_fever_attr(spark, sf)))
 
 
-@reg("sampled_shapley")
-def sampled_shapley_q(spark, sf):
-    """Permutation-sampled Shapley values of the malaria rule's logit for every patient."""
+_MALARIA_FEATURES = ["TempSpike", "ShiveringParoxysm", "PlateletCount", "Jaundice"]
+
+
+def _malaria_background(spark, sf, n):
     panel = load_panel(spark, sf, "malaria")
-    feats = ["TempSpike", "ShiveringParoxysm", "PlateletCount", "Jaundice"]
-    bg = [[r[c] for c in feats] for r in split.fixed_sample(panel.na.drop(subset=feats), 16, ["patient_id"])
-          .select(*feats).collect()]
-    return attribution.sampled_shapley(panel, feats, lambda d: rules.rule_logit("malaria"), bg, n_perm=16)
+    rows = split.fixed_sample(panel.na.drop(subset=_MALARIA_FEATURES), n, ["patient_id"]).select(*_MALARIA_FEATURES).collect()
+    return panel, [[r[c] for c in _MALARIA_FEATURES] for r in rows]
+
+
+def _malaria_shapley_sql(n):
+    """The logit is additive, so a feature's Shapley value is its term minus the term's background mean; a patient
+    without a logit has none."""
+    terms = {"TempSpike": "1.1e0 * CAST(coalesce(TempSpike > 38.8e0, FALSE) AS INT)", "ShiveringParoxysm": "1.0e0 * ShiveringParoxysm",
+             "PlateletCount": "0.9e0 * CAST(coalesce(PlateletCount < 100, FALSE) AS INT)", "Jaundice": "0.8e0 * Jaundice"}
+    known = " AND ".join(f"{c} IS NOT NULL" for c in _MALARIA_FEATURES)
+    return f"""WITH {panel_cte('malaria')},
+bg AS (SELECT * FROM panel WHERE {known} ORDER BY md5(CAST(patient_id AS VARCHAR) || ':' || '42'), patient_id LIMIT {n}),
+m AS (SELECT {', '.join(f'avg({x}) AS m_{c}' for c, x in terms.items())} FROM bg)
+""" + " UNION ALL ".join(f"SELECT patient_id, '{c}' AS feature, CASE WHEN ShiveringParoxysm IS NOT NULL AND Jaundice IS NOT NULL "
+                         f"THEN round({x} - m_{c}, 6) END AS phi FROM panel, m" for c, x in terms.items())
+
+
+@reg("sampled_shapley", _malaria_shapley_sql(16))
+def sampled_shapley_q(spark, sf):
+    """Permutation-sampled Shapley values of the malaria rule's logit for every patient (16 permutations, each
+    with a background row of its own)."""
+    panel, bg = _malaria_background(spark, sf, 16)
+    return _round_doubles(attribution.sampled_shapley(panel, _MALARIA_FEATURES, lambda d: rules.rule_logit("malaria"), bg, n_perm=16))
+
+
+@reg("exact_shapley", _malaria_shapley_sql(100))
+def exact_shapley_q(spark, sf):
+    """Exact Shapley values of the malaria rule's logit for every patient, against 100 background rows."""
+    panel, bg = _malaria_background(spark, sf, 100)
+    return _round_doubles(attribution.exact_shapley(panel, _MALARIA_FEATURES, lambda cols: rules.rule_logit("malaria", cols), bg))
 
 
 # ---- X22 ---------------------------------------------------------------------------------------------
@@ -181,6 +224,30 @@ def enlarge_q(spark, sf):
     return enl.enlarge(pima, eda.FEATURES, "Outcome", 100_000, int_cols=["Pregnancies", "Age"])
 
 
+_PIMA = panel_sql("pima", "duckdb")
+
+
+@reg("enlarge_profile", f"""WITH p AS ({_PIMA}), n AS (SELECT count(*) FILTER (Outcome = 1) AS pos, count(*) AS n FROM p WHERE Outcome IN (0, 1)),
+c AS (SELECT CAST(floor(100000 * (pos * 1.0e0 / n)) AS BIGINT) AS pos FROM n)
+SELECT 'synthetic_augmented' AS data_source, 1 AS outcome, pos AS n_rows, 0 AS n_outside FROM c
+UNION ALL SELECT 'synthetic_augmented', 0, 100000 - pos, 0 FROM c
+UNION ALL SELECT 'real_pima', Outcome, count(*), 0 FROM p GROUP BY Outcome""")
+def enlarge_profile_q(spark, sf):
+    """X22 checked: rows per tag and class, and synthetic rows outside the clip bounds of the real table (none;
+    rounding may move an integer column by half)."""
+    real = load_panel(spark, sf, "pima")
+    ints = ["Pregnancies", "Age"]
+    out = enl.enlarge(real, eda.FEATURES, "Outcome", 100_000, int_cols=ints)
+    b = real.agg(*[F.min(c).alias(f"lo_{c}") for c in eda.FEATURES], *[F.max(c).alias(f"hi_{c}") for c in eda.FEATURES]).first()
+    outside = F.lit(False)
+    for c in eda.FEATURES:
+        slack = 0.5 if c in ints else 1e-9
+        outside = outside | ~F.col(c).between(max(0.0, float(b[f"lo_{c}"])) - slack, float(b[f"hi_{c}"]) * 1.15 + slack)
+    synthetic = F.col("data_source") == "synthetic_augmented"
+    return out.groupBy("data_source", F.col("Outcome").cast("int").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(synthetic & outside).cast("int").alias("n_outside"))
+
+
 # ---- S1-S5, S7 ---------------------------------------------------------------------------------------
 
 @reg("csv_roundtrip", "SELECT * FROM (" + panel_sql("heart", "duckdb") + ")")
@@ -221,14 +288,8 @@ _COUNT_SQL = " UNION ALL ".join(
 
 @reg("panel_counts", _COUNT_SQL)
 def panel_counts_q(spark, sf):
-    """S6 + S7: every panel through the registry, with row and positive counts."""
-    frames = registry.load_all_datasets(spark, sf)
-    out = None
-    for d, df in frames.items():
-        c = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("Outcome") == 1).alias("n_pos")) \
-            .select(F.lit(d).alias("disease"), "n_rows", "n_pos")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """Every panel's row and positive counts, from one scan: the panels are projections of one table."""
+    return registry.count_all_datasets(spark, sf)
 
 
 # ---- EDA plan -----------------------------------------------------------------------------------------
@@ -267,7 +328,7 @@ def linear_attribution_q(spark, sf):
     """X20 for a trained logistic regression (kidney): ``coef_j · (x_j − mean_bg(x_j))`` over the
     preprocessed features, background = the first 100 panel rows in hash order."""
     from ..functions.recipes import engineer_features
-    fit = report.fit_panel_models(spark, sf, ["kidney"])["kidney"]
+    fit = report.fit_panel_models(spark, sf, ["kidney"], artifacts=_artifacts(spark, sf, "panel"))["kidney"]
     eng = engineer_features(load_panel(spark, sf, "kidney"), "kidney")
     coefs = fit.model.coefficients.toArray()
     terms = {name: (float(c), expr) for (name, expr), c in zip(fit.preprocessor.feature_exprs(), coefs)}

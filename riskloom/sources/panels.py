@@ -235,11 +235,15 @@ def panel_sql(disease: str, dialect: str = "spark") -> str:
     return sql.replace("`", '"') if dialect == "duckdb" else sql
 
 
+def panel_projection(orders: DataFrame, disease: str, keep) -> DataFrame:
+    """``keep`` and the panel's feature columns (with the two draws that its outcome uses) of every order."""
+    return orders.selectExpr(*keep, *[f"{e} AS {_quote(c)}" for c, e in _feature_exprs(disease)],
+                             f"{u(98, 101)} AS _u98", f"{u(99, 101)} AS _u99")
+
+
 def load_panel(spark: SparkSession, sf_dir: str, disease: str) -> DataFrame:
     """Panel as a DataFrame: two narrow projections over the ``orders`` scan."""
-    inner = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS patient_id", *[f"{e} AS {_quote(c)}" for c, e in _feature_exprs(disease)],
-        f"{u(98, 101)} AS _u98", f"{u(99, 101)} AS _u99")
+    inner = panel_projection(table(spark, sf_dir, "orders"), disease, ["o_orderkey AS patient_id"])
     return inner.selectExpr("patient_id", *[_quote(c) for c in panel_columns(disease)],
                             f"{outcome_sql(disease)} AS Outcome")
 
