@@ -274,14 +274,13 @@ def save_artifacts(fitted: Fitted, results: DataFrame | None, out_dir: str, back
             "feature_names": pre.feature_names(), **{f"test_{k}": v for k, v in fitted.metrics.items()}}
     meta_df = spark.createDataFrame([(json.dumps(meta),)], "meta string")
     meta_df.coalesce(1).write.mode("overwrite").text(os.path.join(d, "metadata"))
-    # one row per saved winner in a shared registry table (appended, never rewritten)
+    # one row per saved winner in a registry table, a partition per disease (so savers do not meet)
     reg_row = spark.createDataFrame(
-        [(fitted.disease, fitted.name, type(fitted.model).__name__, d, *[fitted.metrics.get(k) for k in
-                                                                          ("accuracy", "f1", "roc_auc", "pr_auc")])],
-        "disease_key string, best_model_name string, model_class string, path string, test_accuracy double, "
+        [(fitted.name, type(fitted.model).__name__, d, *[fitted.metrics.get(k) for k in ("accuracy", "f1", "roc_auc", "pr_auc")])],
+        "best_model_name string, model_class string, path string, test_accuracy double, "
         "test_f1 double, test_roc_auc double, test_pr_auc double")
-    reg_row.withColumn("saved_at", F.current_timestamp()).coalesce(1).write.mode("append") \
-        .parquet(os.path.join(out_dir, "model_registry"))
+    reg_row.withColumn("saved_at", F.current_timestamp()).coalesce(1).write.mode("overwrite") \
+        .parquet(os.path.join(out_dir, "model_registry", f"disease_key={fitted.disease}"))
     return d
 
 
