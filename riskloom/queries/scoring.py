@@ -254,15 +254,28 @@ KEYWORD_FLAGS_SQL = "SELECT doc_id,\n  " + ",\n  ".join(
 
 
 def features_targets_join_q(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "n_chars", "lang")
-    return docs.join(table(spark, sf, "labels"), "doc_id").select("doc_id", "n_chars", "lang", "quality", "toxic")
+    """Every feature column glued to every target column."""
+    return table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
 
 
 FEATURES_TARGETS_JOIN_SQL = """
-SELECT d.doc_id, d.n_chars, d.lang, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+SELECT d.*, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 """
 
+
+def single_disease_score_q(spark, sf):
+    """P20: one disease's panel scored with a check of its columns."""
+    return _round_doubles(triage.score_single(load_panel(spark, sf, "malaria"), "malaria"))
+
+
+SINGLE_DISEASE_SCORE_SQL = f"""WITH {panel_cte('malaria')},
+s AS (SELECT patient_id, 1 / (1 + exp(-(-2.5e0 + 1.1e0 * CAST(coalesce(TempSpike > 38.8e0, FALSE) AS INT) + ShiveringParoxysm
+  + 0.9e0 * CAST(coalesce(PlateletCount < 100, FALSE) AS INT) + 0.8e0 * Jaundice))) AS p FROM panel)
+SELECT patient_id, round(p * 100, 6) AS percentage, {_TIER_SQL.format(p='p')} AS category FROM s"""
+
+
 QUERIES.update({
     "keyword_flags": (keyword_flags_q, KEYWORD_FLAGS_SQL),
     "features_targets_join": (features_targets_join_q, FEATURES_TARGETS_JOIN_SQL),
+    "single_disease_score": (single_disease_score_q, SINGLE_DISEASE_SCORE_SQL),
 })

@@ -124,3 +124,23 @@ def test_sampled_attribution_of_rows_without_a_score_is_null(spark):
         df, ["a", "b"], lambda d: F.col("a") * 2 + F.col("b"), [[0.0, 0.0], [1.0, 1.0]], n_perm=4).collect()}
     assert got[1, "a"] == 3.0 and got[1, "b"] == 2.5
     assert got[2, "a"] is None and got[2, "b"] is None
+
+
+def test_single_disease_scoring_names_missing_columns(spark, sf):
+    from riskloom.sources.panels import load_panel
+    panel = load_panel(spark, sf, "malaria")
+    assert triage.score_single(panel, "malaria").columns == ["patient_id", "percentage", "category"]
+    with pytest.raises(ValueError, match="malaria: the panel has no column Jaundice"):
+        triage.score_single(panel.drop("Jaundice"), "malaria")
+
+
+def test_exact_attribution_matches_the_closed_form(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, 2.0, 3.0, 1.0), (2, None, 1.0, 0.0)], "patient_id long, a double, b double, c double")
+    bg = [[0.0, 0.0, 0.0], [1.0, 1.0, 1.0], [4.0, 0.5, 2.0]]
+    got = {(r.patient_id, r.feature): r.phi for r in attribution.exact_shapley(
+        df, ["a", "b", "c"], lambda x: x["a"] * 2 + x["b"] * x["c"], bg).collect()}
+    assert abs(got[1, "a"] - 2 * (2.0 - 5 / 3)) < 1e-9
+    value = lambda rows: sum(2 * a + b * c for a, b, c in rows) / len(rows)
+    assert abs(sum(got[1, k] for k in "abc") - ((2 * 2 + 3) - value(bg))) < 1e-9
+    assert got[2, "a"] is None and got[2, "c"] is None
