@@ -95,11 +95,6 @@ def answer_yes(q) -> Column:
     return F.coalesce(col(q) == F.lit("Yes"), F.lit(False))
 
 
-def pick_if(flag: Column, v1, v0) -> Column:
-    """``v1 if flag else v0``."""
-    return F.when(flag, F.lit(v1)).otherwise(F.lit(v0))
-
-
 def round_tenth(x) -> Column:
     """Round a double to one decimal, half-to-even on its exact binary value (Python's ``round(x, 1)``).
 

@@ -19,7 +19,6 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,7 +96,7 @@ class Fitted:
                        self.preprocessor.feature_names())
         pred = self.model.transform(vec)
         return pred.select(*[k for k in keep if k in eng.columns],
-                           vector_to_array("probability")[1].alias(out), F.col("prediction").cast("int").alias("pred"))
+                           metrics.positive_probability().alias(out), F.col("prediction").cast("int").alias("pred"))
 
 
 def assemble(df: DataFrame, feature_names, out: str = "features") -> DataFrame:
@@ -164,7 +163,7 @@ def _vectors(pre, df, y="Outcome") -> DataFrame:
 def _predicted(model, vectors: DataFrame, **tags) -> DataFrame:
     out = model.transform(vectors)
     return out.select(*[F.lit(v).alias(k) for k, v in tags.items()], "y", F.col("prediction").cast("int").alias("pred"),
-                      vector_to_array("probability")[1].alias("score"))
+                      metrics.positive_probability().alias("score"))
 
 
 def train_disease(panel: DataFrame, disease: str, models=tuple(MODEL_NAMES), max_train_rows: int | None = None,

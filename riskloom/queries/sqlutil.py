@@ -9,15 +9,6 @@ def panel_cte(disease: str, name: str = "panel") -> str:
     return f"{name} AS (\n{panels.panel_sql(disease, 'duckdb')}\n)"
 
 
-def intake_cte(kind: str, name: str | None = None) -> str:
-    return f"{name or 'intake_' + kind} AS (\n{panels.intake_sql(kind)}\n)"
-
-
-def r6(expr: str) -> str:
-    """Round a double to 6 decimals (both sides round the same way)."""
-    return f"round({expr}, 6)"
-
-
 # --- oracle text of the ten risk rules ({Column} placeholders; comparisons on null count as false).
 RULE_SQL = {
     "fever": ("-3.0e0 + 1.2e0 * CAST(COALESCE({BodyTemp} > 38.3e0, FALSE) AS INT) + 0.8e0 * {Chills}"
