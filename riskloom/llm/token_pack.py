@@ -12,10 +12,10 @@ and offset; a block is unpacked by eight vectorised lanes.
 Parts ascend with doc_id, so global positions follow from one sum per part.
 
 Tokenizing costs most. Where the tokenizer is byte-level BPE with its usual
-pattern, a text may be cut before each space that follows a non-space without
-changing its ids, and each distinct piece is encoded once per worker (the cache
-is bounded). Texts with white space before a space, and other tokenizers, are
-encoded whole.
+pattern, a text whose white space is single spaces and line ends may be cut
+before each space, around each line end and before a mark that ends a word,
+without changing its ids. Each distinct piece is encoded once per worker and
+kept in a bounded cache. Other texts, and other tokenizers, are encoded whole.
 
 Defined cases: null and empty texts give the end id alone; a null doc_id sorts
 first; rows that share a doc_id keep one entry each, ordered by text; very long
@@ -27,7 +27,10 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
+from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +41,10 @@ from pyspark.sql import functions as F
 from .common import n_partitions, scratch_path, ship_code
 
 BLOCK_IDS = 1 << 16
-MAX_CACHED = 300_000
-MAX_CACHED_CHARS = 64
+#: pieces and characters per generation of a worker's cache
+MAX_CACHED = 400_000
+MAX_CACHED_CHARS = 20_000_000
+MARKS = ".,;:"
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
@@ -86,8 +91,64 @@ def vocabulary_bits(size: int) -> int:
     return max(1, (size - 1).bit_length())
 
 
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable Latin-1 stands for itself, the other bytes for the characters from 256 on."""
+    keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in keep]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def is_one_piece(word: str) -> bool:
+    """Latin letters only: the pattern keeps them together, with the space before them."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+
+class _Pieces:
+    """Ids of pieces that follow a fixed prefix, in two generations: what is asked for again outlives the other pieces."""
+
+    def __init__(self, prefix: str):
+        self.prefix, self.young, self.old, self.chars = prefix, {}, {}, 0
+
+    def take(self, words: set[str], raw, letters) -> dict[str, bytes]:
+        """The ids of all ``words``."""
+        if len(self.young) > MAX_CACHED or self.chars > MAX_CACHED_CHARS:
+            self.old, self.young, self.chars = self.young, {}, 0
+        young, old = self.young, self.old
+        out = dict(zip(words, map(young.get, words)))
+        found, stems, ended = {}, set(), []
+        for w in [w for w, ids in out.items() if ids is None]:
+            ids = old.get(w)
+            if ids is not None:
+                found[w] = ids
+            elif len(w) > 1 and w[-1] in MARKS and w[-2] < "\u0250" and w[-2].isalnum():
+                ended.append(w)  # a mark behind a letter or digit is a piece of its own
+                stems.add(w[:-1])
+            else:
+                stems.add(w)
+        for w in stems:
+            ids = young.get(w) or old.get(w)
+            if ids is not None:
+                found[w] = ids
+        new = [w for w in stems if w not in found]
+        plain = [w for w in new if is_one_piece(w)]
+        found.update(zip(plain, letters(self.prefix, plain), strict=True))
+        others = [w for w in new if w not in found]
+        found.update(zip(others, raw([self.prefix + w for w in others]), strict=True))
+        if ended:
+            marks = dict(zip(MARKS, raw(list(MARKS)), strict=True))
+            for w in ended:
+                found[w] = found[w[:-1]] + marks[w[-1]]
+        self.chars += sum(map(len, new)) + sum(map(len, ended))
+        young.update(found)
+        out.update(found)
+        return out
+
+
 class _Encoder:
-    """Texts to arrays of ids, with a bounded cache of pieces."""
+    """Texts to arrays of ids, with bounded caches of pieces."""
 
     def __init__(self, path: str | None, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -98,47 +159,62 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.bits = vocabulary_bits(max(self.tokenizer.get_vocab_size(), end_id + 1))
         self.dtype = np.dtype("<u2" if self.bits <= 16 else "<u4")
+        self.code = "H" if self.bits <= 16 else "I"  # the same width as a C type, on little-endian machines
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.cache: dict[str, bytes] = {}
         how = json.loads(self.tokenizer.to_str())
         pre = how.get("pre_tokenizer") or {}
-        self.pieces = (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-                       and how.get("normalizer") is None
-                       and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in how["added_tokens"]))
-        self.whole = re.compile("[\\s᠎] ")
+        self.by_piece = (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+                         and how.get("normalizer") is None and how["model"]["type"] == "BPE" and sys.byteorder == "little"
+                         and not any(re.search(r"[\s.,;:]", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"]
+                                     for t in how["added_tokens"]))
+        self.first, self.later = _Pieces(""), _Pieces(" ")
+        self.line_end = self.raw(["\n"])[0]
 
     def raw(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def letters(self, prefix: str, words: list[str]) -> list[bytes]:
+        """The ids of words of letters: one piece each, so the library's model takes them without its pre-tokenizer."""
+        head, tokenize, code = prefix.translate(_LETTERS), self.tokenizer.model.tokenize, self.code
+        return [array(code, [t.id for t in tokenize(head + (w if w.isascii() else w.encode().decode("latin-1").translate(_LETTERS)))]).tobytes()
+                for w in words]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as bytes of ``dtype``, with the end id."""
         out: list = [None] * len(texts)
-        cut, whole = {}, []
+        whole, lines = [], []
         for i, text in enumerate(texts):
             if not text:
                 out[i] = self.end
-            elif not self.pieces or self.whole.search(text):
-                whole.append(i)
+                continue
+            cut = text.split("\n") if self.by_piece else ()
+            # printable text has no white space but the space; a space must stand between two other characters
+            if cut and all(line.isprintable() and line and "  " not in line and line[0] != " " and line[-1] != " " for line in cut):
+                lines += [(i, line.split(" ")) for line in cut]
             else:
-                cut[i] = text.split(" ")
+                whole.append(i)
         for i, ids in zip(whole, self.raw([texts[i] for i in whole]), strict=True):
             out[i] = ids + self.end
-        firsts = self.raw([words[0] for words in cut.values()])
-        cache = self.cache
-        if len(cache) > MAX_CACHED:
-            cache.clear()
-        for (i, words), first in zip(cut.items(), firsts, strict=True):
-            del words[0]
-            new = [w for w in set(words) if w not in cache]
-            long = {}
-            if new:
-                for w, ids in zip(new, self.raw([" " + w for w in new]), strict=True):
-                    (cache if len(w) <= MAX_CACHED_CHARS else long)[w] = ids
-            if long:
-                parts = [cache[w] if w in cache else long[w] for w in words]
+        heads, words = set(), set()
+        for _, line in lines:
+            heads.add(line[0])
+            words.update(islice(line, 1, None))
+        first, later = self.first.take(heads, self.raw, self.letters), self.later.take(words, self.raw, self.letters)
+        find, parts, at = later.__getitem__, [], None
+        for i, line in lines:
+            if i != at:
+                if at is not None:
+                    parts.append(self.end)
+                    out[at] = b"".join(parts)
+                parts, at = [first[line[0]]], i
             else:
-                parts = [cache[w] for w in words]
-            out[i] = b"".join([first, *parts, self.end])
+                parts += (self.line_end, first[line[0]])
+            parts += map(find, islice(line, 1, None))
+        if at is not None:
+            parts.append(self.end)
+            out[at] = b"".join(parts)
         return out
 
 
@@ -152,20 +228,38 @@ def _block_rows(part, block, start, docs, ids, dtype, bits):
          pa.array([offsets], pa.list_(pa.int64())), pa.array([pack(flat, bits)], pa.binary())], schema=_ARROW), len(flat)
 
 
+def _handfuls(batch, chars: int = 2_000_000):
+    """Lists of doc_ids and texts, of at most about ``chars`` characters or one text."""
+    doc_ids, texts, held = [], [], 0
+    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        doc_ids.append(doc)
+        texts.append(text)
+        held += len(text or "")
+        if held >= chars:
+            yield doc_ids, texts
+            doc_ids, texts, held = [], [], 0
+    if doc_ids:
+        yield doc_ids, texts
+
+
 _ENCODERS: dict = {}
 
 
+def _encoder(path: str | None, end_id: int) -> _Encoder:
+    """The worker's tokenizer and cache, kept between tasks (a module's function travels by name, so it finds them again)."""
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS[path, end_id] = _Encoder(path, end_id)
+    return _ENCODERS[path, end_id]
+
+
 def _encode_part(path: str | None, end_id: int, block_ids: int):
     def run(batches):
-        enc = _ENCODERS.get((path, end_id))  # a worker keeps its tokenizer and cache between tasks
-        if enc is None:
-            enc = _ENCODERS[path, end_id] = _Encoder(path, end_id)
+        enc = _encoder(path, end_id)
         part, block, start = TaskContext.get().partitionId(), 0, 0
         docs, ids, held = [], [], 0
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(doc_ids), 256):
-                for doc, got in zip(doc_ids[at:at + 256], enc.encode(texts.slice(at, 256).to_pylist()), strict=True):
+            for doc_ids, texts in _handfuls(batch):
+                for doc, got in zip(doc_ids, enc.encode(texts), strict=True):
                     docs.append(doc)
                     ids.append(got)
                     held += len(got) // enc.dtype.itemsize
