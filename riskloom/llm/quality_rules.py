@@ -19,7 +19,7 @@ no rows. Other columns of the input play no part and may have any name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -45,6 +45,8 @@ MAX_CHAR_DISTANCE = 0.28
 MAX_WORD_DISTANCE = 0.11
 WORD_NOISE = 1.75
 REF_MIN_WORDS = 1000
+#: steps of a share: for medians, and for sums of whole numbers (exact in any order)
+GRID, SCALE = 10_000, 10 ** 9
 MAX_BROADCAST_LANGUAGES = 10_000
 
 
@@ -122,17 +124,63 @@ def base_counts(df: DataFrame) -> DataFrame:
     }).drop("_w", "_lines", "_bits", "_mask", "_packed", "_repeated")
 
 
-def language_references(docs: DataFrame) -> DataFrame:
-    """One row per language: the summed histograms of all its documents (arrays r_chars, r_words), null language as null."""
-    counted = _histograms(docs)
+def _shares(name: str, scale: int):
+    """Each count of the array ``name`` as a rounded share of their sum, in whole steps of 1 / ``scale``."""
+    return F.expr(f"transform({name}, v -> coalesce(cast(round(v * {scale}D / nullif(aggregate({name}, 0L, (a, y) -> a + y), 0)) AS LONG), 0L))")
+
+
+def _too_far(char_limit: float, word_limit: float, noise: float):
+    """Whether ``char_distance`` or ``word_distance`` is over its limit for a text of ``n_words``."""
+    return F.expr(f"char_distance > {char_limit} OR word_distance > {word_limit} + {noise} / sqrt(greatest(n_words, 1))")
+
+
+def _with_distances(counted: DataFrame) -> DataFrame:
+    return counted.withColumns({
+        "char_distance": F.expr(distance_sql("chars", "r_chars")),
+        # a language without common words has one bin, which says nothing
+        "word_distance": F.expr(f"CASE WHEN size(words) > 1 THEN {distance_sql('words', 'r_words')} END"),
+    })
+
+
+def _medians(texts: DataFrame) -> DataFrame:
+    """Per language the lower median share of each bin (r_lang, r_chars, r_words), by exact counts on a grid."""
+    steps = texts.select("_lang", F.posexplode(F.concat(_shares("chars", GRID), _shares("words", GRID))).alias("bin", "step"))
+    steps = steps.groupBy("_lang", "bin", "step").agg(F.count("*").alias("n"))
+    bins = Window.partitionBy("_lang", "bin")  # at most GRID + 1 rows
+    steps = steps.withColumn("upto", F.sum("n").over(bins.orderBy("step"))).withColumn("total", F.sum("n").over(bins))
+    middle = steps.filter("2 * upto >= total").groupBy("_lang", "bin").agg(F.min("step").alias("step"))
+    middle = middle.groupBy(F.col("_lang").alias("r_lang")).agg(F.sort_array(F.collect_list(F.struct("bin", "step"))).alias("bins"))
+    return middle.select("r_lang", F.expr(f"transform(slice(bins, 1, {N_CHAR_CLASSES}), b -> b.step)").alias("r_chars"),
+                         F.expr(f"transform(slice(bins, {N_CHAR_CLASSES + 1}, {N_COMMON + 1}), b -> b.step)").alias("r_words"))
+
+
+def language_references(counted: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE,
+                        max_word_distance: float = MAX_WORD_DISTANCE, word_noise: float = WORD_NOISE) -> DataFrame:
+    """One row per language (null as null): r_lang, r_chars, r_words (whole steps) and r_size, the words it rests on.
+
+    ``counted`` has _lang, _same (a hash of the text), chars, words, n_words and base_failed.
+    """
+    spark = counted.sparkSession
+    texts = counted.filter("NOT base_failed").groupBy("_lang", "_same").agg(
+        *[F.any_value(c).alias(c) for c in ("chars", "words", "n_words")])
+    texts = written(spark, texts, "text-histograms")
+    middle = bounded_references(_medians(texts), spark)
+    near = _with_distances(texts.join(middle, F.col("_lang").eqNullSafe(F.col("r_lang"))))
+    near = near.withColumn("_near", ~F.coalesce(_too_far(max_char_distance, max_word_distance, word_noise), F.lit(False)))
+    near = near.withColumns({"s_chars": _shares("chars", SCALE), "s_words": _shares("words", SCALE)})
+
     def summed(name: str, bins: int):
-        return F.array(*[F.sum(F.coalesce(F.get(name, F.lit(i)), F.lit(0))) for i in range(bins)]).alias("r_" + name)
-    return counted.groupBy("_lang").agg(summed("chars", N_CHAR_CLASSES), summed("words", N_COMMON + 1))
+        return F.array(*[F.sum(F.when(F.col("_near"), F.coalesce(F.get("s_" + name, F.lit(i)), F.lit(0)))) for i in range(bins)])
+    found = near.groupBy("r_lang").agg(
+        summed("chars", N_CHAR_CLASSES).alias("m_chars"), summed("words", N_COMMON + 1).alias("m_words"),
+        F.any_value("r_chars").alias("r_chars"), F.any_value("r_words").alias("r_words"), F.max("_near").alias("some"),
+        F.sum(F.expr("aggregate(words, 0L, (a, x) -> a + x)")).alias("r_size"))
+    return found.select("r_lang", *[F.when(F.col("some"), F.col("m_" + c)).otherwise(F.col("r_" + c)).alias("r_" + c)
+                                    for c in ("chars", "words")], "r_size")
 
 
 def bounded_references(refs: DataFrame, spark) -> DataFrame:
     """The references, computed once: broadcast up to ``MAX_BROADCAST_LANGUAGES`` rows, an ordinary join side beyond."""
-    refs = refs.withColumnRenamed("_lang", "r_lang")
     rows = refs.limit(MAX_BROADCAST_LANGUAGES + 1).collect()
     if len(rows) > MAX_BROADCAST_LANGUAGES:
         return written(spark, refs, "language-references")
@@ -144,19 +192,18 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: in
           word_noise: float = WORD_NOISE, ref_min_words: int = REF_MIN_WORDS) -> DataFrame:
     """All rows and columns of ``docs`` in the struct column ``row``, with counts, distances and ``kept``.
 
-    The references are summed first; their table has one row per language.
+    Each text is counted once, for its language's reference and for its verdict.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("_text"), F.col(lang).alias("_lang"))
-    refs = bounded_references(language_references(rows.select("_text", "_lang")), docs.sparkSession)
-    scored = base_counts(_histograms(rows)).join(refs, F.col("_lang").eqNullSafe(F.col("r_lang")), "left")
-    scored = scored.withColumns({
-        "base_failed": F.expr(f"n_words < {min_words} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words"),
-        "char_distance": F.expr(distance_sql("chars", "r_chars")),
-        # a language without common words has one bin, which says nothing
-        "word_distance": F.expr(f"CASE WHEN size(words) > 1 THEN {distance_sql('words', 'r_words')} END"),
-        "_guarded": F.expr(f"n_words >= {min_words} AND aggregate(r_words, 0L, (a, x) -> a + x) >= {ref_min_words}"),
-    })
-    far = F.expr(f"_guarded AND (char_distance > {max_char_distance} OR word_distance > {max_word_distance} + {word_noise} / sqrt(greatest(n_words, 1)))")
+    counted = base_counts(_histograms(rows)).select(
+        "row", "_lang", F.xxhash64("_text").alias("_same"), "chars", "words", "n_words", "word_chars", "n_symbols",
+        "n_dup_lines", "n_repeat_words",
+        F.expr(f"n_words < {min_words} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words").alias("base_failed"))
+    counted = written(spark, counted, "quality-counts")
+    refs = bounded_references(language_references(counted, max_char_distance, max_word_distance, word_noise), spark)
+    scored = _with_distances(counted.join(refs, F.col("_lang").eqNullSafe(F.col("r_lang")), "left"))
+    far = F.expr(f"n_words >= {min_words} AND r_size >= {ref_min_words}") & _too_far(max_char_distance, max_word_distance, word_noise)
     return scored.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "char_distance", "word_distance",
                          (~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).alias("kept"))

@@ -172,6 +172,25 @@ def test_distances_reject_another_distribution(spark):
     assert kept == set(range(60))
 
 
+@pytest.mark.parametrize("kind", ["source", "long"])
+def test_reference_withstands_junk(spark, kind):
+    """A third of the rows from one junk source, with copies, or one junk text longer than its language."""
+    import random
+    rng = random.Random(8)
+    common = quality_rules.COMMON_WORDS["es"]
+
+    def clean(n):
+        return " ".join(rng.choice(common) if rng.random() < 0.5 else prose(rng, 1) for _ in range(n)) + "."
+
+    def junk(n):
+        return " ".join(f"$${rng.randrange(10 ** 6)}|" for _ in range(n))
+    rows = [(i, clean(rng.randint(60, 300)), "es", "s") for i in range(60)]
+    rows += [(100 + i, junk(rng.randint(300, 600)), "es", "junk") for i in range(25)] if kind == "source" else [(100, junk(60_000), "es", "junk")]
+    rows += rows[-1:] * 5
+    kept = {r.doc_id for r in quality_rules.keep_good(make_documents(spark, rows)).collect()}
+    assert kept == set(range(60))
+
+
 def test_marginals_match_enumeration():
     import itertools
     rng = np.random.default_rng(0)
