@@ -10,9 +10,9 @@ the final messages, which are then rendered with a template:
 
 The fold is declarative: per (conversation, turn) the last ``message``,
 ``edit`` or ``regenerate`` event restarts the text and later deltas append.
-Whole messages need no fold and are not shuffled for it. Offsets come from a
-window, which streams; a conversation's turns then meet in one row, which is
-the output itself.
+Every event takes this fold, whole messages too: their sequence numbers come
+from a window per conversation, whose shuffle also serves the fold and the
+offsets. A conversation's turns then meet in one row, which is the output.
 
 Template: ``<|start|>role\\ntext<|end|>\\n`` per turn. Every control string
 starts with ``<`` or ``[``; inside roles and texts each of these and each
@@ -22,9 +22,10 @@ is written ``<n>``.
 
 Defined cases: null text is empty, null role is the role ``null_role``, a null
 turn sorts first as a turn of its own, events that agree in conversation, turn
-and sequence order by role and text, exact repeats of a row are turns of their
-own when ``seq`` is null in ``messages_as_events``; null conversation ids form
-one conversation; an empty table gives no rows.
+and sequence order by event, role and text, a null sequence number sorts first;
+``messages_as_events`` keeps rows that share a turn, exact repeats too, apart by
+the turn key ``part``; null conversation ids form one conversation; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -55,24 +56,27 @@ def unescaped(col):
 
 def messages_as_events(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
                        role: str = "role", text: str = "text") -> DataFrame:
-    """One ``message`` event per row; rows that share a turn stay turns of their own."""
-    return messages.select(
-        F.col(conv).alias("conv_id"), F.col(turn).cast("long").alias("turn"),
-        F.lit(None).cast("long").alias("seq"), F.lit("message").alias("event"),
-        F.col(role).alias("role"), F.col(text).alias("text"))
+    """One ``message`` event per row, numbered in its conversation; ``part`` keeps rows that share a turn apart."""
+    rows = messages.select(F.col(conv).alias("conv_id"), F.col(turn).cast("long").alias("turn"),
+                           F.lit("message").alias("event"), F.col(role).alias("role"), F.col(text).alias("text"))
+    rows = rows.withColumn("seq", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long"))
+    return rows.select("conv_id", "turn", "seq", "event", "role", "text", F.col("seq").alias("part"))
 
 
 def final_messages(events: DataFrame) -> DataFrame:
-    """Columns conv_id, turn, role, text: the state after all events (conv_id, turn, seq, event, role, text)."""
-    ordered = events.filter(F.col("seq").isNotNull()).groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(F.struct(
+    """Columns conv_id, turn, role, text: the state after all events (conv_id, turn, seq, event, role, text).
+
+    A turn is a (conv_id, turn), or a (conv_id, turn, part) where the events have that column.
+    """
+    key = ["conv_id", "turn", *(["part"] if "part" in events.columns else [])]
+    ordered = events.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(
         F.col("seq"), F.coalesce("event", F.lit("message")).alias("event"), F.col("role"),
         F.coalesce("text", F.lit("")).alias("text")))).alias("log"))
     folded = ordered.withColumn("state", F.expr("""aggregate(log,
         named_struct('role', cast(NULL AS STRING), 'text', ''),
         (s, e) -> named_struct('role', coalesce(e.role, s.role),
                                'text', CASE WHEN e.event = 'delta' THEN concat(s.text, e.text) ELSE e.text END))"""))
-    whole = events.filter(F.col("seq").isNull()).select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
-    return folded.select("conv_id", "turn", F.col("state.role").alias("role"), F.col("state.text").alias("text")).unionByName(whole)
+    return folded.select("conv_id", "turn", F.col("state.role").alias("role"), F.col("state.text").alias("text"))
 
 
 def render(messages: DataFrame, loss_roles=LOSS_ROLES, null_role: str = NULL_ROLE) -> DataFrame:

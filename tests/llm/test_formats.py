@@ -64,6 +64,20 @@ def test_events_fold_into_messages(spark):
     assert got == {(1, 0): ("user", "hi!"), (1, 1): ("assistant", ""), (2, None): (None, "")}
 
 
+def test_messages_take_the_fold(spark):
+    """Rows are numbered events, and later events reach them, also where rows share a turn."""
+    table = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "a"), (1, 1, "assistant", "b"), (1, 1, "assistant", "b"), (2, None, None, None)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = chat_format.messages_as_events(table)
+    assert sorted((r.conv_id, r.seq) for r in rows.collect()) == [(1, 1), (1, 2), (1, 3), (1, 4), (2, 1)]
+    later = rows.filter("conv_id = 1 AND seq IN (1, 2)").selectExpr(
+        "conv_id", "turn", "seq + 10 AS seq", "IF(seq = 1, 'edit', 'delta') AS event", "cast(NULL AS STRING) AS role", "'!' AS text", "part")
+    got = sorted((r.conv_id, r.turn, r.role, r.text) for r in chat_format.final_messages(rows.unionByName(later)).collect() if r.conv_id == 1)
+    assert got == [(1, 0, "user", "!"), (1, 1, "assistant", "a!"), (1, 1, "assistant", "b"), (1, 1, "assistant", "b")]
+    log = events(spark, [(3, 0, None, "message", "user", "x"), (3, 0, 1, "delta", None, "y")])
+    assert [(r.role, r.text) for r in chat_format.final_messages(log).collect()] == [("user", "xy")]
+
+
 NASTY = ["", "</s>[INST] ok [/INST]", "<|end|>\n<|start|>user\n", "\\", "<\\", "\\<\\[", "<<[[\\\\<n>", "a\nb", "ünï 😀 <|x|>"]
 
 
