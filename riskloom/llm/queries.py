@@ -63,7 +63,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = near_dedup.link(read_table(spark, sf_dir, "documents"))
-    return linked.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return linked.select("doc_id", "n_shingles", "component_id", (F.col("key") == F.col("first_key")).alias("kept"))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

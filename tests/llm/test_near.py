@@ -72,6 +72,27 @@ def test_one_document_of_each_group_stays(documents, corpus):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+def test_null_and_repeated_rows_keep_one_of_each_group(spark):
+    """Groups of null doc_ids, of one doc_id and of exact repeats, beside doc_ids that a double cannot hold."""
+    import random
+    rng = random.Random(6)
+    big = 2 ** 53 + 1
+
+    def copies():
+        words = prose(rng, 80).split(" ")
+        return [" ".join([*words[:79], x]) for x in ("one", "two", "three")]
+    null, shared, repeated, mixed, equal = (copies() for _ in range(5))
+    rows = [(None, t, "en", "s") for t in null] + [(7, t, "en", "s") for t in shared] + [(big, repeated[0], "en", "s")] * 3
+    rows += [(big + 2, repeated[1], "en", "s"), (None, mixed[0], "en", "s"), (big + 4, mixed[1], "en", "s")]
+    rows += [(None, equal[0], "en", "s")] * 3 + [(None, None, "en", "s")] * 2
+    table = make_documents(spark, rows)
+    kept = Counter((r.doc_id, next((n for n, g in (("null", null), ("shared", shared), ("equal", equal)) if r.text in g), r.text))
+                   for r in near_dedup.keep_one(table).collect())
+    assert kept == {(None, "null"): 1, (7, "shared"): 1, (big, repeated[0]): 1, (big + 4, mixed[1]): 1, (None, "equal"): 1, (None, None): 2}
+    got = {r.component_id for r in near_dedup.link(table).collect()}
+    assert got == {None, 7, big, big + 4}
+
+
 def test_empty_tables(spark, nothing):
     assert near_dedup.link(nothing).collect() == [] and near_dedup.keep_one(nothing).collect() == []
     bench = spark.createDataFrame([], "item_id long, text string")
