@@ -124,6 +124,10 @@ def allot(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, shar
     wanted = targets(list(sizes.items()), weights, max_repeats)
     whole = {s: min(max_repeats, int(wanted[s] // n)) if n else 0 for s, n in sizes.items()}
     missing = {s: int(round(wanted[s])) - whole[s] * n if whole[s] < max_repeats else 0 for s, n in sizes.items()}
+    # a rest that rounds up to the whole source is one more epoch: no block would hold the end of its prefix
+    for s, n in sizes.items():
+        if 0 < n <= missing[s]:
+            whole[s], missing[s] = whole[s] + 1, 0
     goal = spark.createDataFrame([(s, max(0, missing[s])) for s in sizes], "g_source string, missing long")
     edges = {r["e_source"]: r for r in _partial_epochs(counted, F.broadcast(goal)).collect()}
     order = sorted(sizes, key=lambda s: (s is None, s or ""))

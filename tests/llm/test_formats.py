@@ -140,6 +140,17 @@ def test_mixture_reaches_targets(spark):
     assert mix_sources.mix(docs.limit(0)).collect() == []
 
 
+def test_mixture_takes_a_rest_of_a_whole_epoch(spark):
+    """Targets half a word or less below whole multiples of the source's size."""
+    rows = [(i, "a b", "en", "a") for i in range(5)] + [(10 + i, "a b", "en", "b") for i in range(9)] + [(20, "a", "en", "b")]
+    docs = make_documents(spark, rows)
+    for want, taken in ((9.7, 10), (19.7, 20), (29.7, 30), (30.0, 30)):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(mix_sources, "targets", lambda *a, want=want: {"a": want, "b": 7.0})
+            got = mix_sources.allot(docs).filter("row.source = 'a'").selectExpr("sum(size * size(takes)) AS n").first().n
+        assert got == taken
+
+
 def test_splitting_tree_is_exact():
     quotas = np.array([1000, 0, 7, 123456])
     tree = mix_sources.splitting_tree(quotas, 13, np.random.default_rng(0))
