@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_scan, mix_sources as m, quality_rules as q
+from . import license_scan, mix_sources as m, quality_rules as q, secret_scan
 
 _SPLIT = r"'[\x20\x09-\x0D]+'"
 
@@ -125,4 +125,77 @@ r AS (SELECT doc_id AS id, doc_id AS reach FROM d UNION SELECT l.x, r.reach FROM
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(reach) AS component_id, min(reach) = d.doc_id AS kept
 FROM d JOIN r ON r.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n"""
 
-SQL = {"op2_substring_dedup": _OP2, "op4_quality_rules": _op4(), "op5_license_scan": _op5(), "op6_mix_sources": _op6(), "op7_chat_format": _OP7, "op9_near_dedup": _OP9}
+
+def _crc32(x: str) -> str:
+    """Unsigned CRC-32 of an ASCII string, bit by bit."""
+    step = "lambda s, z: xor(s >> 1, 3988292384 * (s & 1))"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({x}, ''), lambda v: ord(v)::BIGINT)), "
+            f"lambda s, b: list_reduce(list_prepend(xor(s, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), {step})), 4294967295)")
+
+
+_OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_crc32("doc_id::VARCHAR")} AS h,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), {_SPLIT}), lambda x: x <> '') AS w FROM documents),
+e AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+t AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+             list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS w FROM e),
+p AS (SELECT r, n, unnest(range(n)) AS i, unnest(w) AS x FROM t),
+g AS (SELECT r, n, i, hash(string_agg(x, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)) AS g FROM p),
+s AS (SELECT DISTINCT b.r, o.i - b.i AS q FROM g b JOIN g o ON b.r = o.r AND b.g = o.g AND o.i > b.i
+      WHERE b.i % 8 = 0 AND o.i + 8 <= o.n AND 3 * (o.i - b.i) <= o.n),
+c AS (SELECT s.r, s.q, x.i, x.i - row_number() OVER (PARTITION BY s.r, s.q ORDER BY x.i) AS island
+      FROM s JOIN p x ON x.r = s.r JOIN p y ON y.r = s.r AND y.i = x.i + s.q AND y.x = x.x),
+f AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM c GROUP BY r, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (SELECT r, start, length, min(q) AS period FROM f GROUP BY 1, 2, 3),
+best AS (SELECT r, count(*) AS n_runs, sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS digest,
+                first(struct_pack(start := start, length := length, period := period) ORDER BY length / period DESC, start, period) AS b FROM runs GROUP BY 1),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+k AS (SELECT p.r, string_agg(x, ' ' ORDER BY p.i) AS kept FROM p ANTI JOIN gone USING (r, i) GROUP BY 1)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.start AS start, b.length AS length, b.period AS period,
+       1000 * b.length // b.period AS exponent_milli, coalesce(digest, sha256('')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM t LEFT JOIN best ON best.r = t.r LEFT JOIN k ON k.r = t.r"""
+
+
+def _op12() -> str:
+    # each match is wrapped in two private-use characters; a match alone has the same groups as in its text
+    parts = " UNION ALL ".join(
+        f"SELECT r, {i} AS i, '{rule.kind}' AS kind, {rule.least} AS least, string_split(regexp_replace(t, '{p}', chr(57345) || '\\0' || chr(57346), 'g'), chr(57345)) AS parts, "
+        f"list_transform(regexp_extract_all(t, '{p}'), lambda m: length(regexp_extract(m, '{p}', {rule.group}))) AS sizes FROM d WHERE regexp_matches(t, '{p}')"
+        for i, rule in enumerate(secret_scan.RULES) for p in [rule.pattern.replace("'", "''")])
+    base = ", ".join(f"'{r.kind}'" for r in secret_scan.BASE)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secret_scan.BASE)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({parts}),
+u AS (SELECT r, i, kind, least, unnest(range(1, len(parts) + 1)) AS j, unnest(parts) AS part, sizes FROM m),
+v AS (SELECT r, i, kind, j, sizes[j - 1] >= least AS long, length(split_part(part, chr(57346), 1)) AS size,
+             sum(length(part)) OVER (PARTITION BY r, i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - greatest(j - 2, 0) AS start FROM u),
+s AS (SELECT r, i, kind, start::BIGINT AS start, kind || ':' || start::BIGINT || ':' || (start + size)::BIGINT AS said FROM v WHERE j > 1 AND long),
+a AS (SELECT r, {counts}, coalesce(string_agg(said, ',' ORDER BY start, i) FILTER (kind IN ({base})), '') AS base, string_agg(said, ',' ORDER BY start, i) AS spans
+      FROM s GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_scan.BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a ON a.r = d.r"""
+
+
+_OP13 = rf"""
+WITH o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, token) AS i, token, chars FROM (
+      SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS token,
+             length(coalesce(text, '')) AS chars FROM conversations)),
+c AS (SELECT DISTINCT conv_id, {_crc32("conv_id::VARCHAR")} % 6 AS h FROM o),
+b AS (SELECT c.conv_id, o.i, token, chars FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 100 AND o.i <= h
+      UNION ALL SELECT c.conv_id, o.i, token, chars FROM c JOIN o ON o.conv_id = c.conv_id AND o.i > h),
+q AS (SELECT c.conv_id, coalesce(list(token ORDER BY i) FILTER (token IS NOT NULL), []) AS tokens,
+             coalesce(list(chars ORDER BY i) FILTER (token IS NOT NULL), []) AS chars FROM c LEFT JOIN b ON b.conv_id = c.conv_id GROUP BY 1),
+x AS (SELECT conv_id, d, tokens[1:d] AS node, len(tokens) = d AS stops, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars
+      FROM (SELECT *, unnest(range(len(tokens) + 1)) AS d FROM q)),
+n AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n, first(chars) AS chars,
+             sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (stops), '')) AS ends FROM x GROUP BY 1, 2),
+k AS (SELECT node[1:d - 1] AS node, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN k ON k.node = n.node),
+up AS (SELECT node[1:e] AS top, sum((kids = 0)::BIGINT)::BIGINT AS leaves, sum((n - 1) * chars)::BIGINT AS saved
+       FROM (SELECT *, unnest(range(d + 1)) AS e FROM m) GROUP BY 1)
+SELECT m.conv_id, m.d AS depth, p.conv_id AS parent_conv_id, m.n AS n_convs, m.kids AS n_children, up.leaves AS n_leaves, up.saved AS saved_tokens,
+       m.ends AS ends_sha256 FROM m JOIN up ON up.top = m.node LEFT JOIN n p ON p.node = m.node[1:m.d - 1] AND p.d = m.d - 1"""
+
+SQL = {"op2_substring_dedup": _OP2, "op4_quality_rules": _op4(), "op5_license_scan": _op5(), "op6_mix_sources": _op6(), "op7_chat_format": _OP7, "op9_near_dedup": _OP9,
+       "op11_periodic_runs": _OP11, "op12_secret_scan": _op12(), "op13_prefix_trie": _OP13}
