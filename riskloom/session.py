@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -71,5 +72,22 @@ def is_one_machine(master: str) -> bool:
     return master == "local" or master.startswith("local[")
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per context; on one machine they have it already."""
+    sc = spark.sparkContext
+    if is_one_machine(sc.master) or getattr(sc, "_riskloom_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskloom-code-"), "riskloom.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    sc.addPyFile(archive)
+    sc._riskloom_shipped = True
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
+from riskloom.operators import quantiles
 from riskloom.operators.metrics import ranking_metrics
 from riskloom.operators.quantiles import exact_quantiles
 from riskloom.operators.ranking import global_cumsum, global_row_number
@@ -27,6 +28,47 @@ def test_exact_quantiles_match_numpy(spark, rows):
     assert {g for g, _ in got} == set(pdf.g)
 
 
+@pytest.mark.parametrize("limits", [{}, {"SMALL_GROUP": 12, "MAX_BETWEEN": 12, "GRID": 10, "SKETCH_ACCURACY": 40, "MARGIN": 0.02}])
+def test_narrowing_over_several_rounds(spark, monkeypatch, limits):
+    """Small limits take many rounds; hot values, far outliers, infinities, NaN, nulls and a null group included."""
+    for k, v in limits.items():
+        monkeypatch.setattr(quantiles, k, v)
+    rounds = []
+    once = quantiles._round
+    monkeypatch.setattr(quantiles, "_round", lambda *a: rounds.append(1) or once(*a))
+    rng = np.random.RandomState(1)
+    n = 6000
+    group = rng.choice(np.array(["a", "b", None], object), n, p=[0.6, 0.3, 0.1])
+    pdf = pd.DataFrame({"g": group, "x": rng.lognormal(0, 30, n), "y": rng.choice([7.0, 7.0, 8.0, -1.0], n), "z": rng.randn(n)})
+    pdf.loc[rng.rand(n) < 0.4, "z"] = 0.25
+    pdf.loc[:3, "x"], pdf.loc[4:6, "x"] = np.inf, -np.inf
+    rows = [(g, x, None if i % 50 == 0 else y, float("nan") if i % 40 == 0 else z, None) for i, (g, x, y, z) in enumerate(pdf.itertuples(index=False))]
+    df = spark.createDataFrame(rows, "g string, x double, y double, z double, nothing double").repartition(5)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.77, 0.999, 1.0]
+    for by in ([], ["g"]):
+        got = {(*[r[c] for c in by], r["column"], r["prob"]): r["value"] for r in exact_quantiles(df, ["x", "y", "z", "nothing"], probs, by).collect()}
+        want, parts = {}, {(): rows}
+        if by:
+            parts = {(g,): [r for r in rows if r[0] == g] for g in ("a", "b", None)}
+        for key, part in parts.items():
+            for i, c in enumerate("xyz"):
+                v = sorted(r[i + 1] for r in part if r[i + 1] is not None and r[i + 1] == r[i + 1])
+                for q in probs:
+                    h = (len(v) - 1) * q
+                    lo, hi = v[int(h)], v[min(int(h) + 1, len(v) - 1)]
+                    want[(*key, c, q)] = lo + (hi - lo) * (h - int(h))
+        assert set(got) == set(want)
+        assert {k: (got[k], want[k]) for k in want if got[k] != want[k] and not (np.isnan(got[k]) and np.isnan(want[k]))} == {}
+    assert len(rounds) >= (6 if limits else 2)
+
+
+def test_more_groups_than_the_driver_narrows(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "MAX_RANKS", 20)
+    rows = [(i % 37, float(i * i % 101)) for i in range(2000)]
+    got = {r.g: r.value for r in exact_quantiles(spark.createDataFrame(rows, "g long, v double"), ["v"], [0.5], ["g"]).collect()}
+    assert got == {g: float(np.median([v for h, v in rows if h == g])) for g in range(37)}
+
+
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from([0, 1]), st.integers(0, 1000)), min_size=1, max_size=80, unique_by=lambda t: t[1]))
 def test_global_row_number_matches_window(spark, rows):
