@@ -141,16 +141,15 @@ def _round(spark, values: DataFrame, groups, keys, ranges, found: dict) -> list:
         j = counter[r.group, r.col] = counter.get((r.group, r.col), -1) + 1
         slots.setdefault((r.col, j), {})[r.group] = r
     slots = {f"{i}_{j}": (F.col(f"_v{i}"), by_group) for (i, j), by_group in slots.items()}
-    by_key = {key: g for g, key in enumerate(keys)}
 
     def bounded(fields):
-        """``values`` with the columns <field><slot>: the bounds of the row's group."""
+        """``values`` with the number of the row's group and its bounds, columns <field><slot>."""
         names = [(f, s) for s in slots for f in fields]
         if not groups:
-            return values.withColumns({f"{f}{s}": F.lit(fields[f](slots[s][1][0])).cast("double") for f, s in names})
+            return values.withColumns({"_b": F.lit(0), **{f"{f}{s}": F.lit(fields[f](slots[s][1][0])).cast("double") for f, s in names}})
         table = spark.createDataFrame(
-            [(*key, *[fields[f](slots[s][1][g]) if g in slots[s][1] else None for f, s in names]) for g, key in enumerate(keys)],
-            ", ".join([f"_b{c} {values.schema[c].dataType.simpleString()}" for c in groups] + [f"{f}{s} double" for f, s in names]))
+            [(*key, g, *[fields[f](slots[s][1][g]) if g in slots[s][1] else None for f, s in names]) for g, key in enumerate(keys)],
+            ", ".join([f"_b{c} {values.schema[c].dataType.simpleString()}" for c in groups] + ["_b int"] + [f"{f}{s} double" for f, s in names]))
         same = reduce(lambda x, y: x & y, [values[c].eqNullSafe(table[f"_b{c}"]) for c in groups])
         return values.join(F.broadcast(table), same)  # MAX_RANKS bounds its size
 
@@ -161,28 +160,31 @@ def _round(spark, values: DataFrame, groups, keys, ranges, found: dict) -> list:
     blank = [s for s, (_, got) in slots.items() if any(r.near is None for r in got.values())]
     if blank:
         grid = [x / GRID for x in range(GRID + 1)]
-        for row in bounded(ends).groupBy(*groups).agg(*[
+        for row in bounded(ends).groupBy("_b").agg(*[
                 F.percentile_approx(F.when(inside(slots[s][0], s), slots[s][0]), grid, SKETCH_ACCURACY).alias(s) for s in blank]).collect():
             for s in blank:
-                r = slots[s][1].get(by_key[tuple(row[c] for c in groups)])
+                r = slots[s][1].get(row["_b"])
                 if r is not None and r.size <= SMALL_GROUP:
                     r.near = (-math.inf, math.inf)
                 elif r is not None:  # two steps of the grid to both sides, more than the sketch's error
                     at = [(rank - r.below) / r.size * GRID for rank in r.ranks]
                     r.near = (row[s][max(0, math.floor(min(at)) - 2)], row[s][min(GRID, math.ceil(max(at)) + 2)])
-    aggs = []
-    for s, (v, got) in slots.items():
+    rows, aggs, lists = bounded({**ends, "a": lambda r: r.near[0], "b": lambda r: r.near[1], "few": lambda r: float(r.few())}), [], {}
+    for s, (v, _) in slots.items():
         a, b, here = F.col(f"a{s}"), F.col(f"b{s}"), inside(v, s)
         between = here & (v > a) & (v < b)
         aggs += [F.count_if(here & (v < a)).alias(f"c{s}_0"), F.count_if(here & (v == a)).alias(f"c{s}_1"),
-                 F.count_if(between).alias(f"c{s}_2"), F.count_if(here & (v == b) & (b > a)).alias(f"c{s}_3"),
-                 F.sort_array(F.collect_list(F.when(between & (F.col(f"few{s}") == 1), v))).alias(f"l{s}")]
+                 F.count_if(between).alias(f"c{s}_2"), F.count_if(here & (v == b) & (b > a)).alias(f"c{s}_3")]
+        lists[s] = F.when(between & (F.col(f"few{s}") == 1), v)
+    # the counts are one compiled aggregate; the few values between come in a filtered scan of their own
+    counts = {row["_b"]: row for row in rows.groupBy("_b").agg(*aggs).collect()}
+    listed = rows.select("_b", *[x.alias(f"l{s}") for s, x in lists.items()])
+    listed = listed.where(reduce(lambda x, y: x | y, [F.col(f"l{s}").isNotNull() for s in lists])).toPandas()
     still = []
-    for row in bounded({**ends, "a": lambda r: r.near[0], "b": lambda r: r.near[1], "few": lambda r: float(r.few())}).groupBy(*groups).agg(*aggs).collect():
-        for s, (_, got) in slots.items():
-            r = got.get(by_key[tuple(row[c] for c in groups)])
-            if r is not None:
-                still += r.split([row[f"c{s}_{x}"] for x in range(4)], row[f"l{s}"] if r.few() else None, found)
+    for s, (_, got) in slots.items():
+        values_of = listed[["_b", f"l{s}"]].dropna().groupby("_b")[f"l{s}"].apply(sorted) if len(listed) else {}
+        for g, r in got.items():
+            still += r.split([counts[g][f"c{s}_{x}"] for x in range(4)], values_of.get(g, []) if r.few() else None, found)
     return still
 
 
