@@ -12,17 +12,24 @@
   combined map-side before the shuffle; the background is a bounded set of
   rows (default 100) held as literals.
 * ``exact_shapley``: all coalitions of a few features against the whole background, as array expressions in the row.
+* ``logistic_shapley``: Shapley values of a logistic regression's probability, by weighted least squares over coalitions.
 * ``global_importance``: mean absolute attribution per feature.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import ship_code
+from .trees import matrix_of
 
 
 def linear_attribution(df: DataFrame, terms: dict, background: DataFrame, key: str = "patient_id") -> DataFrame:
@@ -120,6 +127,97 @@ def exact_shapley(df: DataFrame, features: Sequence[str], scorer: Callable[[dict
     return valued.select(key, F.inline(F.array(*rows)))
 
 
+#: coalitions of the least squares, beyond two per feature; all of them where there are no more
+COALITIONS = 2048
+
+
+def coalitions(f: int, limit: int | None = None, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """Coalitions of ``f`` features (rows of 0 and 1, neither empty nor full) and their Shapley kernel weights.
+
+    All of them if they are at most ``limit`` (2 f + ``COALITIONS``). Otherwise whole sizes from both ends as long as they
+    fit, and the rest drawn in complementary pairs, sizes by their weight."""
+    limit = 2 * f + COALITIONS if limit is None else limit
+    sizes = np.arange(1, f)
+    mass = {int(s): (f - 1) / (s * (f - s)) for s in sizes}  # of all coalitions of a size
+    if (1 << f) - 2 <= limit:
+        masks = np.arange(1, (1 << f) - 1)
+        rows = (masks[:, None] >> np.arange(f)) & 1
+        return rows.astype(float), np.array([mass[s] / math.comb(f, s) for s in rows.sum(axis=1).tolist()])
+    rows, weights, left = [], [], dict(mass)
+    for s in range(1, f // 2 + 1):
+        pair = {s, f - s}
+        if len(rows) + sum(math.comb(f, k) for k in pair) > limit:
+            break
+        for k in pair:
+            got = [[float(j in set(c)) for j in range(f)] for c in itertools.combinations(range(f), k)]
+            rows += got
+            weights += [mass[k] / len(got)] * len(got)
+            left.pop(k)
+    rng, total, count = np.random.RandomState(seed), sum(left.values()), limit - len(rows)
+    if left and count > 1:
+        share = np.array([left[s] for s in left]) / total
+        drawn: dict = {}
+        for s in rng.choice(list(left), count // 2, p=share):
+            c = np.zeros(f)
+            c[rng.permutation(f)[:s]] = 1.0
+            for row in (c, 1.0 - c):
+                drawn[tuple(row)] = drawn.get(tuple(row), 0) + 1
+        n = sum(drawn.values())
+        rows += [list(r) for r in drawn]
+        weights += [total * k / n for k in drawn.values()]
+    return np.array(rows), np.array(weights)
+
+
+def logistic_shapley(df: DataFrame, x: str, names: Sequence[str], model, background: Sequence[Sequence[float]],
+                     keep: Sequence[str] = ("patient_id",), limit: int | None = None) -> DataFrame:
+    """Shapley values of a logistic regression's probability; columns ``keep``, feature and phi.
+
+    A coalition's value is the mean probability with its features from the row and the others from each background row.
+    The phis solve the least squares over the coalitions, weighted by the Shapley kernel, under the condition that they
+    sum to the row's probability minus the background's mean. With all coalitions (``coalitions``) they are the exact
+    Shapley values. The system's matrix is the same for every row and is inverted once; rows come in Arrow batches, a
+    few at a time, so that memory stays bounded. A row with a null or NaN feature has null phis."""
+    ship_code(df.sparkSession)
+    keep, f = list(keep), len(names)
+    rows = df.select(*keep, F.col(x).cast("array<double>").alias("_x"))
+    schema = T.StructType([*rows.select(*keep).schema.fields, T.StructField("_phi", T.ArrayType(T.DoubleType()))])
+    beta, intercept = np.array(model.coefficients, float), float(model.intercept)
+    back = np.array([list(b) for b in background], float) * beta
+
+    def run(batches):
+        if f > 1:
+            z, w = coalitions(f, limit)
+            # the last feature follows from the sum
+            a = z[:, :-1] - z[:, -1:]
+            solve = np.linalg.pinv(a.T @ (a * w[:, None])) @ (a * w[:, None]).T
+            others = (1.0 - z) @ back.T  # margins of the background's part, per coalition and background row
+        base = expit(intercept + back.sum(axis=1)).mean()
+        for batch in batches:
+            own = matrix_of(batch.column("_x"), f) * beta
+            total = expit(intercept + own.sum(axis=1)) - base
+            phi = np.empty((len(own), f))
+            if f == 1:
+                phi[:, 0] = total
+            else:
+                step = max(1, 4_000_000 // others.size)
+                for at in range(0, len(own), step):
+                    part = own[at:at + step]
+                    value = expit(intercept + (part @ z.T)[:, :, None] + others[None]).mean(axis=2) - base
+                    target = value - z[:, -1] * total[at:at + step, None]
+                    phi[at:at + step, :-1] = target @ solve.T
+                phi[:, -1] = total - phi[:, :-1].sum(axis=1)
+            phi[np.isnan(own).any(axis=1)] = np.nan
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * f)
+            flat = pa.array(phi.ravel(), from_pandas=True)  # NaN: null
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.ListArray.from_arrays(offsets, flat)], names=[*keep, "_phi"])
+    named = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("_phi").alias("phi"))
+    return rows.mapInArrow(run, schema).select(*keep, F.inline(named))
+
+
+def expit(m: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(m, -700, 700)))
+
+
 def global_importance(attr: DataFrame) -> DataFrame:
     """Mean |phi| per feature (rows with a null phi are skipped)."""
     return attr.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_phi"), F.count("phi").alias("n"))

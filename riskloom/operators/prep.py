@@ -42,15 +42,16 @@ class PreprocessorModel:
         out.update({c: F.coalesce(_q(c).cast("string"), F.lit(self.modes[c])) for c in self.categorical})
         return out
 
-    def feature_exprs(self) -> list:
-        """``[(feature_name, Column)]`` in feature order (imputed + scaled numerics, one-hot categoricals)."""
+    def feature_exprs(self, scaled: bool = True, categories: dict | None = None) -> list:
+        """``[(feature_name, Column)]`` in feature order (imputed numerics, scaled unless told otherwise, one-hot
+        categoricals; ``categories``: other lists of categories to make columns of)."""
         out = []
         for c in self.numeric:
             x = F.coalesce(_q(c).cast("double"), F.lit(self.medians[c]))
-            out.append((c, (x - F.lit(self.means[c])) / F.lit(self.scales[c])))
+            out.append((c, (x - F.lit(self.means[c])) / F.lit(self.scales[c]) if scaled else x))
         for c in self.categorical:
             x = F.coalesce(_q(c).cast("string"), F.lit(self.modes[c]))
-            for v in self.categories[c]:
+            for v in (categories or self.categories)[c]:
                 out.append((f"{c}_{v}", (x == F.lit(v)).cast("double")))
         return out
 

@@ -2,12 +2,15 @@
 
 Per disease: panel → recipe → exact stratified 80/20 split → (optional
 stratified cap) → leakage-free preprocessing fitted on the training rows →
-four class-weighted MLlib classifiers → 3-fold stratified CV F1 (the
-preprocessor is refitted inside every fold) → test metrics → winner by F1
-(ties in training order) → artifacts.
-
-The disease loop runs on the driver; each step inside is a distributed job.
-Models are MLlib estimators, so fitting scales with the cluster.
+four class-weighted classifiers → 3-fold stratified CV F1 (the preprocessor is
+refitted inside every fold) → test metrics → winner by F1 (ties in training
+order) → artifacts.
+
+All diseases given are trained together: their rows form one training table
+(``operators.fitting``), and one job serves a step of every fit, be it a Newton
+step of the logistic regressions or a tree level of the boosted models, of all
+diseases and folds. Only the random forests are MLlib fits of their own. All
+models are judged in one frame.
 """
 
 from __future__ import annotations
@@ -15,53 +18,38 @@ from __future__ import annotations
 import json
 import os
 import time
-from dataclasses import dataclass, field
-
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.recipes import engineer_features
-from ..operators import metrics, prep, split
+from ..operators import boosting, metrics, prep, split
 from ..operators.clean import split_by_dtype, split_features_target
-from ..session import ensure_checkpoint_dir
+from ..operators.fitting import ALL, Frame, frame_of, group_parts, quick_session, x_column
+from ..operators.newton import Logistic, logistic_fits
+from ..operators.trees import Forest, from_mllib
+from ..session import ensure_checkpoint_dir, ship_code, shuffle_partitions
 
-# --- fixed values: the four compared classifiers, in training order, and their settings.
+# --- fixed values: the four compared classifiers, in training order.
 MODEL_NAMES = ["XGBoost (Balanced)", "Random Forest (Balanced)", "Gradient Boosting", "Logistic Regression (Balanced)"]
+XGBOOST, FOREST, GRADIENT, LOGISTIC = MODEL_NAMES
 ID_COLS = ("patient_id",)
-
-
-def make_estimator(name: str, n_train: int, weight_col: str | None):
-    if name == "XGBoost (Balanced)":
-        est = GBTClassifier(maxIter=100, maxDepth=4, stepSize=0.08, subsamplingRate=0.8, seed=42)
-    elif name == "Random Forest (Balanced)":
-        est = RandomForestClassifier(numTrees=100, maxDepth=10, seed=42)
-    elif name == "Gradient Boosting":
-        return GBTClassifier(maxIter=80, maxDepth=4, stepSize=0.1, seed=42)
-    elif name == "Logistic Regression (Balanced)":
-        # C = 1 with per-row weights: Spark divides the loss by the weight total (= n for balanced weights)
-        est = LogisticRegression(maxIter=500, regParam=1.0 / max(1, n_train), elasticNetParam=0.0,
-                                 standardization=False)
-    else:
-        raise ValueError(name)
-    if weight_col:
-        est = est.setWeightCol(weight_col)
-    return est
-
-
-def weight_column(name: str, y: str, pos_w, n, n_pos, n_neg):
-    """X7 for boosted trees (weighted), X8 balanced for forest and logistic regression."""
-    if name == "XGBoost (Balanced)":
-        return F.when(F.col(y) == 1, F.lit(pos_w)).otherwise(F.lit(1.0))
-    if name in ("Random Forest (Balanced)", "Logistic Regression (Balanced)"):
-        return F.when(F.col(y) == 1, F.lit(n / (2.0 * max(1, n_pos)))).otherwise(F.lit(n / (2.0 * max(1, n_neg))))
-    return None
+#: training rows per partition of the shared table: below this, a task is not worth its start
+ROWS_PER_TRAIN_PARTITION = 5_000
+CV_FOLDS = 3
 
 
 @dataclass
 class Fitted:
+    """A disease's classifier: a ``Logistic`` over standardised features or a ``Forest`` over imputed ones."""
     disease: str
     name: str
     preprocessor: prep.PreprocessorModel
@@ -71,171 +59,214 @@ class Fitted:
     def feature_names(self):
         return self.preprocessor.feature_names()
 
-    def probability_expr(self):
-        """P(y = 1) as a plain column expression when the model is a binary logistic regression:
-        ``sigmoid(intercept + coef · x)`` over the preprocessed features (whole-stage codegen, no
-        vector UDFs). ``None`` for tree ensembles, which are scored with ``transform``."""
-        from pyspark.ml.classification import LogisticRegressionModel
-        if not isinstance(self.model, LogisticRegressionModel) or self.model.numClasses != 2:
-            return None
-        margin = F.lit(float(self.model.intercept))
-        for (_, e), c in zip(self.preprocessor.feature_exprs(), self.model.coefficients.toArray()):
-            if c != 0.0:
-                margin = margin + F.lit(float(c)) * e
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+    @property
+    def is_tree(self) -> bool:
+        return isinstance(self.model, Forest)
 
-    def score(self, df: DataFrame, out: str = "probability_1", keep=ID_COLS) -> DataFrame:
-        """X16 + M6: P(Outcome = 1) for every row of a panel-shaped frame (narrow projection)."""
-        eng = engineer_features(df, self.disease)
-        expr = self.probability_expr()
-        if expr is not None:
-            keep_cols = [k for k in keep if k in eng.columns]
-            return eng.select(*keep_cols, expr.alias(out)).withColumn(
-                "pred", (F.col(out) > F.lit(0.5)).cast("int"))
-        vec = assemble(self.preprocessor.transform(eng, keep=[k for k in keep if k in eng.columns]),
-                       self.preprocessor.feature_names())
-        pred = self.model.transform(vec)
-        return pred.select(*[k for k in keep if k in eng.columns],
-                           metrics.positive_probability().alias(out), F.col("prediction").cast("int").alias("pred"))
+    def features(self) -> list:
+        """The model's inputs as columns of the engineered panel: imputed, and scaled for a logistic regression."""
+        return [e for _, e in self.preprocessor.feature_exprs(scaled=not self.is_tree)]
 
+    def with_probability(self, eng: DataFrame, out: str, x: str = "__x") -> DataFrame:
+        """``eng`` with P(Outcome = 1): a closed form, or the trees walked inside the row; a narrow projection either way."""
+        if not self.is_tree:
+            return eng.withColumn(out, self.model.probability(self.features()))
+        return eng.withColumn(x, F.array(*self.features())).withColumn(out, self.model.probability(x)).drop(x)
 
-def assemble(df: DataFrame, feature_names, out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(feature_names), outputCol=out, handleInvalid="keep").transform(df)
+    def score(self, df: DataFrame, out: str = "probability_1", keep=ID_COLS) -> DataFrame:
+        """X16 + M6: P(Outcome = 1) and the predicted class for every row of a panel-shaped frame."""
+        eng = engineer_features(df, self.disease)
+        scored = self.with_probability(eng, out).select(*[k for k in keep if k in eng.columns], out)
+        return scored.withColumn("pred", (F.col(out) > F.lit(0.5)).cast("int"))
 
 
+# ---------------------------------------------------------------- the training table
 @dataclass
-class Prepared:
-    """One training frame, preprocessed once and shared by every model fitted on it."""
-    pre: prep.PreprocessorModel
-    data: DataFrame
-    n: int
-    n_pos: int
-    n_neg: int
-
-    def release(self):
-        self.data.unpersist()
-
-
-# A training frame runs through hundreds of small jobs; a partition per so many rows keeps their tasks worth starting.
-ROWS_PER_TRAIN_PARTITION = 20_000
-
-
-def prepare(train: DataFrame, numeric, categorical, y: str = "Outcome", pre: prep.PreprocessorModel | None = None) -> Prepared:
-    """Fit the preprocessor on ``train`` (unless given) and persist the assembled vectors with both weight columns.
-
-    The persisted frame is a pure projection of a checkpointed input, so a lost cached block is
-    recomputed to the same rows. Its partition count follows its rows, not the scan it came from."""
-    cnt = train.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(y) == 1).alias("pos"),
-                    F.count_if(F.col(y) == 0).alias("neg")).first()
-    n, n_pos, n_neg = cnt["n"], cnt["pos"], cnt["neg"]
-    pos_w = max(1.0, float(n_neg) / max(1, n_pos))
-    pre = pre or prep.fit_preprocessor(train, numeric, categorical)
-    data = pre.transform(train, keep=[y]).withColumn("label", F.col(y).cast("double"))
-    data = data.withColumns({
-        "w_pos": weight_column("XGBoost (Balanced)", y, pos_w, n, n_pos, n_neg),
-        "w_bal": weight_column("Logistic Regression (Balanced)", y, pos_w, n, n_pos, n_neg)})
-    data = assemble(data, pre.feature_names()).select("label", "w_pos", "w_bal", "features", F.col(y))
-    data = data.coalesce(max(1, -(-n // ROWS_PER_TRAIN_PARTITION)))
-    return Prepared(pre, data.persist(), n, n_pos, n_neg)
-
-
-_WEIGHT_OF = {"XGBoost (Balanced)": "w_pos", "Random Forest (Balanced)": "w_bal",
-              "Logistic Regression (Balanced)": "w_bal", "Gradient Boosting": None}
-
-
-def fit_prepared(name: str, p: Prepared):
-    return make_estimator(name, p.n, _WEIGHT_OF[name]).fit(p.data)
-
-
-def _fit_one(name, train, numeric, categorical, y="Outcome"):
-    """Fit preprocessor + classifier on ``train``; returns (preprocessor, model)."""
-    p = prepare(train, numeric, categorical, y)
-    try:
-        return p.pre, fit_prepared(name, p)
-    finally:
-        p.release()
-
-
-def _vectors(pre, df, y="Outcome") -> DataFrame:
-    return assemble(pre.transform(df, keep=[y]), pre.feature_names()).select(F.col(y).cast("int").alias("y"), "features")
-
+class _Disease:
+    """One disease's rows (fold: null for test rows) and the preprocessors of its frames."""
+    name: str
+    rows: DataFrame
+    pre: dict
+    frames: dict
+    seconds: float
 
-def _predicted(model, vectors: DataFrame, **tags) -> DataFrame:
-    out = model.transform(vectors)
-    return out.select(*[F.lit(v).alias(k) for k, v in tags.items()], "y", F.col("prediction").cast("int").alias("pred"),
-                      metrics.positive_probability().alias("score"))
+    def categories(self) -> dict:
+        return self.pre[None].categories
 
 
-def train_disease(panel: DataFrame, disease: str, models=tuple(MODEL_NAMES), max_train_rows: int | None = None,
-                  cv_folds: int = 3, out_dir: str | None = None, parallelism: int = 8):
-    """Returns (metrics DataFrame, winner ``Fitted``).
-
-    The ``len(models) × (1 + cv_folds)`` fits are independent Spark jobs; ``parallelism`` of them are
-    submitted at once from driver threads (small fits under-use a cluster; on large data use 1-2).
-    """
-    spark = panel.sparkSession
-    ensure_checkpoint_dir(spark)
+def _prepared(panel: DataFrame, disease: str, max_train_rows, cv_folds: int) -> _Disease:
+    t0 = time.time()
     df = engineer_features(panel, disease)
     split_features_target(df)  # P9: fails fast without an Outcome column
     # one ranking gives split, cap and folds; every model reuses it (lineage cut, survives executor loss)
     rows = split.train_test_folds(df, "Outcome", list(ID_COLS), k=cv_folds, max_train_rows=max_train_rows).checkpoint(eager=True)
-    train, test = rows.where(F.col("fold").isNotNull()), rows.where(F.col("fold").isNull()).drop("fold")
+    train = rows.where(F.col("fold").isNotNull())
     numeric, categorical = split_by_dtype(train, exclude=[*ID_COLS, "Outcome", "fold"])
+    pre = prep.fit_preprocessors(train, numeric, categorical, cv_folds)
+    n = {(r["fold"], r["Outcome"]): r["n"] for r in train.groupBy("fold", "Outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
+    frames = {}
+    for f in [None, *range(cv_folds)]:
+        neg, pos = (sum(v for (fold, y), v in n.items() if y == label and fold != f) for label in (0, 1))
+        frames[f] = frame_of(disease, ALL if f is None else f, pre[f], pre[None].categories, neg, pos)
+    return _Disease(disease, rows, pre, frames, time.time() - t0)
+
+
+def _training_table(diseases: list, path: str) -> int:
+    """Write all diseases' rows to ``path``: grp, rid, y, fold (null: test) and x; returns the partitions to fit them in."""
+    table, n = None, 0
+    for d in diseases:
+        part = d.rows.select(F.lit(d.name).alias("grp"), F.col(ID_COLS[0]).cast("long").alias("rid"), F.col("Outcome").cast("double").alias("y"),
+                             F.col("fold").cast("int").alias("fold"), x_column(d.pre[None].numeric, d.categories()).alias("x"))
+        table = part if table is None else table.unionByName(part)
+        n += d.frames[None].n_neg + d.frames[None].n_pos
+    parts = max(1, min(-(-n // ROWS_PER_TRAIN_PARTITION), shuffle_partitions(table.sparkSession)))
+    table.repartition(parts, "grp", F.pmod(F.xxhash64("rid"), F.lit(parts))).write.parquet(path)
+    return parts
+
+
+# ---------------------------------------------------------------- fits
+def _fit_forest(d: _Disease, without, scratch: str) -> Forest:
+    """MLlib's random forest on one frame, read back as a node table."""
+    frame = d.frames[without]
+    pre = d.pre[without]
+    rows = d.rows.where(F.col("fold").isNotNull() if without is None else F.col("fold") != F.lit(without))
+    if not (frame.n_pos and frame.n_neg):
+        return Forest([-1], [0.0], [-1], [-1], [0.0], [0], 1.0 if frame.n_pos else 0.0)
+    x = _filled(pre, d.categories())
+    weight = F.when(F.col("Outcome") == 1, F.lit(float(frame.balanced(np.array([1.0]))[0]))).otherwise(F.lit(float(frame.balanced(np.array([0.0]))[0])))
+    data = rows.select(F.col("Outcome").cast("double").alias("label"), weight.alias("w"), array_to_vector(x).alias("features"))
+    data = data.coalesce(max(1, -(-(frame.n_pos + frame.n_neg) // ROWS_PER_TRAIN_PARTITION))).persist()
+    model = RandomForestClassifier(numTrees=100, maxDepth=10, seed=42, weightCol="w").fit(data)
+    data.unpersist()
+    path = f"{scratch}/{d.name}-{ALL if without is None else without}"
+    model.write().overwrite().save(path)
+    return from_mllib(rows.sparkSession, model, path)
+
+
+def _filled(pre, categories: dict):
+    """The imputed, unscaled features with a column per category of the whole training frame."""
+    parts = [e for _, e in pre.feature_exprs(scaled=False, categories=categories)]
+    return F.array(*parts)
+
+
+def _fit_all(table: DataFrame, parts: int, diseases: list, models, scratch: str, parallelism: int) -> tuple:
+    """({(disease, model, fold or None): fitted}, seconds of each model's fits of all diseases)."""
+    frames = [f for d in diseases for f in d.frames.values()]
+    keys = [(d.name, f) for d in diseases for f in d.frames]
+    fits, seconds = {}, {}
+    boosted = [m for m in (XGBOOST, GRADIENT) if m in models]
+    if boosted:
+        t0 = time.time()
+        settings = {XGBOOST: boosting.XGBOOST, GRADIENT: boosting.GRADIENT}
+        for (disease, f), found in zip(keys, boosting.boosted_fits(table, frames, [settings[m] for m in boosted], parts)):
+            fits.update({(disease, m, f): forest for m, forest in zip(boosted, found)})
+        # the models grow together: a share of the time by their trees
+        trees = sum(settings[m].trees for m in boosted)
+        seconds.update({m: (time.time() - t0) * settings[m].trees / trees for m in boosted})
+    if LOGISTIC in models:
+        t0 = time.time()
+        fits.update({(disease, LOGISTIC, f): m for (disease, f), m in zip(keys, logistic_fits(table, frames, partitions=parts))})
+        seconds[LOGISTIC] = time.time() - t0
+    if FOREST in models:
+        t0 = time.time()
+        tasks = [(d, f) for d in diseases for f in d.frames]
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            fits.update({(d.name, FOREST, f): m for (d, f), m in zip(tasks, pool.map(lambda t: _fit_forest(*t, scratch), tasks))})
+        seconds[FOREST] = time.time() - t0
+    return fits, seconds
+
+
+_SCORED = "disease string, model_name string, part int, y int, pred int, score double"
+
+
+def _scored(table: DataFrame, fits: dict, frames: dict) -> DataFrame:
+    """Every test row under the models of the whole training frame (part -1) and every training row under those that left
+    its fold out (part: the fold)."""
+    ship_code(table.sparkSession)
+    of_group: dict = {}
+    for (disease, name, f), model in fits.items():
+        of_group.setdefault(disease, []).append((name, frames[disease][f], model))
+
+    def run(batches):
+        for batch in batches:
+            for group, _, y, _, fold, x in group_parts(batch):
+                for name, frame, model in of_group.get(group, ()):
+                    pick = frame.held_out(fold)
+                    if not pick.any():
+                        continue
+                    p = probabilities(model, frame, x[pick])
+                    n = len(p)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([group] * n), pa.array([name] * n), pa.array(np.full(n, frame.without, np.int32)), pa.array(y[pick].astype(np.int32)),
+                         pa.array((p > 0.5).astype(np.int32)), pa.array(p)], names=["disease", "model_name", "part", "y", "pred", "score"])
+    return table.mapInArrow(run, _SCORED)
+
+
+def probabilities(model, frame: Frame, x: np.ndarray) -> np.ndarray:
+    """P(1) of raw feature rows (for tasks)."""
+    if isinstance(model, Logistic):
+        s = model.margins((frame.filled(x) - frame.mean) / frame.scale)
+    else:
+        s = model.margins(frame.filled(x))
+        if model.link == "identity":
+            return s
+    return 1.0 / (1.0 + np.exp(-np.clip(s, -700, 700)))
 
-    # one preprocessor per training frame (full train + each CV fold), shared by all models
-    from concurrent.futures import ThreadPoolExecutor
-    frames = {None: train, **{f: train.where(F.col("fold") != f) for f in range(cv_folds)}}
-    t_prep = time.time()
-    fitted_pre = prep.fit_preprocessors(train, numeric, categorical, cv_folds)
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        prepared = dict(zip(frames, pool.map(lambda f: prepare(frames[f], numeric, categorical, pre=fitted_pre[f]), frames)))
-    prep_secs = (time.time() - t_prep) / len(frames)
 
-    def fit(task):
-        t0 = time.time()
-        return fit_prepared(task[0], prepared[task[1]]), time.time() - t0 + prep_secs
+def train_many(panels: dict, models=tuple(MODEL_NAMES), max_train_rows: int | None = None, cv_folds: int = CV_FOLDS,
+               out_dir: str | None = None, parallelism: int = 4) -> tuple:
+    """X14, X15 for several diseases at once ({disease: panel}): (metrics DataFrame, {disease: winner}).
 
-    tasks = [(name, f) for name in models for f in frames]
+    ``parallelism``: driver threads that submit the preparation of panels and the random forests' jobs."""
+    spark = next(iter(panels.values())).sparkSession
+    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskloom-forests-{uuid.uuid4().hex}"
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fits = dict(zip(tasks, pool.map(fit, tasks)))
-
-    # test and validation vectors are prepared once per frame; all models are scored into one frame, written once
+        diseases = list(pool.map(lambda d: _prepared(panels[d], d, max_train_rows, cv_folds), panels))
+    path = f"{scratch}/table"
+    parts = _training_table(diseases, path)
+    steps = quick_session(spark).read.parquet(path).where("fold IS NOT NULL").repartition(parts).persist()
+    fits, seconds = _fit_all(steps, parts, diseases, models, scratch, parallelism)
+    steps.unpersist()
     t_eval = time.time()
-    scored = None
-    for f in frames:
-        held = test if f is None else train.where(F.col("fold") == f)
-        vectors = _vectors(prepared[f].pre, held)
-        for name in models:
-            out = _predicted(fits[name, f][0], vectors, model_name=name, part=-1 if f is None else f)
-            scored = out if scored is None else scored.unionByName(out)
-    scored = scored.checkpoint(eager=True)
-    by_part = {(r["model_name"], r["part"]): r for r in
-               metrics.classification_metrics(scored, "y", "pred", ["model_name", "part"]).collect()}
-    ranked = {r["model_name"]: r for r in
-              metrics.ranking_metrics(scored.where("part = -1"), "y", "score", ["model_name"]).collect()}
-    eval_secs = (time.time() - t_eval) / max(1, len(models))
+    scored = _scored(spark.read.parquet(path), fits, {d.name: d.frames for d in diseases}).checkpoint(eager=True)
+    by_part = {(r["disease"], r["model_name"], r["part"]): r for r in
+               metrics.classification_metrics(scored, "y", "pred", ["disease", "model_name", "part"]).collect()}
+    ranked = {(r["disease"], r["model_name"]): r for r in
+              metrics.ranking_metrics(scored.where("part = -1"), "y", "score", ["disease", "model_name"]).collect()}
+    # M7: a model's part of the shared work: preparation and evaluation split evenly, fits by disease
+    share = (time.time() - t_eval) / max(1, len(models) * len(diseases))
     nothing = {"accuracy": 0.0, "precision": 0.0, "recall": 0.0, "f1": 0.0}
-    rows, fitted = [], {}
-    for name in models:
-        t, rk = by_part.get((name, -1), nothing), ranked.get(name)
-        ev = {**{k: t[k] for k in nothing}, "roc_auc": rk["roc_auc"] if rk else 0.5, "pr_auc": rk["avg_precision"] if rk else 0.5}
-        cv = [by_part.get((name, f), nothing)["f1"] for f in range(cv_folds)]
-        mean = sum(cv) / len(cv)
-        std = (sum((c - mean) ** 2 for c in cv) / len(cv)) ** 0.5
-        elapsed = sum(fits[name, f][1] for f in frames) + eval_secs  # M7: fit + CV + evaluation time of this model
-        rows.append((disease, name, mean, std, ev["accuracy"], ev["precision"], ev["recall"], ev["f1"],
-                     ev["roc_auc"], ev["pr_auc"], elapsed, MODEL_NAMES.index(name)))
-        counts = {"n_train": prepared[None].n, "n_test": 0 if t is nothing else int(t["n"])}
-        fitted[name] = Fitted(disease, name, prepared[None].pre, fits[name, None][0], {**ev, **counts})
-    for p in prepared.values():
-        p.release()
+    rows, winners = [], {}
+    for d in diseases:
+        own = []
+        for name in models:
+            t, rk = by_part.get((d.name, name, ALL), nothing), ranked.get((d.name, name))
+            ev = {**{k: t[k] for k in nothing}, "roc_auc": rk["roc_auc"] if rk else 0.5, "pr_auc": rk["avg_precision"] if rk else 0.5}
+            cv = np.array([by_part.get((d.name, name, f), nothing)["f1"] for f in range(cv_folds)] or [0.0])
+            spent = seconds[name] / len(diseases) + d.seconds / len(models) + share
+            own.append((d.name, name, float(cv.mean()), float(cv.std()), ev["accuracy"], ev["precision"], ev["recall"], ev["f1"], ev["roc_auc"],
+                        ev["pr_auc"], spent, MODEL_NAMES.index(name)))
+        rows += own
+        best = min(own, key=lambda r: (-r[7], r[11]))
+        n_test = by_part[d.name, best[1], ALL]["n"] if (d.name, best[1], ALL) in by_part else 0
+        counts = {"n_train": d.frames[None].n_neg + d.frames[None].n_pos, "n_test": int(n_test)}
+        ev = dict(zip(("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"), best[4:10]))
+        winners[d.name] = Fitted(d.name, best[1], d.pre[None], fits[d.name, best[1], None], {**ev, **counts})
     res = spark.createDataFrame(rows, RESULT_SCHEMA)
-    best = sorted(rows, key=lambda r: (-r[7], r[11]))[0]
-    winner = fitted[best[1]]
     if out_dir:
-        background = split.fixed_sample(train.drop("fold"), BACKGROUND_ROWS, list(ID_COLS))
-        save_artifacts(winner, res, out_dir, background)
-    return res, winner
+        def save(d):
+            background = split.fixed_sample(d.rows.where("fold IS NOT NULL").drop("fold"), BACKGROUND_ROWS, list(ID_COLS))
+            save_artifacts(winners[d.name], res.where(F.col("disease") == d.name), out_dir, background)
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            list(pool.map(save, diseases))
+    return res, winners
+
+
+def train_disease(panel: DataFrame, disease: str, models=tuple(MODEL_NAMES), max_train_rows: int | None = None,
+                  cv_folds: int = CV_FOLDS, out_dir: str | None = None, parallelism: int = 4):
+    """Returns (metrics DataFrame, winner ``Fitted``)."""
+    res, winners = train_many({disease: panel}, models, max_train_rows, cv_folds, out_dir, parallelism)
+    return res, winners[disease]
 
 
 RESULT_SCHEMA = T.StructType([
@@ -255,48 +286,84 @@ def select_best(results: DataFrame) -> DataFrame:
     return results.join(best.select("disease", F.col("b.model_name").alias("model_name")), ["disease", "model_name"])
 
 
+# ---------------------------------------------------------------- artifacts
+#: attribution background: training rows in hash order
+BACKGROUND_ROWS = 100
+#: the disease whose artifacts also lie in the root folder
+ROOT_DISEASE = "diabetes"
+_POINTER = "current"
+
+
+def _versioned(folder: str) -> str:
+    return f"{folder}/versions/{uuid.uuid4().hex}"
+
+
+def _publish(spark: SparkSession, folder: str, version: str) -> None:
+    """Point readers of ``folder`` to a finished version: a new numbered one-row table, complete before it is seen."""
+    from ..sources.files import list_names
+    numbers = [int(n) for n in list_names(spark, f"{folder}/{_POINTER}") if n.isdigit()]
+    spark.createDataFrame([(os.path.basename(version),)], "version string").coalesce(1).write.mode("errorifexists").text(
+        f"{folder}/{_POINTER}/{max(numbers, default=0) + 1:08d}")
+
+
+def current_version(spark: SparkSession, folder: str) -> str | None:
+    """The folder of the newest finished version, or ``None``."""
+    from ..sources.files import _exists, list_names
+    for n in sorted((n for n in list_names(spark, f"{folder}/{_POINTER}") if n.isdigit()), reverse=True):
+        if _exists(spark, f"{folder}/{_POINTER}/{n}/_SUCCESS"):
+            return f"{folder}/versions/{spark.read.text(f'{folder}/{_POINTER}/{n}').first()['value']}"
+    return None
+
+
 def save_artifacts(fitted: Fitted, results: DataFrame | None, out_dir: str, background: DataFrame | None = None) -> str:
-    """Model (MLlib format), preprocessor parameters, feature names, train/test row counts, the comparison table
-    (when there is one) and the background rows for attribution. The metadata comes last: a folder without it is
-    unfinished and is not loaded."""
-    d = os.path.join(out_dir, fitted.disease)
+    """Model, preprocessor parameters, feature names, train/test row counts, the comparison table (when there is one)
+    and the background rows for attribution, all in a new version folder. The pointer to it comes last: until then, and
+    if a writer stops midway, readers keep the version before. Diabetes is published in the root folder too."""
     spark = SparkSession.active()
-    fitted.model.write().overwrite().save(os.path.join(d, "best_model"))
+    folder = os.path.join(out_dir, fitted.disease)
+    version = _versioned(folder)
     if results is not None:
-        results.write.mode("overwrite").parquet(os.path.join(d, "model_comparison_results"))
+        results.write.parquet(f"{version}/model_comparison_results")
     if background is not None:
-        background.write.mode("overwrite").parquet(os.path.join(d, "background"))
+        background.write.parquet(f"{version}/background")
     pre = fitted.preprocessor
-    meta = {"disease_key": fitted.disease, "best_model_name": fitted.name, "model_class": type(fitted.model).__name__,
+    model = {"forest": fitted.model.to_json()} if fitted.is_tree else asdict(fitted.model)
+    meta = {"disease_key": fitted.disease, "best_model_name": fitted.name, "model_class": type(fitted.model).__name__, "model": model,
             "numeric": pre.numeric, "categorical": pre.categorical, "medians": pre.medians, "means": pre.means,
             "scales": pre.scales, "modes": pre.modes, "categories": pre.categories,
             "feature_names": pre.feature_names(), **{f"test_{k}": v for k, v in fitted.metrics.items()}}
-    meta_df = spark.createDataFrame([(json.dumps(meta),)], "meta string")
-    meta_df.coalesce(1).write.mode("overwrite").text(os.path.join(d, "metadata"))
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.text(f"{version}/metadata")
+    _publish(spark, folder, version)
+    if fitted.disease == ROOT_DISEASE:
+        spark.createDataFrame([(f"{fitted.disease}/versions/{os.path.basename(version)}",)], "version string").coalesce(1).write.mode(
+            "overwrite").text(os.path.join(out_dir, "root_model"))
     # one row per saved winner in a registry table, a partition per disease (so savers do not meet)
     reg_row = spark.createDataFrame(
-        [(fitted.name, type(fitted.model).__name__, d, *[fitted.metrics.get(k) for k in ("accuracy", "f1", "roc_auc", "pr_auc")])],
+        [(fitted.name, type(fitted.model).__name__, version, *[fitted.metrics.get(k) for k in ("accuracy", "f1", "roc_auc", "pr_auc")])],
         "best_model_name string, model_class string, path string, test_accuracy double, "
         "test_f1 double, test_roc_auc double, test_pr_auc double")
     reg_row.withColumn("saved_at", F.current_timestamp()).coalesce(1).write.mode("overwrite") \
         .parquet(os.path.join(out_dir, "model_registry", f"disease_key={fitted.disease}"))
-    return d
+    return version
 
 
-#: attribution background: training rows in hash order
-BACKGROUND_ROWS = 100
+def _artifact_folder(spark: SparkSession, out_dir: str, disease: str) -> str | None:
+    """The current version of a disease's artifacts; diabetes falls back to the root model. ``None`` where there is none."""
+    from ..sources.files import _exists
+    found = current_version(spark, os.path.join(out_dir, disease))
+    root = os.path.join(out_dir, "root_model")
+    if found is None and disease == ROOT_DISEASE and _exists(spark, f"{root}/_SUCCESS"):
+        found = os.path.join(out_dir, spark.read.text(root).first()["value"])
+    return found
 
 
 def load_artifacts(spark: SparkSession, out_dir: str, disease: str) -> Fitted | None:
     """The saved winner, or ``None`` when the disease has no artifacts (it is then skipped)."""
-    from pyspark.ml import classification as C
-    from ..sources.files import _exists
-    d = os.path.join(out_dir, disease)
-    meta_path = os.path.join(d, "metadata")
-    if not _exists(spark, os.path.join(meta_path, "_SUCCESS")):
+    d = _artifact_folder(spark, out_dir, disease)
+    if d is None:
         return None
-    meta = json.loads(spark.read.text(meta_path).first()["value"])
-    model = getattr(C, meta["model_class"]).load(os.path.join(d, "best_model"))
+    meta = json.loads(spark.read.text(f"{d}/metadata").first()["value"])
+    model = Forest.from_json(meta["model"]["forest"]) if meta["model_class"] == "Forest" else Logistic(**meta["model"])
     pre = prep.PreprocessorModel(meta["numeric"], meta["categorical"], meta["medians"], meta["means"],
                                  meta["scales"], meta["modes"], meta["categories"])
     return Fitted(disease, meta["best_model_name"], pre, model,
@@ -306,13 +373,13 @@ def load_artifacts(spark: SparkSession, out_dir: str, disease: str) -> Fitted |
 def load_background(spark: SparkSession, out_dir: str, disease: str) -> DataFrame | None:
     """The saved background rows of a disease (engineered training rows), or ``None``."""
     from ..sources.files import _exists
-    path = os.path.join(out_dir, disease, "background")
-    return spark.read.parquet(path) if _exists(spark, path) else None
+    d = _artifact_folder(spark, out_dir, disease)
+    return spark.read.parquet(f"{d}/background") if d and _exists(spark, f"{d}/background/_SUCCESS") else None
 
 
 def load_comparison(spark: SparkSession, out_dir: str, disease: str) -> DataFrame:
     """The saved comparison table of a disease's models."""
-    return spark.read.parquet(os.path.join(out_dir, disease, "model_comparison_results"))
+    return spark.read.parquet(f"{_artifact_folder(spark, out_dir, disease)}/model_comparison_results")
 
 
 def save_summary(summary: DataFrame, path: str) -> None:
@@ -326,21 +393,14 @@ def load_summary(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if _exists(spark, path) else None
 
 
-def train_all(spark: SparkSession, sf_dir: str, diseases=None, out_dir: str | None = None, at_once: int = 4, **kw) -> DataFrame:
-    """Train every disease, ``at_once`` of them at a time; one winner per disease, in training order (driver
-    rows: one per disease)."""
+def train_all(spark: SparkSession, sf_dir: str, diseases=None, out_dir: str | None = None, **kw) -> DataFrame:
+    """Train every disease, all together; one winner per disease, in training order."""
     from ..config import TRAINING_ORDER
     from ..sources.panels import load_panel
-    from concurrent.futures import ThreadPoolExecutor
-
-    def one(d):
-        res, _ = train_disease(load_panel(spark, sf_dir, d), d, out_dir=out_dir, **kw)
-        return select_best(res).collect()
-    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
-        rows = [r for got in pool.map(one, diseases or TRAINING_ORDER) for r in got]
-    order = ["disease", "model_name", *[f.name for f in RESULT_SCHEMA.fields[2:]]]
-    schema = T.StructType([RESULT_SCHEMA[n] for n in order])
-    return spark.createDataFrame(rows, schema).select(*RESULT_SCHEMA.names)
+    diseases = list(diseases or TRAINING_ORDER)
+    res, _ = train_many({d: load_panel(spark, sf_dir, d) for d in diseases}, out_dir=out_dir, **kw)
+    place = F.element_at(F.create_map(*[F.lit(x) for i, d in enumerate(diseases) for x in (d, i)]), F.col("disease"))
+    return select_best(res).orderBy(place).select(*RESULT_SCHEMA.names)
 
 
 def benchmark_rollup(summary: DataFrame) -> DataFrame:

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import rules
+from ..functions.recipes import engineer_features
 from ..operators import attribution, enlarge as enl, split, triage
 from ..plans import eda, report, train
 from ..session import ensure_checkpoint_dir
 from ..sources import files, registry
-from ..sources.panels import PANELS, load_intake, load_panel, panel_sql
+from ..sources.panels import load_intake, load_panel, panel_sql
 from .scoring import _round_doubles
 from .sqlutil import panel_cte
 
@@ -47,21 +48,32 @@ def _train(spark, sf, disease="fever"):
     """The saved comparison and winner of ``disease``, trained and saved first where there is none (read-or-build)."""
     out = _artifacts(spark, sf, "compared")
     if train.load_artifacts(spark, out, disease) is None:
-        train.train_disease(load_panel(spark, sf, disease), disease, out_dir=out)
+        train.train_disease(load_panel(spark, sf, disease), disease, out_dir=out, max_train_rows=COMPARE_TRAIN_ROWS)
     return train.load_comparison(spark, out, disease), train.load_artifacts(spark, out, disease)
 
 
-# Training rows per disease in the 20-disease summary: a documented bound on the rows a classifier is fitted on.
+# Training rows a classifier is fitted on: the reference's bound where one disease is compared, and a documented lower
+# one where the four models of all 20 diseases are.
+COMPARE_TRAIN_ROWS = 20_000
 SUMMARY_TRAIN_ROWS = 2000
 
 
+def _winners(spark, sf):
+    """The saved winners of all 20 diseases (four models each), trained together and saved where there are none."""
+    return report.saved_winners(spark, sf, _artifacts(spark, sf, "all"), max_train_rows=SUMMARY_TRAIN_ROWS)
+
+
 def _summary(spark, sf):
-    """One winner per disease, read from the saved summary or trained, saved and read."""
+    """The winner's row per disease, read from the saved summary or made of the saved comparisons."""
     out = _artifacts(spark, sf, "all")
     path = f"{out}/benchmark_summary"
     if train.load_summary(spark, path) is None:
-        train.save_summary(train.train_all(spark, sf, out_dir=out, models=[report.FULL_PANEL_MODEL],
-                                           max_train_rows=SUMMARY_TRAIN_ROWS, parallelism=2), path)
+        _winners(spark, sf)
+        rows = None
+        for d in config.TRAINING_ORDER:
+            part = train.load_comparison(spark, out, d)
+            rows = part if rows is None else rows.unionByName(part)
+        train.save_summary(train.select_best(rows), path)
     return train.load_summary(spark, path)
 
 
@@ -79,7 +91,7 @@ def best_model_q(spark, sf):
 
 @reg("train_all_summary")
 def train_all_summary_q(spark, sf):
-    """X15 + S10: all 20 diseases trained (balanced logistic regression), saved and summarised, one row each."""
+    """X15 + S10: four models of all 20 diseases trained and compared, the winners saved and summarised, one row each."""
     return _summary(spark, sf)
 
 
@@ -101,41 +113,40 @@ def saved_model_score_q(spark, sf):
     return _train(spark, sf)[1].score(load_panel(spark, sf, "fever"))
 
 
-def _models(spark, sf):
-    return report.fit_panel_models(spark, sf, report.model_diseases(), artifacts=_artifacts(spark, sf, "panel"))
-
-
-def _all_diseases(fitted):
-    return [*config.RULE_DISEASES, *fitted]
-
-
 @reg("bulk_score")
 def bulk_score_q(spark, sf):
-    """X16 + J2 + J3: every intake-B patient scored against all 20 diseases (rules + trained models)."""
-    fitted = _models(spark, sf)
+    """X16 + J2 + J3: every intake-B patient scored against all 20 diseases by the saved winners, in one projection."""
+    fitted = _winners(spark, sf)
     wide = report.score_wide(load_intake(spark, sf, "b"), "b", fitted)
-    return triage.long_scores(wide, _all_diseases(fitted), config.disease_dim(spark))
+    return triage.long_scores(wide, list(fitted), config.disease_dim(spark))
 
 
 @reg("full_scan_scorecard")
 def full_scan_scorecard_q(spark, sf):
-    """Scorecard over all 20 diseases per intake-B patient."""
-    fitted = _models(spark, sf)
-    return triage.scorecard(report.score_wide(load_intake(spark, sf, "b"), "b", fitted), _all_diseases(fitted))
+    """Scorecard over the saved winners of all 20 diseases per intake-B patient."""
+    fitted = _winners(spark, sf)
+    return triage.scorecard(report.score_wide(load_intake(spark, sf, "b"), "b", fitted), list(fitted))
 
 
 @reg("full_critical_alerts")
 def full_critical_alerts_q(spark, sf):
-    """A19 with every CRITICAL disease (stroke and sepsis by model, hypertensive crisis by rule)."""
-    fitted = _models(spark, sf)
-    return triage.critical_alerts(report.score_wide(load_intake(spark, sf, "b"), "b", fitted), _all_diseases(fitted))
+    """A19 with every CRITICAL disease, by the saved winners."""
+    fitted = _winners(spark, sf)
+    return triage.critical_alerts(report.score_wide(load_intake(spark, sf, "b"), "b", fitted), list(fitted))
 
 
 @reg("full_triage_report")
 def full_triage_report_q(spark, sf):
-    """X17 over all 20 diseases for every interview (intake A)."""
-    fitted = _models(spark, sf)
-    return triage.triage_report(report.score_wide(load_intake(spark, sf, "a"), "a", fitted), _all_diseases(fitted))
+    """X17 over the saved winners of all 20 diseases for every interview (intake A)."""
+    fitted = _winners(spark, sf)
+    return triage.triage_report(report.score_wide(load_intake(spark, sf, "a"), "a", fitted), list(fitted))
+
+
+@reg("top_condition_attribution")
+def top_condition_attribution_q(spark, sf):
+    """X17 + X19, X20: what speaks for each interviewed patient's own top condition, by that disease's saved winner."""
+    fitted = _winners(spark, sf)
+    return report.explain_top_condition(spark, load_intake(spark, sf, "a"), "a", fitted, _artifacts(spark, sf, "all"))
 
 
 # ---- X19-X21 on the fever rule (a logistic model with known coefficients) -------------------------------
@@ -323,33 +334,24 @@ def eda_cleaned_q(spark, sf):
     return _round_doubles(eda.clean_table(load_panel(spark, sf, "pima")))
 
 
+def _one_model(spark, sf, disease, model):
+    """A saved model of one kind, and its saved background of training rows."""
+    out = _artifacts(spark, sf, f"one-{model}")
+    fit = report.saved_winners(spark, sf, out, [disease], models=[model], max_train_rows=COMPARE_TRAIN_ROWS, cv_folds=2)[disease]
+    return fit, train.load_background(spark, out, disease)
+
+
 @reg("linear_attribution")
 def linear_attribution_q(spark, sf):
-    """X20 for a trained logistic regression (kidney): ``coef_j · (x_j − mean_bg(x_j))`` over the
-    preprocessed features, background = the first 100 panel rows in hash order."""
-    from ..functions.recipes import engineer_features
-    fit = report.fit_panel_models(spark, sf, ["kidney"], artifacts=_artifacts(spark, sf, "panel"))["kidney"]
-    eng = engineer_features(load_panel(spark, sf, "kidney"), "kidney")
-    coefs = fit.model.coefficients.toArray()
-    terms = {name: (float(c), expr) for (name, expr), c in zip(fit.preprocessor.feature_exprs(), coefs)}
-    bg = split.fixed_sample(eng, 100, ["patient_id"])
-    return attribution.linear_attribution(eng, terms, bg)
+    """X20 for a trained logistic regression (kidney): Shapley values of P(kidney) for every patient, the absent features
+    taken from 100 training rows."""
+    fit, background = _one_model(spark, sf, "kidney", train.LOGISTIC)
+    return report.explain(engineer_features(load_panel(spark, sf, "kidney"), "kidney"), fit, background)
 
 
 @reg("tree_shapley")
 def tree_shapley_q(spark, sf):
-    """X19 for a tree ensemble: sampled Shapley values of a balanced random forest's P(gastro) for
-    every patient, the forest scored in bulk by MLlib on the exploded coalitions."""
-    from pyspark.ml.functions import vector_to_array
-    from ..functions.recipes import engineer_features
-    fit = report.fit_panel_models(spark, sf, ["gastro"], model_name="Random Forest (Balanced)")["gastro"]
-    panel = load_panel(spark, sf, "gastro")
-    feats = [c for c, _ in PANELS["gastro"]]
-    bg = [[r[c] for c in feats] for r in split.fixed_sample(panel.na.drop(subset=feats), 8, ["patient_id"])
-          .select(*feats).collect()]
-
-    def scorer(d):
-        eng = engineer_features(d, "gastro")
-        vec = train.assemble(fit.preprocessor.transform(eng, keep=["patient_id", "_m", "_k"]), fit.feature_names())
-        return fit.model.transform(vec).withColumn("_v", vector_to_array("probability")[1])
-    return attribution.sampled_shapley(panel, feats, scorer, bg, n_perm=8)
+    """X19 for a tree ensemble: exact Shapley values of a balanced random forest's P(gastro) for every patient, the absent
+    features taken from 100 training rows."""
+    fit, background = _one_model(spark, sf, "gastro", train.FOREST)
+    return report.explain(engineer_features(load_panel(spark, sf, "gastro"), "gastro"), fit, background)

@@ -73,9 +73,9 @@ def is_one_machine(master: str) -> bool:
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per context; on one machine they have it already."""
+    """Give the tasks' Python this package, once per context, however the driver found it."""
     sc = spark.sparkContext
-    if is_one_machine(sc.master) or getattr(sc, "_riskloom_shipped", False):
+    if getattr(sc, "_riskloom_shipped", False):
         return
     package = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(package)

@@ -41,6 +41,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def list_names(spark: SparkSession, path: str) -> list:
+    """Names of the entries of a folder; none if it does not exist."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def materialize(spark: SparkSession, path: str, builder: Callable[[], DataFrame]) -> DataFrame:
     """Read the Parquet table at ``path`` if a finished write left its success marker there, else
     build it, write it and read it back. A folder without the marker is an unfinished write: it is
