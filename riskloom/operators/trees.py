@@ -6,8 +6,10 @@ right), per leaf a value, and the root of each tree. Its score is the sum of
 the leaves that a row reaches; ``link`` says how it becomes a probability.
 
 * ``score``: a column expression. The node arrays are literals that Spark folds
-  once; a higher-order function walks each tree inside the row, so any number
-  of forests is one projection, without vectors or a model's ``transform``.
+  once; a higher-order function walks each tree inside the row, without vectors
+  or a model's ``transform``. A step costs a few interpreted array lookups.
+* ``with_scores``: the scores of several forests for whole Arrow batches, one step of
+  a tree for all rows at once; for forests of hundreds of steps.
 * ``tree_shapley``: exact Shapley values of the score for every row, the absent
   features taken from each of a fixed set of background rows. A leaf is a set of
   intervals, one per feature on its path. A row and a background row either
@@ -79,22 +81,37 @@ class Forest:
 
     def probability(self, x: str) -> Column:
         s = self.score(x)
-        return s if self.link == "identity" else F.lit(1.0) / (F.lit(1.0) + F.exp(-s))
+        # a mean of shares may pass 1 by a rounding
+        return F.least(s, F.lit(1.0)) if self.link == "identity" else F.lit(1.0) / (F.lit(1.0) + F.exp(-s))
+
+    def steps(self) -> int:
+        """Comparisons per row."""
+        return len(self.roots) * self.depth
 
     def margins(self, x: np.ndarray) -> np.ndarray:
         """``score`` of the rows of a matrix (for tasks and tests)."""
-        feature, threshold = np.array(self.feature), np.array(self.threshold, float)
-        left, right, value = np.array(self.left), np.array(self.right), np.array(self.value, float)
-        out = np.full(len(x), float(self.base))
+        nodes = np.arange(len(self.feature))
+        feature = np.array(self.feature, np.int64)
+        leaf = feature < 0
+        # a leaf is its own child on both sides
+        child = np.stack([np.where(leaf, nodes, np.array(self.right, np.int64)), np.where(leaf, nodes, np.array(self.left, np.int64))], axis=1).ravel()
+        feature, threshold, value = np.where(leaf, 0, feature), np.array(self.threshold, float), np.array(self.value, float)
+        out, rows = np.full(len(x), float(self.base)), np.arange(len(x)) * x.shape[1] if x.ndim == 2 else np.arange(len(x))
+        flat = np.ascontiguousarray(x).ravel()
         for root in self.roots:
             at = np.full(len(x), root)
             for _ in range(self.depth):
-                inner = feature[at] >= 0
-                go = x[np.arange(len(x)), np.maximum(feature[at], 0)] <= threshold[at]
-                at = np.where(inner, np.where(go, left[at], right[at]), at)
+                below = child[2 * at + (flat[rows + feature[at]] <= threshold[at])] if len(flat) else at
+                if np.array_equal(below, at):
+                    break
+                at = below
             out += value[at]
         return out
 
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        s = self.margins(x)
+        return np.minimum(s, 1.0) if self.link == "identity" else 1.0 / (1.0 + np.exp(-np.clip(s, -700, 700)))
+
     # ------------------------------------------------------------ paths
     def leaves(self) -> Iterator[tuple]:
         """(value, features, lower bounds, upper bounds) of each leaf: ``not x <= low and x <= high``, None: no bound."""
@@ -113,6 +130,24 @@ class Forest:
             stack.append((self.right[n], {**path, f: (t if low is None else max(t, low), high)}))
 
 
+def with_scores(df: DataFrame, keep: Sequence[str], forests: dict) -> DataFrame:
+    """Columns ``keep`` and, per entry of ``forests`` {name: (array column, forest)}, the probability under that name."""
+    ship_code(df.sparkSession)
+    rows = df.select(*keep, *[F.col(x).cast("array<double>").alias(f"_x{i}") for i, (x, _) in enumerate(forests.values())])
+    schema = T.StructType([*rows.select(*keep).schema.fields, *[T.StructField(name, T.DoubleType()) for name in forests]])
+    models = [forest for _, forest in forests.values()]
+
+    def run(batches):
+        for batch in batches:
+            scores = []
+            for i, forest in enumerate(models):
+                column = batch.column(f"_x{i}")
+                width = int(column.offsets[1].as_py()) if len(column) else 0
+                scores.append(pa.array(forest.probabilities(matrix_of(column, width))))
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], *scores], names=[*keep, *forests])
+    return rows.mapInArrow(run, schema)
+
+
 def _depth(forest: Forest) -> int:
     deepest, stack = 0, [(r, 0) for r in forest.roots]
     while stack:

@@ -4,9 +4,10 @@ Every patient's 20 scores are computed inside one row: the intake columns
 are renamed out of the way (Spark resolves names case-insensitively, and
 ``age`` would clash with a panel's ``Age``), then for each disease the panel
 columns, recipe columns and the model's inputs are added, the winner's
-probability becomes one expression (a closed form, or trees walked over node
-arrays), and the intermediates are dropped. The whole thing is a chain of
-narrow projections over the intake scan: no join, no shuffle, no vectors.
+probability becomes one expression (a closed form, or a few trees walked over
+node arrays), and the intermediates are dropped. Forests of many steps score
+whole Arrow batches, all of them in one pass. The whole thing is a chain of
+narrow steps over the intake scan: no join, no shuffle, no vectors.
 """
 
 from __future__ import annotations
@@ -19,11 +20,13 @@ from ..functions import rules
 from ..functions.intake import interview_flags, projection
 from ..functions.recipes import recipe_columns
 from ..operators import attribution, triage
-from ..operators.trees import tree_shapley
+from ..operators.trees import tree_shapley, with_scores
 from ..sources.panels import load_panel
 from .train import load_artifacts, load_background, train_many
 
 P = "i__"
+#: tree steps per row that a forest may take as an expression; larger ones score whole Arrow batches, which is cheaper
+MAX_ROW_STEPS = 64
 
 
 def saved_winners(spark: SparkSession, sf: str, out_dir: str, diseases=tuple(config.TRAINING_ORDER), **kw) -> dict:
@@ -53,13 +56,20 @@ def _engineered(df: DataFrame, kind: str, disease: str) -> tuple:
 def score_wide(intake: DataFrame, kind: str, fitted: dict, rule_diseases=tuple(config.RULE_DISEASES)) -> DataFrame:
     """``patient_id`` + ``p_<disease>`` for every rule disease and every fitted model, in one row."""
     rule_diseases = [d for d in rule_diseases if d not in fitted]
-    df = _renamed(intake, kind)
+    order = [f"p_{d}" for d in [*rule_diseases, *fitted]]
+    df, batched = _renamed(intake, kind), {}
     for d in rule_diseases:
         df = df.withColumn(f"p_{d}", rules.rule_risk(d, dict(projection(kind, d, P))))
     for d, fit in fitted.items():
         df, added = _engineered(df, kind, d)
-        df = fit.with_probability(df, f"p_{d}").drop(*added)
-    return df.select("patient_id", *[f"p_{d}" for d in [*rule_diseases, *fitted]])
+        if fit.is_tree and fit.model.steps() > MAX_ROW_STEPS:
+            df = df.withColumn(f"x_{d}", F.array(*fit.features())).drop(*added)
+            batched[f"p_{d}"] = f"x_{d}", fit.model
+        else:
+            df = fit.with_probability(df, f"p_{d}").drop(*added)
+    if batched:
+        df = with_scores(df, ["patient_id", *[p for p in order if p not in batched]], batched)
+    return df.select("patient_id", *order)
 
 
 def explain(eng: DataFrame, fit, background: DataFrame, keep=("patient_id",)) -> DataFrame:

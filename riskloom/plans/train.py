@@ -8,9 +8,9 @@ order) → artifacts.
 
 All diseases given are trained together: their rows form one training table
 (``operators.fitting``), and one job serves a step of every fit, be it a Newton
-step of the logistic regressions or a tree level of the boosted models, of all
-diseases and folds. Only the random forests are MLlib fits of their own. All
-models are judged in one frame.
+step of the logistic regressions, a tree level of the boosted models or all
+trees of the random forests, of all diseases and folds. All models are judged
+in one frame.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from ..functions.recipes import engineer_features
 from ..operators import boosting, metrics, prep, split
 from ..operators.clean import split_by_dtype, split_features_target
 from ..operators.fitting import ALL, Frame, frame_of, group_parts, quick_session, x_column
+from ..operators.forests import MAX_CELLS, cells, forest_fits
 from ..operators.newton import Logistic, logistic_fits
 from ..operators.trees import Forest, from_mllib
 from ..session import ensure_checkpoint_dir, ship_code, shuffle_partitions
@@ -167,7 +168,11 @@ def _fit_all(table: DataFrame, parts: int, diseases: list, models, scratch: str,
         t0 = time.time()
         fits.update({(disease, LOGISTIC, f): m for (disease, f), m in zip(keys, logistic_fits(table, frames, partitions=parts))})
         seconds[LOGISTIC] = time.time() - t0
-    if FOREST in models:
+    if FOREST in models and cells(frames) <= MAX_CELLS:
+        t0 = time.time()
+        fits.update({(disease, FOREST, f): m for (disease, f), m in zip(keys, forest_fits(table, frames))})
+        seconds[FOREST] = time.time() - t0
+    elif FOREST in models:  # too large a table to send to every task: MLlib grows it level by level
         t0 = time.time()
         tasks = [(d, f) for d in diseases for f in d.frames]
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -205,16 +210,12 @@ def _scored(table: DataFrame, fits: dict, frames: dict) -> DataFrame:
 def probabilities(model, frame: Frame, x: np.ndarray) -> np.ndarray:
     """P(1) of raw feature rows (for tasks)."""
     if isinstance(model, Logistic):
-        s = model.margins((frame.filled(x) - frame.mean) / frame.scale)
-    else:
-        s = model.margins(frame.filled(x))
-        if model.link == "identity":
-            return s
-    return 1.0 / (1.0 + np.exp(-np.clip(s, -700, 700)))
+        return 1.0 / (1.0 + np.exp(-np.clip(model.margins((frame.filled(x) - frame.mean) / frame.scale), -700, 700)))
+    return model.probabilities(frame.filled(x))
 
 
 def train_many(panels: dict, models=tuple(MODEL_NAMES), max_train_rows: int | None = None, cv_folds: int = CV_FOLDS,
-               out_dir: str | None = None, parallelism: int = 4) -> tuple:
+               out_dir: str | None = None, parallelism: int = 8) -> tuple:
     """X14, X15 for several diseases at once ({disease: panel}): (metrics DataFrame, {disease: winner}).
 
     ``parallelism``: driver threads that submit the preparation of panels and the random forests' jobs."""
@@ -263,7 +264,7 @@ def train_many(panels: dict, models=tuple(MODEL_NAMES), max_train_rows: int | No
 
 
 def train_disease(panel: DataFrame, disease: str, models=tuple(MODEL_NAMES), max_train_rows: int | None = None,
-                  cv_folds: int = CV_FOLDS, out_dir: str | None = None, parallelism: int = 4):
+                  cv_folds: int = CV_FOLDS, out_dir: str | None = None, parallelism: int = 8):
     """Returns (metrics DataFrame, winner ``Fitted``)."""
     res, winners = train_many({disease: panel}, models, max_train_rows, cv_folds, out_dir, parallelism)
     return res, winners[disease]

@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from riskloom.operators import attribution, boosting, fitting, newton, trees
+from riskloom.operators import attribution, boosting, fitting, forests, newton, trees
 from riskloom.operators.fitting import ALL, Frame
 
 GROUPS = {"a": 3, "b": 5}
@@ -134,6 +134,38 @@ def test_boosting_learns(data, table, frames):
     assert auc > 0.75
 
 
+def test_forest_trees_split_where_impurity_falls_most():
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 6, (200, 2)).astype(float)
+    y, w = (x[:, 0] > 2).astype(float), rng.integers(0, 3, 200).astype(float)
+    edges = [np.arange(6.0), np.arange(6.0)]
+    feature, threshold, left, right, value = forests.grow_tree(boosting._binned(x, edges), edges, y, w, rng, 3, 2)
+    assert (feature[0], threshold[0]) == (0, 2.0) and len(feature) == 3
+    assert (value[left[0]], value[right[0]]) == (0.0, 1.0)
+
+
+def test_forests_learn_and_repeat(data, table, frames):
+    got, again = forests.forest_fits(table, frames, trees=25), forests.forest_fits(table.repartition(5), frames, trees=25)
+    assert got == again
+    aucs = []
+    for frame, forest in zip(frames, got):
+        assert len(forest.roots) == 25 and forest.link == "identity" and forest.depth <= 10
+        held = [r for r in data if r[0] == frame.group and (r[3] if r[3] is not None else ALL) == frame.without]
+        p = forest.probabilities(frame.filled(np.array([r[4] for r in held])))
+        y = np.array([r[2] for r in held])
+        assert p.min() >= 0 and p.max() <= 1
+        aucs.append((p[y == 1][:, None] > p[y == 0][None]).mean())
+    assert min(aucs) > 0.6 and np.mean(aucs) > 0.68, aucs
+    one = Frame("a", ALL, np.zeros(3), np.zeros(3), np.ones(3), 9, 0)
+    assert forests.forest_fits(table, [one])[0].margins(np.zeros((1, 3))).tolist() == [0.0]
+
+
+def test_a_table_too_large_to_send_is_refused(table, frames, monkeypatch):
+    monkeypatch.setattr(forests, "MAX_CELLS", 100)
+    with pytest.raises(ValueError):
+        forests.forest_fits(table, frames)
+
+
 def test_training_table_columns(spark):
     df = spark.createDataFrame([(1, 2.0, "u"), (2, None, "v"), (3, 1.0, None), (4, float("nan"), "new")], "id long, n double, c string")
     rows = {r.id: r.x for r in df.select("id", fitting.x_column(["n"], {"c": ["u", "v"]}).alias("x")).collect()}

@@ -90,7 +90,7 @@ def test_scores_are_those_that_were_judged(spark, sf, trained):
     assert max(abs(scores[r.patient_id] - q) for r, q in zip(x, p)) < 1e-9
 
 
-def test_all_twenty_winners_trained_together_score_in_one_row(spark, sf, tmp_path):
+def test_all_twenty_winners_trained_together_score_in_one_row(spark, sf, tmp_path, monkeypatch):
     names = ["XGBoost (Balanced)", "Logistic Regression (Balanced)"]
     monkey = dataclasses.replace(boosting.XGBOOST, trees=3, depth=2)
     before, boosting.XGBOOST = boosting.XGBOOST, monkey
@@ -103,7 +103,13 @@ def test_all_twenty_winners_trained_together_score_in_one_row(spark, sf, tmp_pat
     assert len([c for c in wide.columns if c.startswith("p_")]) == 20
     assert wide.where(" OR ".join(f"p_{d} IS NULL OR p_{d} < 0 OR p_{d} > 1" for d in fitted)).count() == 0
     plan = wide._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Python" not in plan
+    assert "Exchange" not in plan
+    monkeypatch.setattr(report, "MAX_ROW_STEPS", 10_000)
+    rows = report.score_wide(load_intake(spark, sf, "b"), "b", fitted)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString() and "InArrow" not in rows._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(report, "MAX_ROW_STEPS", 0)
+    a, b = ({r.patient_id: r for r in x.collect()} for x in (rows, report.score_wide(load_intake(spark, sf, "b"), "b", fitted)))
+    assert a.keys() == b.keys() and all(abs(a[i][f"p_{d}"] - b[i][f"p_{d}"]) < 1e-12 for i in a for d in fitted)
     top = report.explain_top_condition(spark, load_intake(spark, sf, "a").limit(50), "a", fitted, str(tmp_path))
     rows = top.collect()
     assert len({r.patient_id for r in rows}) == 50
