@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fitting import Frame, group_parts, sums
+from .fitting import Frame, Layout, group_parts, sums
 from .trees import Forest
 
 BINS = 64
@@ -142,8 +142,8 @@ def _matrices(batch, fits_of: dict):
 class Boosted:
     """The fits that grow in lockstep."""
 
-    def __init__(self, rows: DataFrame, frames: list, models: list, partitions: int | None = None):
-        self.partitions = partitions
+    def __init__(self, rows: DataFrame, frames: list, models: list, layout: Layout = Layout()):
+        self.layout = layout
         edges = bin_edges(rows, frames)
         places: dict = {}
         self.fits = []
@@ -215,7 +215,7 @@ class Boosted:
 
         def finish(i, v):
             return best_splits(v.reshape(3, nodes, -1, BINS), models[i])
-        for i, found in sums(self.state, part, finish, self.partitions).items():
+        for i, found in sums(self.state, part, finish, self.layout).items():
             _grow(self.fits[i], depth, found.reshape(nodes, 9))
 
     def _refresh(self) -> None:
@@ -320,11 +320,9 @@ def _forest(fit: _Fit) -> Forest:
     return Forest(feature, threshold, left, right, value, roots, base, "logistic")
 
 
-def boosted_fits(rows: DataFrame, frames: list, models: list, partitions: int | None = None) -> list:
-    """For each frame a list of forests, one per model; the scores are log-odds of filled features.
-
-    ``partitions``: how many ``rows`` has, where that is known."""
+def boosted_fits(rows: DataFrame, frames: list, models: list, layout: Layout = Layout()) -> list:
+    """For each frame a list of forests, one per model; the scores are log-odds of filled features."""
     if not frames or not models:
         return [[] for _ in frames]
-    grown = Boosted(rows, frames, models, partitions).grow()
+    grown = Boosted(rows, frames, models, layout).grow()
     return [grown[i * len(models):(i + 1) * len(models)] for i in range(len(frames))]

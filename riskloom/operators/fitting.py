@@ -10,8 +10,9 @@ materialised: a row serves every frame of its group in the one pass.
 
 ``sums`` is that pass. Each task adds up a vector per fit over its rows, the
 vectors of a fit meet in one small task each, and only what ``finish`` makes of
-a sum (a fixed size) reaches the driver. A step over 80 fits is one job. Tables
-of a few partitions skip the second task: the driver adds their few vectors.
+a sum (a fixed size) reaches the driver. A step over 80 fits is one job. Where a
+group lies in one partition its task finishes alone, and a table of a few
+partitions leaves their few vectors to the driver (``Layout``).
 """
 
 from __future__ import annotations
@@ -114,10 +115,15 @@ def quick_session(spark: SparkSession) -> SparkSession:
     return out
 
 
-def sums(rows: DataFrame, part: Callable, finish: Callable | None = None, partitions: int | None = None) -> dict:
-    """{fit: finish(fit, sum of its vectors)}; ``part(batch)`` yields (fit, vector of floats) for the rows of a batch.
+@dataclass(frozen=True)
+class Layout:
+    """What is known of a training table's partitions: how many, and whether each group lies in one of them."""
+    partitions: int | None = None
+    whole_groups: bool = False
 
-    ``partitions``: how many ``rows`` has, where that is known."""
+
+def sums(rows: DataFrame, part: Callable, finish: Callable | None = None, layout: Layout = Layout()) -> dict:
+    """{fit: finish(fit, sum of its vectors)}; ``part(batch)`` yields (fit, vector of floats) for the rows of a batch."""
     ship_code(rows.sparkSession)
 
     def partial(batches):
@@ -128,16 +134,21 @@ def sums(rows: DataFrame, part: Callable, finish: Callable | None = None, partit
                     totals[fit] += vector
                 else:
                     totals[fit] = vector.copy()
+        if layout.whole_groups:  # nothing of these fits lies elsewhere
+            totals = finished(totals)
         if totals:
             yield _packed(totals)
 
+    def finished(totals: dict) -> dict:
+        return totals if finish is None else {fit: finish(fit, v) for fit, v in totals.items()}
+
     def added(batches) -> dict:
         totals: dict = {}
         for batch in batches:
             for fit, vector in zip(batch.column("fit").to_pylist(), batch.column("vector")):
                 got = np.frombuffer(vector.as_buffer(), float)
                 totals[fit] = totals[fit] + got if fit in totals else got
-        return {fit: v if finish is None else finish(fit, v) for fit, v in totals.items()}
+        return totals if layout.whole_groups else finished(totals)
 
     def total(batches):
         totals = added(batches)
@@ -145,7 +156,7 @@ def sums(rows: DataFrame, part: Callable, finish: Callable | None = None, partit
             yield _packed(totals)
 
     parts = rows.mapInArrow(partial, "fit int, vector binary")
-    if partitions is not None and partitions <= DIRECT_PARTITIONS:
+    if layout.whole_groups or (layout.partitions is not None and layout.partitions <= DIRECT_PARTITIONS):
         return {fit: np.ravel(v) for fit, v in added(parts.toArrow().to_batches()).items()}
     got = parts.repartition("fit").mapInArrow(total, "fit int, vector binary").toArrow()
     return {fit: np.frombuffer(v, float) for fit, v in zip(got.column("fit").to_pylist(), got.column("vector").to_pylist())}

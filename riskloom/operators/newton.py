@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .fitting import Frame, group_parts, sums
+from .fitting import Frame, Layout, group_parts, sums
 
 MAX_STEPS = 60
 TOLERANCE = 1e-9
@@ -48,7 +48,7 @@ def standardised(frame: Frame, x: np.ndarray) -> np.ndarray:
     return (frame.filled(x) - frame.mean) / frame.scale
 
 
-def _step(rows: DataFrame, frames: list, betas: dict, partitions: int | None) -> dict:
+def _step(rows: DataFrame, frames: list, betas: dict, layout: Layout) -> dict:
     """{fit: (objective without the penalty, gradient, Gram matrix)} at the given coefficients, intercept first."""
     by_group: dict = {}
     for fit in betas:
@@ -68,14 +68,14 @@ def _step(rows: DataFrame, frames: list, betas: dict, partitions: int | None) ->
                 loss = np.sum(w * (np.logaddexp(0, m) - t * m))
                 yield fit, np.concatenate([[loss], z.T @ (w * (p - t)), ((z * (w * p * (1 - p))[:, None]).T @ z).ravel()])
     out = {}
-    for fit, v in sums(rows, part, partitions=partitions).items():
+    for fit, v in sums(rows, part, layout=layout).items():
         k = len(betas[fit])
         out[fit] = v[0], v[1:k + 1], v[k + 1:].reshape(k, k)
     return out
 
 
-def logistic_fits(rows: DataFrame, frames: list, c: float = 1.0, partitions: int | None = None) -> list:
-    """One ``Logistic`` per frame (``partitions``: of ``rows``, where known). A frame without rows, or with one class only, gives a constant."""
+def logistic_fits(rows: DataFrame, frames: list, c: float = 1.0, layout: Layout = Layout()) -> list:
+    """One ``Logistic`` per frame. A frame without rows, or with one class only, gives a constant."""
     betas, best, moves, open_fits = {}, {}, {}, []
     for fit, frame in enumerate(frames):
         betas[fit] = np.zeros(len(frame.fill) + 1)
@@ -86,7 +86,7 @@ def logistic_fits(rows: DataFrame, frames: list, c: float = 1.0, partitions: int
     for _ in range(MAX_STEPS):
         if not open_fits:
             break
-        got = _step(rows, frames, {fit: betas[fit] for fit in open_fits}, partitions)
+        got = _step(rows, frames, {fit: betas[fit] for fit in open_fits}, layout)
         still = []
         for fit in open_fits:
             loss, gradient, gram = got[fit]

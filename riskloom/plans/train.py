@@ -33,11 +33,11 @@ from pyspark.sql import types as T
 from ..functions.recipes import engineer_features
 from ..operators import boosting, metrics, prep, split
 from ..operators.clean import split_by_dtype, split_features_target
-from ..operators.fitting import ALL, Frame, frame_of, group_parts, quick_session, x_column
+from ..operators.fitting import ALL, Frame, Layout, frame_of, group_parts, quick_session, x_column
 from ..operators.forests import MAX_CELLS, cells, forest_fits
 from ..operators.newton import Logistic, logistic_fits
 from ..operators.trees import Forest, from_mllib
-from ..session import ensure_checkpoint_dir, ship_code, shuffle_partitions
+from ..session import ensure_checkpoint_dir, ship_code
 
 # --- fixed values: the four compared classifiers, in training order.
 MODEL_NAMES = ["XGBoost (Balanced)", "Random Forest (Balanced)", "Gradient Boosting", "Logistic Regression (Balanced)"]
@@ -112,17 +112,20 @@ def _prepared(panel: DataFrame, disease: str, max_train_rows, cv_folds: int) ->
     return _Disease(disease, rows, pre, frames, time.time() - t0)
 
 
-def _training_table(diseases: list, path: str) -> int:
-    """Write all diseases' rows to ``path``: grp, rid, y, fold (null: test) and x; returns the partitions to fit them in."""
-    table, n = None, 0
+def _training_table(diseases: list, path: str) -> Layout:
+    """Write all diseases' rows to ``path``: grp, salt, rid, y, fold (null: test) and x.
+
+    A disease with more rows than a partition should hold is salted over several; the others stay whole."""
+    table, salts = None, []
     for d in diseases:
-        part = d.rows.select(F.lit(d.name).alias("grp"), F.col(ID_COLS[0]).cast("long").alias("rid"), F.col("Outcome").cast("double").alias("y"),
+        salts.append(-(-max(1, d.frames[None].n_neg + d.frames[None].n_pos) // ROWS_PER_TRAIN_PARTITION))
+        part = d.rows.select(F.lit(d.name).alias("grp"), F.pmod(F.xxhash64("patient_id"), F.lit(salts[-1])).alias("salt"),
+                             F.col("patient_id").cast("long").alias("rid"), F.col("Outcome").cast("double").alias("y"),
                              F.col("fold").cast("int").alias("fold"), x_column(d.pre[None].numeric, d.categories()).alias("x"))
         table = part if table is None else table.unionByName(part)
-        n += d.frames[None].n_neg + d.frames[None].n_pos
-    parts = max(1, min(-(-n // ROWS_PER_TRAIN_PARTITION), shuffle_partitions(table.sparkSession)))
-    table.repartition(parts, "grp", F.pmod(F.xxhash64("rid"), F.lit(parts))).write.parquet(path)
-    return parts
+    layout = Layout(sum(salts), max(salts) == 1)
+    table.repartition(layout.partitions, "grp", "salt").write.parquet(path)
+    return layout
 
 
 # ---------------------------------------------------------------- fits
@@ -150,7 +153,7 @@ def _filled(pre, categories: dict):
     return F.array(*parts)
 
 
-def _fit_all(table: DataFrame, parts: int, diseases: list, models, scratch: str, parallelism: int) -> tuple:
+def _fit_all(table: DataFrame, layout: Layout, diseases: list, models, scratch: str, parallelism: int) -> tuple:
     """({(disease, model, fold or None): fitted}, seconds of each model's fits of all diseases)."""
     frames = [f for d in diseases for f in d.frames.values()]
     keys = [(d.name, f) for d in diseases for f in d.frames]
@@ -159,14 +162,14 @@ def _fit_all(table: DataFrame, parts: int, diseases: list, models, scratch: str,
     if boosted:
         t0 = time.time()
         settings = {XGBOOST: boosting.XGBOOST, GRADIENT: boosting.GRADIENT}
-        for (disease, f), found in zip(keys, boosting.boosted_fits(table, frames, [settings[m] for m in boosted], parts)):
+        for (disease, f), found in zip(keys, boosting.boosted_fits(table, frames, [settings[m] for m in boosted], layout)):
             fits.update({(disease, m, f): forest for m, forest in zip(boosted, found)})
         # the models grow together: a share of the time by their trees
         trees = sum(settings[m].trees for m in boosted)
         seconds.update({m: (time.time() - t0) * settings[m].trees / trees for m in boosted})
     if LOGISTIC in models:
         t0 = time.time()
-        fits.update({(disease, LOGISTIC, f): m for (disease, f), m in zip(keys, logistic_fits(table, frames, partitions=parts))})
+        fits.update({(disease, LOGISTIC, f): m for (disease, f), m in zip(keys, logistic_fits(table, frames, layout=layout))})
         seconds[LOGISTIC] = time.time() - t0
     if FOREST in models and cells(frames) <= MAX_CELLS:
         t0 = time.time()
@@ -224,9 +227,9 @@ def train_many(panels: dict, models=tuple(MODEL_NAMES), max_train_rows: int | No
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         diseases = list(pool.map(lambda d: _prepared(panels[d], d, max_train_rows, cv_folds), panels))
     path = f"{scratch}/table"
-    parts = _training_table(diseases, path)
-    steps = quick_session(spark).read.parquet(path).where("fold IS NOT NULL").repartition(parts).persist()
-    fits, seconds = _fit_all(steps, parts, diseases, models, scratch, parallelism)
+    layout = _training_table(diseases, path)
+    steps = quick_session(spark).read.parquet(path).where("fold IS NOT NULL").repartition(layout.partitions, "grp", "salt").persist()
+    fits, seconds = _fit_all(steps, layout, diseases, models, scratch, parallelism)
     steps.unpersist()
     t_eval = time.time()
     scored = _scored(spark.read.parquet(path), fits, {d.name: d.frames for d in diseases}).checkpoint(eager=True)

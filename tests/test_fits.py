@@ -56,7 +56,7 @@ def own_rows(data, frame):
 
 def test_newton_steps_reach_the_coefficients_of_mllib(spark, data, table, frames):
     got = newton.logistic_fits(table, frames)
-    assert [np.allclose(a.coefficients, b.coefficients, atol=1e-9) for a, b in zip(got, newton.logistic_fits(table.repartition(2), frames, partitions=2))]
+    assert all(np.allclose(a.coefficients, b.coefficients, atol=1e-9) for a, b in zip(got, newton.logistic_fits(table.repartition(2), frames, layout=fitting.Layout(2))))
     for frame, fit in list(zip(frames, got))[::3]:
         x, y, _ = own_rows(data, frame)
         z, w = newton.standardised(frame, x), frame.balanced(y)
@@ -114,7 +114,7 @@ def test_trees_in_lockstep_are_those_of_plain_loops(data, table, frames, monkeyp
     monkeypatch.setattr(boosting, "REFRESH", 2)
     models = [boosting.Boosting(5, 3, 0.3, share=0.8, l2=1.0, least_curvature=1.0, weighted=True), boosting.Boosting(3, 2, 0.5, second_order=False, prior=True)]
     got = boosting.boosted_fits(table, frames, models)
-    again = boosting.boosted_fits(table.repartition(1), frames, models, partitions=1)
+    again = boosting.boosted_fits(table.repartition(2, "grp"), frames, models, fitting.Layout(2, True))
     edges = boosting.bin_edges(table, frames)
     for frame, e, fits, same in zip(frames, edges, got, again):
         x, y, rid = own_rows(data, frame)
