@@ -97,6 +97,11 @@ def fixed_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) ->
     return df.withColumn("_h", hash_order(keys, seed)).orderBy("_h", *keys).limit(n).drop("_h")
 
 
-def full_shuffle(df: DataFrame, seed: int = 42) -> DataFrame:
-    """T5: rows in a seeded random order (matters only for file order)."""
-    return df.orderBy(F.rand(seed))
+def full_shuffle(df: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:
+    """T5: adds ``position``, each row's place (from 1) in a random order of all rows.
+
+    The order is that of ``md5("<keys>:<seed>")``, a function of the row: the same for any number of partitions and after
+    a lost executor. ``keys`` name a row; rows that share them are placed in any order among themselves."""
+    h = df.withColumn("_h", hash_order(keys, seed))
+    bucket = F.conv(F.substring("_h", 1, _bucket_digits(df)), 16, 10).cast("long")
+    return global_row_number(h, [], ["_h", *keys], out="position", bucket=bucket).drop("_h", "_key_total")

@@ -292,6 +292,13 @@ def pair_sample_q(spark, sf):
     return split.fixed_sample(pima, 2000, ["patient_id"])
 
 
+@reg("full_shuffle", """SELECT patient_id, row_number() OVER (ORDER BY md5(CAST(patient_id AS VARCHAR) || ':' || '42'), patient_id) AS position
+FROM (""" + panel_sql("pima", "duckdb") + ")")
+def full_shuffle_q(spark, sf):
+    """T5: every patient's place in a seeded random order of the panel."""
+    return split.full_shuffle(load_panel(spark, sf, "pima"), ["patient_id"]).select("patient_id", "position")
+
+
 _COUNT_SQL = " UNION ALL ".join(
     f"SELECT '{d}' AS disease, count(*) AS n_rows, count(*) FILTER (WHERE Outcome = 1) AS n_pos FROM ("
     f"{panel_sql(d, 'duckdb')})" for d in config.TRAINING_ORDER)

@@ -108,3 +108,12 @@ def test_density_of_values_far_from_zero(spark):
     assert len(got) == 200
     step = got[1].x - got[0].x
     assert abs(sum(r.density for r in got) * abs(step) - 1) < 0.01
+
+
+def test_full_shuffle_is_the_same_for_any_partitioning(spark):
+    df = spark.range(300).withColumnRenamed("id", "k")
+    a, b = ({r.k: r.position for r in split.full_shuffle(x, ["k"]).collect()} for x in (df.repartition(1), df.repartition(7)))
+    assert a == b and sorted(a.values()) == list(range(1, 301))
+    assert a != {r.k: r.position for r in split.full_shuffle(df, ["k"], seed=7).collect()}
+    assert [k for k, _ in sorted(a.items(), key=lambda x: x[1])] != list(range(300))
+    assert split.full_shuffle(df.limit(0), ["k"]).collect() == []
