@@ -1,6 +1,6 @@
 """Mixing sources to target weights by a hypergeometric splitting tree (operator 6).
 
-Each source's documents fall into ``BLOCKS`` blocks by a hash of their id, in
+Each source's documents fall into ``BLOCKS`` blocks by a hash of id and text, in
 hash order, which is a random order. A source is taken whole as often as its
 target allows (an epoch each); the rest of the target is a prefix of the hash
 order, closed by the one further document whose size is nearest to what is
@@ -18,7 +18,8 @@ Only one row per source (at most ``MAX_SOURCES``) reaches the driver.
 
 Defined cases: null text has size 0; null source is a source of its own, last
 in order; documents without words are never taken more than the source's whole
-epochs; rows that share a doc_id move together; an empty table gives no rows.
+epochs; rows of a source that share doc_id and text (null ids and null or empty
+texts are equal) move together; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -47,7 +48,8 @@ def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     """Columns row (all of ``docs``), _source, _key (hash order) and size in words."""
     words = F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), "")
     return docs.select(F.struct("*").alias("row"), F.col(source).alias("_source"),
-                       F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))).alias("_key"),
+                       F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.lit(":"),
+                                      F.md5(F.coalesce(F.col(text), F.lit(""))))).alias("_key"),
                        F.size(words).cast("long").alias("size"))
 
 
@@ -90,22 +92,22 @@ def _partial_epochs(rows: DataFrame, goal: DataFrame) -> DataFrame:
     # the first block that the prefix does not hold whole
     edge = blocks.filter("before + words > missing").groupBy("_source").agg(
         F.min(F.struct("_block", "before")).alias("e")).select(F.col("_source").alias("e_source"), "e.*").withColumnRenamed("_block", "e_block")
-    near = units.join(edge, F.col("_source").eqNullSafe(F.col("e_source")))
+    near = units.join(F.broadcast(edge), F.col("_source").eqNullSafe(F.col("e_source")))  # one row per source
     inside = near.filter("_block = e_block").groupBy("_source", "missing", "before", "_key").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("_source").orderBy("_key")
     inside = inside.withColumn("sum", F.col("before") + F.sum("words").over(upto))
     prefix = inside.groupBy("_source").agg(
         F.max(F.when(F.col("sum") <= F.col("missing"), F.col("_key"))).alias("cut"),
         F.coalesce(F.max(F.when(F.col("sum") <= F.col("missing"), F.col("sum"))), F.first("before")).alias("taken"))
-    found = edge.join(prefix, F.col("_source").eqNullSafe(F.col("e_source"))).select(
+    found = edge.join(F.broadcast(prefix), F.col("_source").eqNullSafe(F.col("e_source"))).select(
         "e_source", "taken", F.coalesce("cut", "e_block").alias("cut"), F.conv("e_block", 16, 10).cast("long").alias("partial_block"))
     # the unit outside the prefix that comes nearest to the rest
-    outside = units.join(found, F.col("_source").eqNullSafe(F.col("e_source"))).filter("_key > cut")
+    outside = units.join(F.broadcast(found), F.col("_source").eqNullSafe(F.col("e_source"))).filter("_key > cut")
     outside = outside.groupBy("_source", "missing", "taken", "_key").agg(F.sum("size").alias("words"))
     outside = outside.withColumn("off", F.abs(F.col("missing") - F.col("taken") - F.col("words"))).filter("off < missing - taken")
     closing = outside.groupBy("_source").agg(F.min(F.struct("off", "_key")).alias("x")).select(
         F.col("_source").alias("x_source"), F.col("x._key").alias("extra"))
-    return found.join(closing, F.col("e_source").eqNullSafe(F.col("x_source")), "left").select("e_source", "cut", "extra", "partial_block")
+    return found.join(F.broadcast(closing), F.col("e_source").eqNullSafe(F.col("x_source")), "left").select("e_source", "cut", "extra", "partial_block")
 
 
 def allot(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, shards: int = SHARDS, seed: int = SEED,
@@ -155,7 +157,10 @@ def allot(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, shar
     return joined.withColumn("takes", F.expr(f"""transform(takes, t -> named_struct(
         'epoch', t.epoch,
         'shard', size(filter(shard_ends, x -> x <= (t.block * stride + shift) % n_blocks)),
-        'at', md5(concat('{seed}:', t.epoch, ':', _key))))""")).select("row", "size", "source_size", "target", "takes")
+        'at', md5(concat('{seed}:', t.epoch, ':', _key))))"""))
+    # a copy is part of the mix where the range of a shard holds its block
+    joined = joined.withColumn("takes", F.expr(f"filter(takes, t -> t.shard < {shards})"))
+    return joined.select("row", "size", "source_size", "target", "takes")
 
 
 def mix(docs: DataFrame, **params) -> DataFrame:

@@ -22,13 +22,17 @@ FROM d LEFT JOIN k ON d.r = k.r"""
 
 def _op4() -> str:
     langs = " ".join(f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in words)}]" for lang, words in q.COMMON_WORDS.items())
-    p, r = "list_transform({0}, lambda v: v / nullif(list_sum({0}), 0))".format("chars"), "list_transform({0}, lambda v: v / nullif(list_sum({0}), 0))".format("r_chars")
-    pw, rw = p.replace("chars", "words"), r.replace("chars", "words")
+    def shares(x: str, steps: int | None = None) -> str:
+        if steps:
+            return f"list_transform({x}, lambda v: coalesce(round(v * {steps}::DOUBLE / nullif(list_sum({x}), 0))::BIGINT, 0))"
+        return f"list_transform({x}, lambda v: v / nullif(list_sum({x}), 0)::DOUBLE)"
 
     def js(a: str, b: str) -> str:
         def half(x, y):
             return (f"list_sum(list_transform(list_zip({x}, {y}), lambda z: CASE WHEN z[1] > 0 THEN z[1] * ln(2 * z[1] / (z[1] + z[2])) ELSE 0 END))")
         return f"sqrt(greatest(0, ({half(a, b)} + {half(b, a)}) / (2 * ln(2))))"
+    too_far = (f"({js(shares('chars'), shares('r_chars'))} > {q.MAX_CHAR_DISTANCE} OR CASE WHEN len(words) > 1 THEN "
+               f"{js(shares('words'), shares('r_words'))} END > {q.MAX_WORD_DISTANCE} + {q.WORD_NOISE} / sqrt(greatest(n_words, 1)))")
     return rf"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(t, {_SPLIT}), lambda x: x <> '') AS w,
@@ -42,19 +46,30 @@ c AS (SELECT *, length(s) AS solid, length(s) - length(regexp_replace(s, '[{q.SY
              list_transform(common, lambda k: len(list_filter(plain, lambda x: x = k))) AS hits FROM j),
 h AS (SELECT *, [length(t) - solid, c_symbol, c_upper, letters - c_upper, c_digit, solid - c_symbol - letters - c_digit] AS chars,
              list_concat(hits, [len(plain) - coalesce(list_sum(hits), 0)::BIGINT]) AS words FROM c),
-ref AS (SELECT lang AS r_lang, [{', '.join(f'sum(coalesce(chars[{i + 1}], 0))' for i in range(q.N_CHAR_CLASSES))}] AS r_chars,
-               [{', '.join(f'sum(coalesce(words[{i + 1}], 0))' for i in range(q.N_COMMON + 1))}] AS r_words FROM h GROUP BY 1),
 g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM h),
 g2 AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM g),
 g3 AS (SELECT doc_id, least(3, i - lag(i, 1, -9) OVER (PARTITION BY doc_id ORDER BY i)) AS add FROM g2 WHERE n > 1),
 rep AS (SELECT doc_id, sum(add)::BIGINT AS n_repeat_words FROM g3 GROUP BY 1),
-b AS (SELECT h.doc_id, len(w)::BIGINT AS n_words, solid::BIGINT AS word_chars, c_symbol::BIGINT AS n_symbols,
+b AS (SELECT h.doc_id, lang, t, chars, words, len(w)::BIGINT AS n_words, solid::BIGINT AS word_chars, c_symbol::BIGINT AS n_symbols,
              (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-             len(w) < {q.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {q.REPEAT_PERCENT} * len(w) AS base_failed,
-             coalesce(list_sum(r_words) >= {q.REF_MIN_WORDS} AND len(w) >= {q.MIN_WORDS} AND (
-                 {js(p, r)} > {q.MAX_CHAR_DISTANCE} OR CASE WHEN len(words) > 1 THEN {js(pw, rw)} END > {q.MAX_WORD_DISTANCE} + {q.WORD_NOISE} / sqrt(greatest(len(w), 1))), false) AS far
-      FROM h LEFT JOIN ref ON h.lang IS NOT DISTINCT FROM ref.r_lang LEFT JOIN rep ON h.doc_id = rep.doc_id)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept FROM b"""
+             len(w) < {q.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {q.REPEAT_PERCENT} * len(w) AS base_failed
+      FROM h LEFT JOIN rep ON h.doc_id = rep.doc_id),
+texts AS (SELECT DISTINCT lang, t, chars, words, n_words FROM b WHERE NOT base_failed),
+bins AS (SELECT lang, unnest(range(1, len(s) + 1)) AS bin, unnest(s) AS step
+         FROM (SELECT lang, list_concat({shares('chars', q.GRID)}, {shares('words', q.GRID)}) AS s FROM texts)),
+middle AS (SELECT lang, bin, list_sort(list(step))[(count(*) + 1) // 2] AS step FROM bins GROUP BY 1, 2),
+med AS (SELECT lang AS r_lang, list(step ORDER BY bin) FILTER (bin <= {q.N_CHAR_CLASSES}) AS r_chars,
+               list(step ORDER BY bin) FILTER (bin > {q.N_CHAR_CLASSES}) AS r_words FROM middle GROUP BY 1),
+near AS (SELECT r_lang, r_chars, r_words, {shares('chars', q.SCALE)} AS s_chars, {shares('words', q.SCALE)} AS s_words,
+                list_sum(words) AS size, NOT coalesce({too_far}, false) AS near
+         FROM texts JOIN med ON lang IS NOT DISTINCT FROM r_lang),
+means AS (SELECT r_lang, any_value(r_chars) AS d_chars, any_value(r_words) AS d_words, bool_or(near) AS any_near, sum(size) AS r_size,
+                 [{', '.join(f'coalesce(sum(s_chars[{i + 1}]) FILTER (near), 0)' for i in range(q.N_CHAR_CLASSES))}] AS m_chars,
+                 [{', '.join(f'coalesce(sum(s_words[{i + 1}]) FILTER (near), 0)' for i in range(q.N_COMMON + 1))}] AS m_words FROM near GROUP BY 1),
+ref AS (SELECT r_lang, r_size, CASE WHEN any_near THEN m_chars ELSE d_chars END AS r_chars, CASE WHEN any_near THEN m_words ELSE d_words END AS r_words FROM means)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(n_words >= {q.MIN_WORDS} AND r_size >= {q.REF_MIN_WORDS} AND {too_far}, false) AS kept
+FROM b LEFT JOIN ref ON lang IS NOT DISTINCT FROM r_lang"""
 
 
 def _canonical(x: str) -> str:
@@ -76,7 +91,7 @@ FROM d LEFT JOIN k ON sha256({_canonical('t')}) = k.digest LEFT JOIN f ON f.doc_
 def _op6() -> str:
     weight = f"[{', '.join(map(str, m.WEIGHTS))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(m.WEIGHTS)} + 1]"
     return rf"""
-WITH s AS (SELECT doc_id, source, md5('{m.SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS key,
+WITH s AS (SELECT doc_id, source, md5('{m.SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS key,
                   len(list_filter(regexp_split_to_array(coalesce(text, ''), {_SPLIT}), lambda x: x <> ''))::BIGINT AS size FROM documents),
 z AS (SELECT source, sum(size)::BIGINT AS n FROM s GROUP BY 1),
 w AS (SELECT *, {weight} AS w, sum(n) OVER () AS total FROM z),

@@ -40,6 +40,57 @@ def test_tokens_match_the_library(spark, documents, corpus):
         at += len(ids)
 
 
+def token_corpus(spark, rows):
+    path = token_pack.scratch_path(spark, "test-tokens")
+    token_pack.write_tokens(make_documents(spark, rows), path, block_ids=300)
+    return path
+
+
+def test_any_ids_are_read_alone(spark, corpus):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tk = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = sorted((r for r in corpus if r[0] < 65), key=lambda r: (r[0], r[1] or ""))
+    lists = [(r[0], tk.encode(r[1] or "", add_special_tokens=False).ids + [2]) for r in rows]
+    path, every = token_corpus(spark, rows), [x for _, ids in lists for x in ids]
+    for first, end in ((0, 1), (5, 5), (1, 20), (290, 1000), (len(every) - 3, len(every) + 50), (0, len(every))):
+        got = token_pack.read_ids(spark, path, first, end).orderBy("start").collect()
+        assert [x for r in got for x in r.ids] == every[first:end]
+    want = sorted((d, ids) for d, ids in lists if d in (5, 60, 3))
+    assert sorted((r.doc_id, r.ids) for r in token_pack.read_documents(spark, path, [5, 60, 3, 999]).collect()) == want
+    assert token_pack.read_documents(spark, path, []).collect() == []
+    for bits in (5, 13, 16, 17):
+        ids = np.random.default_rng(bits).integers(0, 1 << bits, 100).astype(np.uint32)
+        for a, b in ((0, 100), (3, 4), (8, 16), (7, 93), (50, 50)):
+            assert (token_pack.unpack_between(token_pack.pack(ids, bits), bits, a, b) == ids[a:b]).all()
+
+
+def test_full_cache_and_cut_texts(monkeypatch):
+    """A cache too small for a batch, white space of all kinds, long words and marks: always the library's ids."""
+    import random
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(3)
+    tk = Tokenizer.from_file(path)
+    monkeypatch.setattr(token_pack, "MAX_CACHED", 40)
+    enc = token_pack._Encoder(path, 2)
+    bits = ["a", "word", "été", "ß", "don't", "x.", "9,", "-.", "...", "'s", "é.", "naïveté;", "verylongwordofmanyletters", "Ωμέγα", "日本", "’", "—", "…",
+            "​", "́", "😀", "12:30", "A:", "<b>"]
+    gaps = [" "] * 30 + ["\n"] * 4 + ["  ", "\t", "\u00a0", "\u0085", "\u2003", "\u3000", "\u2028", "\u202f", "\u205f", "\u1680", " \n", "\n\n", "\x1c", "\x7f"]
+    for _ in range(30):
+        texts = [None, "", " ", "\n", "."]
+        for _ in range(20):
+            texts.append("".join(rng.choice(bits) + rng.choice(gaps[:rng.choice((34, 34, 48))]) for _ in range(rng.randint(1, 30))) + rng.choice(["", "end.", "e"]))
+        rng.shuffle(texts)
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["d", "t"])
+        got = []
+        for _, data, rows in token_pack._handfuls(batch, 200):
+            ids, ends = enc.encode(data, rows)
+            got += [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)]
+        assert got == [tk.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+
+
 def test_tokens_of_another_vocabulary(spark, nothing):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -151,6 +202,43 @@ def test_mixture_takes_a_rest_of_a_whole_epoch(spark):
         assert got == taken
 
 
+def test_mixture_of_null_ids(spark):
+    """Rows without an id are units of their own: a source of them meets its target."""
+    import random
+    rng = random.Random(6)
+    rows = [(None, prose(rng, 5), "en", "a") for _ in range(200)] + [(7, prose(rng, 5), "en", "b") for _ in range(200)]
+    rows += [(i, prose(rng, 5), "en", "c") for i in range(200)]
+    got = mix_sources.allot(make_documents(spark, rows)).selectExpr("row.source", "size * size(takes) AS n", "target")
+    for r in got.groupBy("source", "target").sum("n").collect():
+        assert r.target in (500, 1000, 1500) and abs(r["sum(n)"] - r.target) <= 5
+
+
+def test_shards_hold_the_blocks_of_the_tree(spark, monkeypatch):
+    """Each (source, epoch, block) lies in one shard, and a shard holds no more blocks than the tree gave it."""
+    import random
+    rng, drawn = random.Random(9), []
+    tree = mix_sources.splitting_tree
+
+    def kept(quotas, shards, generator):
+        out = tree(quotas, shards, generator)
+        drawn.append(out)
+        return out
+    monkeypatch.setattr(mix_sources, "splitting_tree", kept)
+    rows = [(i, prose(rng, rng.randint(1, 20)), "en", "abc"[i % 3]) for i in range(900)]
+    docs = make_documents(spark, rows)
+    taken = mix_sources.allot(docs, shards=4).selectExpr("row.doc_id", "row.text", "row.source", "inline(takes)").toPandas()
+    quotas = max(drawn, key=len)
+    assert quotas.shape == (4, 3) and taken.shard.between(0, 3).all()
+    keys = mix_sources.sized(docs).selectExpr("row.doc_id", "substring(_key, 1, 3) AS block").toPandas()
+    taken = taken.merge(keys, on="doc_id")
+    # the last block of a partial epoch also takes the closing document
+    partial = taken.groupby("source").epoch.transform("max") == taken.epoch
+    whole = taken[~partial].drop_duplicates(["source", "epoch", "block"])
+    assert (taken[~partial].groupby(["source", "epoch", "block"]).shard.nunique() == 1).all()
+    counts = whole.groupby(["shard", "source"]).size().unstack(fill_value=0).reindex(index=range(4), columns=list("abc"), fill_value=0)
+    assert (counts.to_numpy() <= quotas).all() and len(whole) > 100
+
+
 def test_splitting_tree_is_exact():
     quotas = np.array([1000, 0, 7, 123456])
     tree = mix_sources.splitting_tree(quotas, 13, np.random.default_rng(0))
