@@ -2,14 +2,19 @@
 
 Each document's histogram over character classes and its histogram over the
 common words of its language are compared with the language's reference
-histogram by the Jensen-Shannon distance (base 2, 0 to 1). A reference is the
-sum over all documents of that language, so it follows the corpus. A document
-is rejected by the base rules (few words, repeated word windows) or by a
-distance over its limit. Distances count only for texts of ``min_words`` words
-and references of ``ref_min_words`` words (the minimum-length guards).
-
-Only built-in expressions: one cheap scan sums the references, a second scan
-scores each row; the sole shuffle is the sum per language.
+histogram by the Jensen-Shannon distance (base 2, 0 to 1). A document is
+rejected by the base rules (few words, repeated word windows) or by a distance
+over its limit. Distances count only for texts of ``min_words`` words and
+references of ``ref_min_words`` words (the minimum-length guards).
+
+A reference does not follow volume: of the distinct texts of a language that
+pass the base rules, those near the median share of each bin are kept, and the
+reference is the mean of their shares. So neither junk, nor copies, nor long
+texts draw it away while they are fewer than half of a language's texts.
+
+Only built-in expressions. Each text is counted once; the counts are written
+and serve the references and the verdicts. Shuffled are distinct histograms
+(by language and text hash) and counts per language, bin and step.
 
 Defined cases: a null text is an empty one (no words: ``base_failed``); a null
 language is a language of its own without common words; a null ``doc_id``
