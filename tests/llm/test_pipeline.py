@@ -1,14 +1,18 @@
 """The pipeline against a brute-force version of its stages."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import pytest
 import regex
 
 import corpus_pipeline
-from riskloom.llm import mix_sources, quality_rules as q
+from riskloom.llm import mix_sources, oracles, quality_rules as q
 
+from .conftest import make_documents, prose
 from .test_formats import brute_rules
 from .test_near import brute_components, greedy_coverage, words_of
 
@@ -31,24 +35,53 @@ def distance(a, b):
     return np.sqrt(max(0, half / 2))
 
 
+def steps(counts, n):
+    return np.floor(counts * float(n) / counts.sum() + 0.5) if counts.sum() else counts
+
+
 def brute_quality(rows):
-    hist = [histograms(r["text"] or "", r["lang"]) for r in rows]
-    ref = defaultdict(lambda: [0, 0])
-    for r, (c, w) in zip(rows, hist):
-        ref[r["lang"]][0] += c
-        ref[r["lang"]][1] += w
-    for r, (c, w) in zip(rows, hist):
-        n, *_rest, failed = brute_rules(r["text"])
-        if failed:
-            continue
-        chars, words = ref[r["lang"]]
-        far = words.sum() >= q.REF_MIN_WORDS and (
-            distance(c, chars) > q.MAX_CHAR_DISTANCE
-            or len(w) > 1 and distance(w, words) > q.MAX_WORD_DISTANCE + q.WORD_NOISE / np.sqrt(n))
-        if not far:
+    """References: the mean shares of the distinct texts that pass the base rules and lie near the median shares."""
+    def far(n, own, ref):
+        return (distance(own[0], ref[0]) > q.MAX_CHAR_DISTANCE
+                or len(own[1]) > 1 and distance(own[1], ref[1]) > q.MAX_WORD_DISTANCE + q.WORD_NOISE / np.sqrt(n))
+    judged = {(r["lang"], r["text"] or ""): (brute_rules(r["text"]), histograms(r["text"] or "", r["lang"])) for r in rows}
+    ref, size = {}, {}
+    for lang in {lang for lang, _ in judged}:
+        texts = [(rule[0], h) for (own, _), (rule, h) in judged.items() if own == lang and not rule[-1]]
+        if texts:
+            middle = [np.sort([steps(h[k], q.GRID) for _, h in texts], axis=0)[(len(texts) + 1) // 2 - 1] for k in (0, 1)]
+            near = [h for n, h in texts if not far(n, h, middle)]
+            ref[lang] = [sum(steps(h[k], q.SCALE) for h in near) for k in (0, 1)] if near else middle
+            size[lang] = sum(h[1].sum() for _, h in texts)
+    for r in rows:
+        rule, h = judged[r["lang"], r["text"] or ""]
+        if not rule[-1] and (size[r["lang"]] < q.REF_MIN_WORDS or not far(rule[0], h, ref[r["lang"]])):
             yield r
 
 
+@pytest.mark.parametrize("kind", ["source", "long"])
+def test_sql_and_brute_force_of_the_quality_rules_withstand_junk(spark, kind):
+    """One definition in the operator, its SQL and the brute force, where junk is hot."""
+    rng, common = random.Random(8), q.COMMON_WORDS["es"]
+
+    def clean(n):
+        return " ".join(rng.choice(common) if rng.random() < 0.5 else prose(rng, 1) for _ in range(n)) + "."
+
+    def junk(n):
+        return " ".join(f"$${rng.randrange(10 ** 6)}|" for _ in range(n))
+    rows = [(i, clean(rng.randint(60, 90)), "es", "s") for i in range(60)]
+    rows += [(100 + i, junk(rng.randint(300, 600)), "es", "junk") for i in range(25)] if kind == "source" else [(100, junk(6_000), "es", "junk")]
+    rows += [(200 + i, *rows[-1][1:]) for i in range(5)]
+    rows += [(300 + i, clean(80), None, "s") for i in range(9)] + [(400, junk(90), None, "s"), (401, None, "fr", "s"), (402, clean(70), "xx", "s")]
+    docs = make_documents(spark, rows)
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "lang", "source").toPandas())
+    sql = {i for i, kept in con.execute(f"SELECT doc_id, kept FROM ({oracles.SQL['op4_quality_rules']})").fetchall() if kept}
+    brute = {r["doc_id"] for r in brute_quality([dict(zip(("doc_id", "text", "lang"), r)) for r in rows])}
+    got = {r.doc_id for r in q.keep_good(docs).collect()}
+    assert got == sql == brute and set(range(60)) <= got and not got & set(range(100, 205))
+
+
 def test_stages_match_brute_force(spark, sf):
     import public_tokenizers
     from tokenizers import Tokenizer
