@@ -46,25 +46,81 @@ def test_links_match_brute_force(documents, corpus, n):
     assert Counter(tuple(r) for r in got) == brute_components(corpus, n)
 
 
-def test_large_nodes_branch_and_chunk(spark, monkeypatch):
-    """Copies of a hub with few edits: more of them than a tree node or a chunk holds."""
-    import random
-    rng = random.Random(3)
+def hub_and_others(rng, n):
+    """Copies of a hub with up to 12 edits, chains that lead away from it, and unlike texts."""
     hub = prose(rng, 80).split(" ")
     rows = [(i, prose(rng, 40), "en", "s") for i in range(40)]
-    for i in range(40, 160):
+    for i in range(40, 40 + n):
         words = list(hub)
-        for _ in range(rng.randint(0, 5)):
+        for _ in range(rng.randint(0, 12)):
             words[rng.randrange(80)] = f"edit{rng.randrange(10 ** 6)}"
         rows.append((i, " ".join(words), "en", "s"))
-    monkeypatch.setattr(near_dedup, "CHUNK", 30)
-    monkeypatch.setattr(near_dedup, "COMMON", 10)
+    words = list(hub)
+    for i in range(40 + n, 60 + n):  # each text is linked with the one before it, the last ones not with the hub
+        for _ in range(3):
+            words[rng.randrange(80)] = f"step{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(words), "en", "s"))
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [20, 60])
+def test_large_groups_lose_no_link(spark, monkeypatch, chunk):
+    """Tree nodes and blocks far above a chunk: star, pairs of chunks of the rest, rest against the star."""
+    import random
+    rows = hub_and_others(random.Random(3), 160)
+    monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(near_dedup, "SET_CHUNK", chunk * 80)
     leaves = near_dedup.tree_leaves
     monkeypatch.setattr(near_dedup, "tree_leaves", lambda nodes, trees: leaves(nodes, trees, small=16))
     got = near_dedup.link(make_documents(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
     assert Counter(tuple(r) for r in got) == brute_components(rows, 2)
 
 
+@pytest.mark.parametrize("limit", [40, 10 ** 6])
+def test_star_edges_connect_what_brute_force_connects(spark, limit):
+    """On given groups, where no tree decides: the same components at any chunk size."""
+    import random
+    rng = random.Random(8)
+    texts = [t for _, t, *_ in hub_and_others(rng, 120)]
+    sets = [sorted({hash(x) % 2 ** 63 for x in shingles(t, 2)}) for t in texts]
+    loads = spark.createDataFrame([(i, bytearray(np.array(x, np.uint64).tobytes())) for i, x in enumerate(sets)], "node long, load binary")
+    members = spark.createDataFrame([(g, i, 1) for g in (1, 2) for i in range(len(sets)) if g == 1 or i % 3], "group long, node long, weight int")
+    for percent in (60, 80, 90):
+        edges = near_dedup.star_edges(members, loads, near_dedup.Sets(percent), limit).collect()
+        low = list(range(len(sets)))
+
+        def find(x, low=low):
+            while low[x] != x:
+                x = low[x]
+            return x
+        for e in edges:
+            both = len(set(sets[e.a]) & set(sets[e.b]))
+            assert both or percent == 0
+            low[max(find(e.a), find(e.b))] = min(find(e.a), find(e.b))
+        want = brute_components([(i, t) for i, t in enumerate(texts)], 2, percent)
+        assert {i: find(i) for i in range(len(sets))} == {i: c for i, _, c in want}
+
+
+def test_a_third_of_the_rows_as_near_copies(spark):
+    """Production settings; copies of one text with one edit each, exact repeats among them."""
+    import random
+    rng = random.Random(12)
+    hub = prose(rng, 120).split(" ")
+    rows = [(i, prose(rng, 60), "en", "s") for i in range(800)]
+    for i in range(800, 1200):
+        words = list(hub)
+        words[rng.randrange(120)] = f"edit{i % 300}"
+        rows.append((i, " ".join(words), "en", "s"))
+    got = near_dedup.link(make_documents(spark, rows)).select("doc_id", "component_id").collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: min(i, 800) for i in range(1200)}
+
+
+def test_map_columns_and_rows_without_words_pass(spark):
+    table = spark.createDataFrame([(1, "a b c", {"x": 1}), (1, "a b c", {"x": 1}), (2, None, {}), (2, None, {}), (3, " ", None)],
+                                  "doc_id long, text string, extra map<string, int>")
+    assert sorted(r.doc_id for r in near_dedup.keep_one(table).collect()) == [1, 2, 2, 3]
+
+
 def test_one_document_of_each_group_stays(documents, corpus):
     kept = near_dedup.keep_one(documents)
     assert kept.columns == documents.columns
