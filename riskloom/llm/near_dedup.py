@@ -326,9 +326,10 @@ def star_edges(members: DataFrame, loads: DataFrame, measure, limit: int) -> Dat
     """Edges a, b, in stars, that connect whatever ``measure`` links within a group, directly or by other members.
 
     ``members`` (group, node, weight) are light rows, ``loads`` (node, load) what is compared; no task holds more than
-    about two times ``limit`` of weight (or one load).
+    about two times ``limit`` of weight (or one load). Loads grow with the input, so they are shuffled at every size.
     """
     spark = members.sparkSession
+    loads = loads.hint("merge")
     members = written(spark, members, "members")
     sums = members.groupBy("group").agg(F.sum("weight").alias("total"))
     large = written(spark, sums.filter(F.col("total") > limit).select("group", F.ceil(F.col("total") / limit).cast("int").alias("chunks")), "large")
@@ -394,7 +395,7 @@ def tree_leaves(nodes: DataFrame, trees: int = TREES, branch: int = BRANCH, dept
         large = sized.filter(f"n > {small}").select("path", "node")
         if large.isEmpty():
             return done
-        rows = large.join(nodes.select("node", "tokens"), "node").select("node", F.expr(step % ("path", "path")).alias("path"))
+        rows = large.join(nodes.select("node", "tokens").hint("merge"), "node").select("node", F.expr(step % ("path", "path")).alias("path"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -450,7 +451,7 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees:
     edges = star_edges(leaves, nodes.select("node", "load"), Briefs(ROUGH), CHUNK)
     blocks = components(edges.distinct())
     members = written(spark, blocks.join(nodes.select("node", "weight", "d1", "d2", "key"), "node").withColumnRenamed("label", "group"), "blocks")
-    sets = rows.select("key", "text").join(members.select("key", "node", "d1", "d2"), "key").mapInArrow(_full_sets(shingle), "node long, load binary")
+    sets = rows.select("key", "text").join(members.select("key", "node", "d1", "d2").hint("merge"), "key").mapInArrow(_full_sets(shingle), "node long, load binary")
     # repeated rows share a key: one set of a node is enough
     sets = written(spark, sets.groupBy("node").agg(F.first("load").alias("load")), "sets")
     linked = components(star_edges(members.select("group", "node", "weight"), sets, Sets(percent), SET_CHUNK).distinct())
@@ -459,7 +460,7 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees:
     # copies of one set: their node's first row stands for those without links
     own = nodes.select("node", "d1", "d2", F.struct(*_FIRST).alias("alone")).join(least, "node", "left").select(
         "d1", "d2", F.coalesce("linked", "alone").alias("first"))
-    found = sketches.select("doc_id", "key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("d1")).alias("d1"), "d2").join(own, ["d1", "d2"], "left")
+    found = sketches.select("doc_id", "key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("d1")).alias("d1"), "d2").join(own.hint("merge"), ["d1", "d2"], "left")
     return found.select("doc_id", "key", "n_shingles",
                         F.when(F.col("first").isNull(), F.col("doc_id")).when(F.col("first.none") == 0, F.col("first.low")).alias("component_id"),
                         F.coalesce("first.key", "key").alias("first_key"))
