@@ -79,8 +79,10 @@ def _canonical(x: str) -> str:
 
 def _op5() -> str:
     rows = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in license_scan.KNOWN)
+    digests = ", ".join(f"('{d}', '{n}')" for n, d in license_scan.KNOWN_DIGESTS)
     return f"""
-WITH k AS (SELECT sha256({_canonical('text')}) AS digest, min(name) AS license FROM (VALUES {rows}) v(name, text) GROUP BY 1),
+WITH k AS (SELECT digest, min(name) AS license FROM (SELECT sha256({_canonical('text')}) AS digest, name FROM (VALUES {rows}) v(name, text)
+           UNION ALL SELECT digest, name FROM (VALUES {digests}) v(digest, name)) GROUP BY 1),
 d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
 f AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM l JOIN k ON sha256({_canonical('line')}) = k.digest GROUP BY 1)

@@ -165,6 +165,66 @@ def test_license_lookup(spark, nothing):
     assert license_scan.scan(nothing, known).collect() == []
 
 
+BSD = """BSD {n}-Clause License
+
+Copyright (c) 2021, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{third}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_whole_license_files(spark):
+    """Files as they are published: title, copyright line, wrapped lines; SQL agrees on their digests."""
+    import pathlib
+
+    import duckdb
+
+    from riskloom.llm import oracles
+    mit = license_scan.KNOWN[4][1]
+    files = [("BSD-2-Clause", BSD.format(n=2, third="")), ("BSD-3-Clause", BSD.format(n=3, third=THIRD)),
+             ("MIT", "MIT License\n\nCopyright (c) 2019 Some One\n\n" + mit), ("MIT", "The MIT Licence (MIT)\r\n\r\nCopyright \u00a9 Some One\r\n" + mit),
+             ("ISC", "ISC License\n\nCopyright 2004-2010 by Some One\n" + license_scan.KNOWN[5][1]), (None, "MIT License"), (None, mit[:-20])]
+    folder = pathlib.Path("/usr/share/common-licenses")  # where the system has the published texts
+    for name, file in (("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-2.1", "LGPL-2.1"),
+                       ("LGPL-3.0", "LGPL-3"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0"), ("BSD-3-Clause", "BSD")):
+        if (folder / file).exists():
+            text = (folder / file).read_text(encoding="utf-8")
+            files += [(name, text), (name, text.replace("\n", "\r\n"))]
+    docs = make_documents(spark, [(i, t, "en", "s") for i, (_, t) in enumerate(files)])
+    got = {r.doc_id: r for r in license_scan.scan(docs, license_scan.known_licenses(spark)).collect()}
+    assert [got[i].license for i in range(len(files))] == [name for name, _ in files]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, (_, t) in enumerate(files)])
+    sql = con.execute(f"SELECT doc_id, license, digest FROM ({oracles.SQL['op5_license_scan']})").fetchall()
+    assert {(i, name, d) for i, name, d in sql} == {(i, r.license, r.digest) for i, r in got.items()}
+
+
 def test_mixture_reaches_targets(spark):
     import random
     rng = random.Random(2)
