@@ -265,9 +265,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str =
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("long").alias("label")).filter(
         F.col("_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("_id")))
     known = known.withColumn("place", F.xxhash64("_id")).orderBy("place", "label").limit(sample)
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(known), "_id")  # at most ``sample`` rows
-    got = rows.select("place", "label", "text").mapInArrow(
-        _sample_features, "place long, label long, own binary, weight binary").orderBy("place", "label").collect()
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(known), "_id")  # ``known``: at most ``sample`` rows
+    # a document id may be met any number of times: equal texts count once, and ``sample`` rows are the most
+    rows = rows.select("place", "label", "text").dropDuplicates().orderBy("place", "label", F.xxhash64("text")).limit(sample)
+    got = rows.mapInArrow(_sample_features, "place long, label long, own binary, weight binary").collect()
     own = [np.frombuffer(r["own"]).reshape(-1, N_OWN) for r in got]
     weight = [np.frombuffer(r["weight"]) for r in got]
     first = np.concatenate([[0], np.cumsum([len(w) for w in weight])]).astype(np.int64)

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -402,3 +403,22 @@ def test_classifier_without_labels(spark, documents, nothing):
     scores = [r.score for r in line_crf.classify(documents, one).collect()]
     assert max(scores) - min(scores) < 1e-9 and min(scores) > 0.9
     assert line_crf.classify(nothing, one).collect() == []
+
+
+def test_classifier_sample_is_bounded_under_a_hot_id(spark):
+    """A labelled doc_id with half of the rows: repeats count once, and the sample keeps its bound."""
+    import random
+    rng = random.Random(4)
+    rows = [(i, prose(rng, 30) + ".\n" + prose(rng, 20), "en", "s") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    plain = line_crf.fit(make_documents(spark, rows), labels)
+    hot = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 5)
+    repeated = line_crf.fit(make_documents(spark, rows + [rows[hot]] * 60), labels)
+    own, weight, first = line_crf.line_features(pa.array([t for _, t, *_ in rows]))
+    assert np.allclose(plain.scores(own, weight, first), repeated.scores(own, weight, first))
+    seen = []
+    with pytest.MonkeyPatch.context() as m:
+        train = line_crf.train
+        m.setattr(line_crf, "train", lambda own, weight, first, label: seen.append(len(label)) or train(own, weight, first, label))
+        line_crf.fit(make_documents(spark, rows + [(hot, prose(rng, 10), "en", "s") for _ in range(80)]), labels, sample=20)
+    assert seen == [20]
